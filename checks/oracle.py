@@ -23,3 +23,124 @@ oracle("occupancy_panel",
        f"SELECT {PANEL_COLS.replace('occupancy_rate', 'round(occupancy_rate, 6) AS occupancy_rate')}, "
        "round(avg_occupancy_rate, 6) AS avg_occupancy_rate, hot_region FROM panel",
        "panel")
+
+# ---- 2.1 scans, sources, sinks ----------------------------------------------
+oracle("csv_scan_quoted", "SELECT * FROM listings_raw", "listings_raw")
+oracle("csv_scan_plain", "SELECT * FROM reviews_raw", "reviews_raw")
+oracle("csv_permissive", """
+SELECT listing_id,
+       CASE WHEN minimum_nights = 7 THEN NULL ELSE date END AS date,
+       available, price, CAST(NULL AS BOOLEAN) AS adjusted_price, minimum_nights,
+       CASE WHEN maximum_nights >= 49 OR maximum_nights = 1 THEN NULL ELSE maximum_nights END AS maximum_nights
+FROM calendar_raw""", "calendar_raw")
+oracle("parquet_scan", """
+SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_date, l_extendedprice
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00'""")
+oracle("parquet_sink_roundtrip", "SELECT * FROM calendar_c", "calendar_c")
+
+_PANEL_OUT = (f"SELECT {PANEL_COLS.replace('occupancy_rate', 'round(occupancy_rate, 6) AS occupancy_rate')}, "
+              "round(avg_occupancy_rate, 6) AS avg_occupancy_rate, hot_region FROM panel")
+oracle("partitioned_sink_roundtrip", _PANEL_OUT, "panel")
+oracle("segment_scan", _PANEL_OUT + " WHERE high_demand = 1 AND is_weekend = 0 AND hot_region = 1", "panel")
+
+# ---- 2.2 projections ----------------------------------------------------------
+oracle("project_drop", "SELECT " + ", ".join(
+    f.name for f in __import__("hostlens.sources.schemas", fromlist=["x"]).LISTINGS_RAW.fields
+    if f.name not in __import__("hostlens.sources.schemas", fromlist=["x"]).LISTINGS_DROPPED)
+    + " FROM listings_raw", "listings_raw")
+oracle("join_disambiguate", """
+SELECT l.id, l.room_type, c.date, c.price
+FROM listings_c l JOIN calendar_c c ON l.id = c.listing_id""", "listings_c", "calendar_c")
+oracle("project_rename", """
+SELECT id, price AS listing_price, neighbourhood_cleansed AS neighbourhood,
+       bedrooms AS num_bedrooms, beds AS num_beds FROM listings_c""", "listings_c")
+oracle("project_select", """
+SELECT id, review_scores_rating, review_scores_communication, review_scores_accuracy,
+       review_scores_cleanliness, review_scores_location, review_scores_value,
+       review_scores_checkin, reviews_per_month, latitude, longitude, room_type FROM listings_c""", "listings_c")
+oracle("parse_flag", """
+SELECT listing_id, date, available AS raw,
+       CASE WHEN available = 't' THEN true WHEN available = 'f' THEN false END AS flag
+FROM calendar_raw""", "calendar_raw")
+oracle("parse_money", """
+SELECT listing_id, date, price AS raw,
+       TRY_CAST(regexp_replace(price, '[$]', '', 'g') AS FLOAT) AS price_value FROM calendar_raw""", "calendar_raw")
+oracle("parse_money_thousands", """
+SELECT listing_id, date, price AS raw,
+       TRY_CAST(regexp_replace(price, '[$,]', '', 'g') AS FLOAT) AS price_value FROM calendar_raw""", "calendar_raw")
+oracle("rental_label", """
+SELECT listing_id, date, available, CASE WHEN available THEN 0 ELSE 1 END AS label
+FROM calendar_c""", "calendar_c")
+oracle("threshold_flag", """
+SELECT id, date, round(occupancy_rate, 6) AS occupancy_rate, high_demand FROM panel_occ""", "panel_occ")
+oracle("weekend_flag", """
+SELECT listing_id, date, CASE WHEN dayofweek(date) IN (5, 6) THEN 1 ELSE 0 END AS is_weekend
+FROM calendar_c""", "calendar_c")
+oracle("null_normalise", """
+SELECT id, CASE WHEN amenities = '[]' THEN NULL ELSE amenities END AS amenities,
+       coalesce(bathrooms_text, '') AS bathrooms_text FROM listings_raw""", "listings_raw")
+
+# ---- 2.3 filters ----------------------------------------------------------------
+oracle("filter_not_null_keys", """
+SELECT listing_id, id, date FROM reviews_raw WHERE listing_id IS NOT NULL AND id IS NOT NULL""", "reviews_raw")
+oracle("filter_date_range", """
+SELECT * FROM calendar_c WHERE date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""", "calendar_c")
+oracle("filter_dropna", "SELECT * FROM panel_days", "panel_days")
+_ASCII = "comments IS NOT NULL AND NOT regexp_matches(regexp_replace(comments, '<[^>]*>', '', 'g'), '[^\\x00-\\x7F]')"
+oracle("filter_ascii", f"SELECT id, listing_id FROM reviews_raw WHERE {_ASCII}", "reviews_raw")
+oracle("filter_stopword_lang", f"""
+SELECT id, listing_id FROM reviews_raw
+WHERE {_ASCII} AND NOT regexp_matches(comments, '{__import__("hostlens.functions.text", fromlist=["x"]).DEFAULT_MARKER_PATTERN}')""",
+       "reviews_raw")
+oracle("filter_accents", f"""
+SELECT id, listing_id FROM reviews_raw
+WHERE comments IS NOT NULL AND NOT regexp_matches(comments, '{__import__("hostlens.functions.text", fromlist=["x"]).ACCENT_CLASS}')""",
+       "reviews_raw")
+oracle("english_filter", "SELECT id, listing_id, date FROM reviews_en", "reviews_en")
+oracle("bath_flags", """
+SELECT id, bathrooms_text,
+       CASE WHEN bathrooms_text LIKE '%private%' THEN 1 ELSE 0 END AS is_private_bath,
+       CASE WHEN bathrooms_text LIKE '%shared%' THEN 1 ELSE 0 END AS is_shared_bath
+FROM listings_raw""", "listings_raw")
+_BUCKET = ("((CAST(listing_id AS BIGINT) * 2654435761 + "
+           "CAST(date - DATE '1970-01-01' AS BIGINT) * 40503 + 17) % 10000)")
+oracle("key_sample", f"SELECT * FROM calendar_c WHERE {_BUCKET} < 1000", "calendar_c")
+oracle("key_split", f"""
+SELECT listing_id, date, CASE WHEN {_BUCKET} < 8000 THEN 'train' ELSE 'test' END AS split
+FROM calendar_c""", "calendar_c")
+
+# ---- 2.9 scalar functions ----------------------------------------------------------
+oracle("strip_breaks", "SELECT id, regexp_replace(comments, '<br/?\\s*>', '', 'g') AS comments FROM reviews_raw",
+       "reviews_raw")
+oracle("bathroom_count", """
+SELECT id, bathrooms_text,
+       TRY_CAST(regexp_extract(bathrooms_text, '(\\d+\\.?\\d*)', 1) AS FLOAT) AS num_bathrooms
+FROM listings_raw""", "listings_raw")
+_AMEN = "CASE WHEN amenities = '[]' THEN NULL ELSE amenities END"
+oracle("amenity_list", f"""
+SELECT id, string_split(regexp_replace({_AMEN}, '[\\[\\]"]', '', 'g'), ', ') AS amenities_list
+FROM listings_c""", "listings_c")
+oracle("amenity_list_json", f"""
+SELECT id, from_json({_AMEN}, '["VARCHAR"]') AS amenities_list FROM listings_c""", "listings_c")
+oracle("amenity_count", f"""
+SELECT id,
+       coalesce(len(string_split(regexp_replace({_AMEN}, '[\\[\\]"]', '', 'g'), ', ')), -1) AS amenities_count,
+       coalesce(len(from_json({_AMEN}, '["VARCHAR"]')), -1) AS amenities_count_json
+FROM listings_c""", "listings_c")
+oracle("clean_comments", """
+SELECT id, regexp_replace(regexp_replace(comments, '(?i)<br\\s*/?\\s*>', '', 'g'), '^\\s+|\\s+$', '', 'g')
+       AS cleaned_comments FROM reviews_c""", "reviews_c")
+oracle("clean_comments_compat", """
+SELECT id, regexp_replace(replace(comments, 'br', ''), '^\\s+|\\s+$', '', 'g') AS cleaned_comments
+FROM reviews_c""", "reviews_c")
+oracle("log_price", """
+SELECT listing_id, date, price,
+       round(CASE WHEN price > 0 THEN ln(CAST(price AS DOUBLE)) END, 6) AS log_price FROM calendar_c""",
+       "calendar_c")
+_HAV = """6371.0 * (2 * atan2(sqrt(a), sqrt(1 - a)))"""
+oracle("haversine", f"""
+SELECT id, round({_HAV}, 6) AS distance_to_center_km
+FROM (SELECT id, pow(sin((radians(49.2827) - radians(CAST(latitude AS DOUBLE))) / 2), 2)
+             + cos(radians(CAST(latitude AS DOUBLE))) * cos(radians(49.2827))
+             * pow(sin((radians(-123.1207) - radians(CAST(longitude AS DOUBLE))) / 2), 2) AS a
+      FROM listings_c)""", "listings_c")

@@ -67,3 +67,284 @@ def q_region_occupancy(spark, sf):
 @query("occupancy_panel")
 def q_occupancy_panel(spark, sf):
     return rounded(panel(spark, sf))
+
+
+# ---- 2.1 scans, sources, sinks ---------------------------------------------
+
+from ..functions import numeric as N  # noqa: E402
+from ..functions import parsing as P  # noqa: E402
+from ..functions import text as T  # noqa: E402
+from ..operators import clean as C  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import sampling as S  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import io  # noqa: E402
+from ..sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW  # noqa: E402
+
+
+@query("csv_scan_quoted")
+def q_csv_scan_quoted(spark, sf):
+    """Listings written as CSV and read back with quote + doubled-quote escape."""
+    return io.csv_roundtrip(B.listings_raw(spark, sf), "listings-csv", LISTINGS_RAW)
+
+
+@query("csv_scan_plain")
+def q_csv_scan_plain(spark, sf):
+    """Multi-line review texts (some holding quotes) through CSV and back."""
+    return io.csv_roundtrip(B.reviews_raw(spark, sf), "reviews-csv", REVIEWS_RAW)
+
+
+def _calendar_text_with_bad_fields(spark, sf):
+    cal = B.calendar_raw(spark, sf)
+    return cal.select(
+        "listing_id",
+        F.when(F.col("minimum_nights") == 7, F.lit("bad-date")).otherwise(F.col("date").cast("string")).alias("date"),
+        "available", "price",
+        F.when(F.col("minimum_nights") == 3, F.lit("maybe")).alias("adjusted_price"),
+        "minimum_nights",
+        F.when(F.col("maximum_nights") >= 49, F.lit("9999999999"))
+         .when(F.col("maximum_nights") == 1, F.lit("2.5"))
+         .otherwise(F.col("maximum_nights").cast("string")).alias("maximum_nights"),
+    )
+
+
+@query("csv_permissive")
+def q_csv_permissive(spark, sf):
+    """Fields that do not fit the declared type become NULL; rows stay."""
+    return io.csv_roundtrip(_calendar_text_with_bad_fields(spark, sf), "calendar-bad-csv", CALENDAR_RAW)
+
+
+@query("parquet_scan")
+def q_parquet_scan(spark, sf):
+    """Pruned, filtered parquet read (ReadSchema 3 columns, PushedFilters)."""
+    li = B.table(spark, sf, "lineitem")
+    return (li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+              .select("l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"), "l_extendedprice"))
+
+
+@query("parquet_sink_roundtrip")
+def q_parquet_sink(spark, sf):
+    return io.parquet_roundtrip(calendar_clean(spark, sf), "calendar-clean", compression="lz4")
+
+
+def _written_panel(spark, sf):
+    path = scratch_path(spark, "panel")
+    occ.write_panel(panel(spark, sf), path)
+    return path
+
+
+@query("partitioned_sink_roundtrip")
+def q_partitioned_sink(spark, sf):
+    return rounded(spark.read.parquet(_written_panel(spark, sf)))
+
+
+@query("segment_scan")
+def q_segment_scan(spark, sf):
+    """One segment read from the partitioned panel by folder pruning."""
+    root = _written_panel(spark, sf)
+    return rounded(io.read_segment(spark, root, high_demand=1, is_weekend=0, hot_region=1))
+
+
+# ---- 2.2 projections ---------------------------------------------------------
+
+@query("project_drop")
+def q_project_drop(spark, sf):
+    return C.drop_columns(B.listings_raw(spark, sf), etl.LISTINGS_DROPPED)
+
+
+@query("join_disambiguate")
+def q_join_disambiguate(spark, sf):
+    l = listings_clean(spark, sf).select("id", "room_type")
+    c = calendar_clean(spark, sf).select(F.col("listing_id").alias("id"), "date", "price")
+    return J.join_on_key(l, c, "id")
+
+
+@query("project_rename")
+def q_project_rename(spark, sf):
+    df = listings_clean(spark, sf).select("id", "price", "neighbourhood_cleansed", "bedrooms", "beds")
+    return C.rename_columns(df, {"price": "listing_price", "neighbourhood_cleansed": "neighbourhood",
+                                 "bedrooms": "num_bedrooms", "beds": "num_beds"})
+
+
+REVIEW_LISTING_COLUMNS = [
+    "id", "review_scores_rating", "review_scores_communication", "review_scores_accuracy",
+    "review_scores_cleanliness", "review_scores_location", "review_scores_value",
+    "review_scores_checkin", "reviews_per_month", "latitude", "longitude", "room_type"]
+
+
+@query("project_select")
+def q_project_select(spark, sf):
+    return C.select_columns(listings_clean(spark, sf), REVIEW_LISTING_COLUMNS)
+
+
+@query("parse_flag")
+def q_parse_flag(spark, sf):
+    return B.calendar_raw(spark, sf).select(
+        "listing_id", "date", F.col("available").alias("raw"), P.parse_flag("available").alias("flag"))
+
+
+@query("parse_money")
+def q_parse_money(spark, sf):
+    return B.calendar_raw(spark, sf).select(
+        "listing_id", "date", F.col("price").alias("raw"), P.parse_money("price").alias("price_value"))
+
+
+@query("parse_money_thousands")
+def q_parse_money_thousands(spark, sf):
+    return B.calendar_raw(spark, sf).select(
+        "listing_id", "date", F.col("price").alias("raw"), P.parse_money_thousands("price").alias("price_value"))
+
+
+@query("rental_label")
+def q_rental_label(spark, sf):
+    return calendar_clean(spark, sf).select("listing_id", "date", "available",
+                                            N.rental_label("available").alias("label"))
+
+
+@query("threshold_flag")
+def q_threshold_flag(spark, sf):
+    days = occ.with_running_occupancy(occ.rental_days(
+        listings_clean(spark, sf), calendar_clean(spark, sf), B.PANEL_START, B.PANEL_END))
+    return rounded(days.select("id", "date", "occupancy_rate", "high_demand"))
+
+
+@query("weekend_flag")
+def q_weekend_flag(spark, sf):
+    return calendar_clean(spark, sf).select("listing_id", "date", N.weekend_flag("date").alias("is_weekend"))
+
+
+@query("null_normalise")
+def q_null_normalise(spark, sf):
+    return B.listings_raw(spark, sf).select(
+        "id", P.empty_list_to_null("amenities").alias("amenities"),
+        P.null_to_empty("bathrooms_text").alias("bathrooms_text"))
+
+
+# ---- 2.3 filters --------------------------------------------------------------
+
+@query("filter_not_null_keys")
+def q_filter_not_null_keys(spark, sf):
+    return C.filter_not_null(B.reviews_raw(spark, sf).select("listing_id", "id", "date"), ["listing_id", "id"])
+
+
+@query("filter_date_range")
+def q_filter_date_range(spark, sf):
+    return calendar_clean(spark, sf).where(
+        F.col("date").between(F.lit(B.PANEL_START).cast("date"), F.lit(B.PANEL_END).cast("date")))
+
+
+@query("filter_dropna")
+def q_filter_dropna(spark, sf):
+    return occ.rental_days(listings_clean(spark, sf), calendar_clean(spark, sf), B.PANEL_START, B.PANEL_END)
+
+
+@query("filter_ascii")
+def q_filter_ascii(spark, sf):
+    return B.reviews_raw(spark, sf).where(T.is_ascii_text("comments")).select("id", "listing_id")
+
+
+@query("filter_stopword_lang")
+def q_filter_stopword_lang(spark, sf):
+    """Marker-word test, on ASCII texts (word boundaries are engine-specific
+    next to accented letters)."""
+    r = B.reviews_raw(spark, sf)
+    return r.where(T.is_ascii_text("comments") & ~T.has_marker_words("comments")).select("id", "listing_id")
+
+
+@query("filter_accents")
+def q_filter_accents(spark, sf):
+    r = B.reviews_raw(spark, sf)
+    return r.where(F.col("comments").isNotNull() & ~T.has_accents("comments")).select("id", "listing_id")
+
+
+@query("english_filter")
+def q_english_filter(spark, sf):
+    return etl.english_reviews(B.reviews_raw(spark, sf)).select("id", "listing_id", "date")
+
+
+@query("bath_flags")
+def q_bath_flags(spark, sf):
+    return B.listings_raw(spark, sf).select(
+        "id", "bathrooms_text",
+        P.contains_flag("bathrooms_text", "private").alias("is_private_bath"),
+        P.contains_flag("bathrooms_text", "shared").alias("is_shared_bath"))
+
+
+def _sample_bucket():
+    """Integer-arithmetic bucket of the (listing, day) key in [0, 10000)."""
+    days = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return F.pmod(F.col("listing_id").cast("long") * 2654435761 + days * 40503 + 17, F.lit(10000))
+
+
+@query("key_sample")
+def q_key_sample(spark, sf):
+    return S.key_sample(calendar_clean(spark, sf), 0.1, bucket=_sample_bucket())
+
+
+@query("key_split")
+def q_key_split(spark, sf):
+    return S.key_split(calendar_clean(spark, sf), 0.8, bucket=_sample_bucket()).select(
+        "listing_id", "date", "split")
+
+
+@query("bernoulli_sample")
+def q_bernoulli_sample(spark, sf):
+    return S.bernoulli_sample(calendar_clean(spark, sf), 0.01, seed=7)
+
+
+@query("random_split")
+def q_random_split(spark, sf):
+    train, test = S.random_split(calendar_clean(spark, sf), [0.8, 0.2], seed=42)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+# ---- 2.9 scalar functions ------------------------------------------------------
+
+@query("strip_breaks")
+def q_strip_breaks(spark, sf):
+    return B.reviews_raw(spark, sf).select("id", P.strip_breaks("comments").alias("comments"))
+
+
+@query("bathroom_count")
+def q_bathroom_count(spark, sf):
+    return B.listings_raw(spark, sf).select("id", "bathrooms_text",
+                                            P.bathroom_count("bathrooms_text").alias("num_bathrooms"))
+
+
+@query("amenity_list")
+def q_amenity_list(spark, sf):
+    return listings_clean(spark, sf).select("id", P.amenity_list("amenities").alias("amenities_list"))
+
+
+@query("amenity_list_json")
+def q_amenity_list_json(spark, sf):
+    return listings_clean(spark, sf).select("id", P.amenity_list_json("amenities").alias("amenities_list"))
+
+
+@query("amenity_count")
+def q_amenity_count(spark, sf):
+    return listings_clean(spark, sf).select(
+        "id", P.amenity_count("amenities").alias("amenities_count"),
+        P.amenity_count("amenities", json=True).alias("amenities_count_json"))
+
+
+@query("clean_comments")
+def q_clean_comments(spark, sf):
+    return reviews_clean(spark, sf).select("id", T.clean_comments("comments").alias("cleaned_comments"))
+
+
+@query("clean_comments_compat")
+def q_clean_comments_compat(spark, sf):
+    return reviews_clean(spark, sf).select("id", T.clean_comments_compat("comments").alias("cleaned_comments"))
+
+
+@query("log_price")
+def q_log_price(spark, sf):
+    return rounded(calendar_clean(spark, sf).select(
+        "listing_id", "date", "price", N.log_price("price").alias("log_price")))
+
+
+@query("haversine")
+def q_haversine(spark, sf):
+    return rounded(listings_clean(spark, sf).select(
+        "id", N.haversine_km("latitude", "longitude").alias("distance_to_center_km")))
