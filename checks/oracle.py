@@ -144,3 +144,182 @@ FROM (SELECT id, pow(sin((radians(49.2827) - radians(CAST(latitude AS DOUBLE)))
              + cos(radians(CAST(latitude AS DOUBLE))) * cos(radians(49.2827))
              * pow(sin((radians(-123.1207) - radians(CAST(longitude AS DOUBLE))) / 2), 2) AS a
       FROM listings_c)""", "listings_c")
+
+# ---- review analysis CTEs ------------------------------------------------------------
+from hostlens.sources import bindings as _B  # noqa: E402
+
+from .ctes import register  # noqa: E402
+
+_LEX = "MAP {" + ", ".join(f"'{k}': {float(v)!r}::DOUBLE" for k, v in sorted(_B.FIXTURE_LEXICON.items())) + "}"
+_NEGS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_B.FIXTURE_NEGATORS))) + "]"
+_STOPS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_B.FIXTURE_STOP_WORDS))) + "]"
+_TOKENS = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
+
+register("comments", f"""
+SELECT l.id, l.review_scores_rating, l.review_scores_communication, l.review_scores_accuracy,
+       l.review_scores_cleanliness, l.review_scores_location, l.review_scores_value,
+       l.review_scores_checkin, l.reviews_per_month, l.latitude, l.longitude, l.room_type,
+       cnt.review_count, r.id AS review_id, coalesce(r.comments, '') AS comments, r.date,
+       regexp_replace(regexp_replace(r.comments, '(?i)<br\\s*/?\\s*>', '', 'g'), '^\\s+|\\s+$', '', 'g')
+         AS cleaned_comments
+FROM listings_c l
+LEFT JOIN (SELECT listing_id, count(listing_id) AS review_count FROM reviews_c GROUP BY listing_id) cnt
+  ON l.id = cnt.listing_id
+JOIN reviews_c r ON l.id = r.listing_id""", ["listings_c", "reviews_c"])
+
+register("scored", f"""
+SELECT *, CASE WHEN sentiment_score > 0.2 THEN 'positive' WHEN sentiment_score < -0.2 THEN 'negative'
+               ELSE 'neutral' END AS sentiment_category
+FROM (SELECT * EXCLUDE (hits__),
+             CASE WHEN len(hits__) > 0 THEN list_reduce(hits__, lambda a, b: a + b) / len(hits__)
+                  ELSE 0.0 END AS sentiment_score
+      FROM (SELECT * EXCLUDE (toks__),
+                   list_filter(list_transform(toks__, lambda x, i:
+                       CASE WHEN i > 1 AND list_contains({_NEGS}, toks__[i - 1]) THEN -({_LEX}[x])
+                            ELSE {_LEX}[x] END), lambda y: y IS NOT NULL) AS hits__
+            FROM (SELECT *, {_TOKENS.format(c='comments')} AS toks__ FROM comments)))""", ["comments"])
+
+
+def tfidf_sql(source: str, text: str, group: str, k: int = 20) -> str:
+    """TF-IDF keyword twin: (group, term, score)."""
+    return f"""
+WITH docs__ AS (SELECT {group} AS g, review_id AS doc,
+                       list_filter({_TOKENS.format(c=text)}, lambda x: NOT list_contains({_STOPS}, x)) AS toks
+                FROM {source}),
+tok__ AS (SELECT g, doc, unnest(toks) AS term FROM docs__),
+vocab__ AS (SELECT g, term FROM (SELECT g, term, row_number() OVER (PARTITION BY g
+                 ORDER BY count(*) DESC, term ASC) AS r FROM tok__ GROUP BY g, term) WHERE r <= {k}),
+tf__ AS (SELECT t.g, t.doc, t.term, count(*) AS tf FROM tok__ t JOIN vocab__ v ON t.g = v.g AND t.term = v.term
+         GROUP BY t.g, t.doc, t.term),
+n__ AS (SELECT g, count(*) AS n FROM docs__ GROUP BY g),
+df__ AS (SELECT g, term, count(*) AS df FROM tf__ GROUP BY g, term),
+w__ AS (SELECT tf__.g, tf__.doc, tf__.term, tf__.tf * (ln((1 + n) / (1 + df)) + 1) AS w
+        FROM tf__ JOIN df__ ON tf__.g = df__.g AND tf__.term = df__.term JOIN n__ ON tf__.g = n__.g)
+SELECT g, term, round(sum(w / sqrt(ss)), 6) AS score
+FROM (SELECT *, sum(w * w) OVER (PARTITION BY g, doc) AS ss FROM w__) GROUP BY g, term"""
+
+
+def _tfidf(name: str, source_sql: str, needs: list[str], text: str, grouped: bool) -> None:
+    from .ctes import CTES
+    register(f"{name}_src", source_sql, needs)
+    body = tfidf_sql(f"{name}_src", text, "sentiment_category" if grouped else "'all'")
+    if grouped:
+        body = body.replace("SELECT g, term, round(", "SELECT g AS sentiment_category, term, round(")
+    else:
+        body = body.replace("SELECT g, term, round(", "SELECT term, round(")
+    # the inner WITH of the twin joins the outer CTE list
+    outer = with_ctes("SELECT 1", f"{name}_src")
+    ORACLE[name] = outer[: outer.rindex("\nSELECT 1")] + ",\n" + body.strip()[len("WITH "):]
+    del CTES[f"{name}_src"]
+
+
+_tfidf("tfidf_terms", "SELECT * FROM scored", ["scored"], "cleaned_comments", False)
+_tfidf("keywords_by_category", "SELECT * FROM scored", ["scored"], "cleaned_comments", True)
+_tfidf("keywords_negative", "SELECT * FROM scored WHERE sentiment_score < -0.6", ["scored"], "comments", False)
+
+# ---- 2.4 joins -------------------------------------------------------------------------
+oracle("join_listing_calendar", """
+SELECT l.id, l.room_type, l.accommodates, c.date, c.price, c.available
+FROM listings_c l JOIN calendar_c c ON l.id = c.listing_id""", "listings_c", "calendar_c")
+oracle("join_listing_reviews", """
+SELECT l.id, l.review_scores_rating, l.review_scores_communication, l.review_scores_accuracy,
+       l.review_scores_cleanliness, l.review_scores_location, l.review_scores_value,
+       l.review_scores_checkin, l.reviews_per_month, l.latitude, l.longitude, l.room_type, r.comments, r.date
+FROM listings_c l JOIN reviews_c r ON l.id = r.listing_id""", "listings_c", "reviews_c")
+oracle("join_left_count", "SELECT review_id, id, date, review_count FROM comments", "comments")
+_LOGP = ("SELECT listing_id, date, CASE WHEN price > 0 THEN ln(CAST(price AS DOUBLE)) END AS log_price "
+         "FROM calendar_c")
+register("log_prices", _LOGP, ["calendar_c"])
+oracle("agg_join_back", """
+SELECT p.listing_id, p.date, round(p.log_price, 6) AS log_price, round(a.average_log_price, 6) AS average_log_price
+FROM log_prices p JOIN (SELECT listing_id, avg(log_price) AS average_log_price FROM log_prices GROUP BY listing_id) a
+  ON p.listing_id = a.listing_id""", "log_prices")
+oracle("agg_over_partition", """
+SELECT listing_id, date, round(log_price, 6) AS log_price,
+       round(avg(log_price) OVER (PARTITION BY listing_id), 6) AS average_log_price FROM log_prices""", "log_prices")
+
+# ---- 2.5 aggregations ---------------------------------------------------------------------
+oracle("dedup_keys", "SELECT * FROM calendar_c", "calendar_c")
+oracle("distinct_rows", "SELECT DISTINCT listing_id, available, minimum_nights FROM calendar_c", "calendar_c")
+oracle("count_per_key", "SELECT listing_id, count(listing_id) AS review_count FROM reviews_c GROUP BY listing_id",
+       "reviews_c")
+oracle("avg_log_price", """
+SELECT listing_id, round(avg(log_price), 6) AS average_log_price FROM log_prices GROUP BY listing_id""", "log_prices")
+_ROLL_ATTR = ["review_scores_rating", "review_scores_communication", "review_scores_accuracy",
+              "review_scores_cleanliness", "review_scores_location", "review_scores_value",
+              "review_scores_checkin", "reviews_per_month", "latitude", "longitude", "room_type", "review_count"]
+_ROUNDED = {"review_scores_rating", "review_scores_communication", "review_scores_accuracy",
+            "review_scores_cleanliness", "review_scores_location", "review_scores_value",
+            "review_scores_checkin", "reviews_per_month"}
+register("rollup", "SELECT id, " + ", ".join(f"min({c}) AS {c}" for c in _ROLL_ATTR)
+         + ", avg(sentiment_score) AS sentiment_score_mean, var_samp(sentiment_score) AS sentiment_score_variance"
+         + " FROM scored GROUP BY id", ["scored"])
+oracle("listing_sentiment_rollup", "SELECT id, " + ", ".join(
+    f"round({c}, 6) AS {c}" if c in _ROUNDED else c for c in _ROLL_ATTR)
+    + ", round(sentiment_score_mean, 6) AS sentiment_score_mean"
+    + ", round(sentiment_score_variance, 6) AS sentiment_score_variance FROM rollup", "rollup")
+
+
+def _exact_mean(c):
+    """Half-up mean of 2-decimal values at 6 places, by integer arithmetic."""
+    s_, n_ = f"sum(CAST(round({c} * 100) AS BIGINT))", f"count({c})"
+    return f"CASE WHEN {n_} > 0 THEN CAST((2 * {s_} * 10000 + {n_}) // (2 * {n_}) AS DOUBLE) / 1000000 END"
+
+
+oracle("category_score_means", f"""
+SELECT sentiment_category, {_exact_mean('review_scores_communication')} AS avg_communication,
+       {_exact_mean('review_scores_location')} AS avg_location, {_exact_mean('review_scores_value')} AS avg_value,
+       {_exact_mean('review_scores_rating')} AS avg_rating, {_exact_mean('review_scores_checkin')} AS avg_checkin,
+       {_exact_mean('review_scores_cleanliness')} AS avg_cleanliness, count(sentiment_score) AS comment_count
+FROM scored GROUP BY sentiment_category""", "scored")
+oracle("global_avg", "SELECT round(avg(price), 6) AS avg_price FROM calendar_c", "calendar_c")
+oracle("hot_region_median", """
+SELECT neighbourhood_cleansed, round(avg_occupancy_rate, 6) AS avg_occupancy_rate,
+       CASE WHEN avg_occupancy_rate > (SELECT quantile_cont(avg_occupancy_rate, 0.5) FROM regions) THEN 1 ELSE 0 END
+         AS hot_region FROM regions""", "regions")
+oracle("hot_region_fixed", """
+SELECT neighbourhood_cleansed, round(avg_occupancy_rate, 6) AS avg_occupancy_rate,
+       CASE WHEN avg_occupancy_rate > 0.542 THEN 1 ELSE 0 END AS hot_region FROM regions""", "regions")
+_CORR_COLS = ["sentiment_score_mean", "review_scores_rating", "review_scores_communication",
+              "review_scores_accuracy", "review_scores_cleanliness", "review_scores_location",
+              "review_scores_value", "review_scores_checkin", "reviews_per_month", "review_count"]
+oracle("corr_matrix", " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM rollup"
+    for a in _CORR_COLS for b in _CORR_COLS), "rollup")
+oracle("geo_sentiment_grid", """
+SELECT round(CAST(latitude AS DOUBLE), 2) AS lat_cell, round(CAST(longitude AS DOUBLE), 2) AS lon_cell,
+       count(*) FILTER (WHERE sentiment_category = 'positive') AS positive,
+       count(*) FILTER (WHERE sentiment_category = 'neutral') AS neutral,
+       count(*) FILTER (WHERE sentiment_category = 'negative') AS negative
+FROM scored GROUP BY 1, 2""", "scored")
+
+# ---- 2.6 windows ---------------------------------------------------------------------------
+oracle("running_rentals", "SELECT id, date, label, cumulative_rentout FROM panel_occ", "panel_occ")
+oracle("day_ordinal", "SELECT id, date, total_days FROM panel_occ", "panel_occ")
+oracle("cumulative_occupancy", "SELECT id, date, round(occupancy_rate, 6) AS occupancy_rate FROM panel_occ",
+       "panel_occ")
+
+# ---- 2.7 ordering ----------------------------------------------------------------------------
+oracle("lowest_sentiment", """
+SELECT id, date, comments, round(sentiment_score, 6) AS sentiment_score FROM scored
+ORDER BY sentiment_score ASC NULLS FIRST, id ASC NULLS FIRST, date ASC NULLS FIRST, comments ASC NULLS FIRST
+LIMIT 5""", "scored")
+oracle("region_rank", """
+SELECT neighbourhood_cleansed, round(avg_occupancy_rate, 6) AS avg_occupancy_rate,
+       CAST(row_number() OVER (ORDER BY avg_occupancy_rate DESC, neighbourhood_cleansed) AS INTEGER) AS rank
+FROM regions""", "regions")
+
+# ---- text ----------------------------------------------------------------------------------------
+oracle("tokenize", f"""
+SELECT id, token, count(*) AS n
+FROM (SELECT id, unnest(list_filter({_TOKENS.format(c='comments')}, lambda x: NOT list_contains({_STOPS}, x)))
+        AS token FROM reviews_c)
+GROUP BY id, token""", "reviews_c")
+oracle("sentiment_score", "SELECT review_id, id, round(sentiment_score, 6) AS sentiment_score FROM scored", "scored")
+oracle("sentiment_category", "SELECT review_id, sentiment_category FROM scored", "scored")
+oracle("filter_threshold", """
+SELECT review_id, round(sentiment_score, 6) AS sentiment_score FROM scored WHERE sentiment_score < -0.6""", "scored")
+oracle("category_weight", """
+SELECT review_id, sentiment_category,
+       CASE WHEN sentiment_category = 'negative' THEN 200 ELSE 50 END AS size,
+       CASE WHEN sentiment_category = 'negative' THEN 0.8 ELSE 0.5 END AS alpha FROM scored""", "scored")

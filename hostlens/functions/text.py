@@ -98,19 +98,27 @@ def sentiment_from_tokens(token_array, lexicon: Mapping[str, float] = DEFAULT_LE
     """Mean polarity of the lexicon words in a token array.
 
     A word right after a negator counts with flipped sign.  No lexicon word
-    -> 0.0.  Computed per row: one pass over the array, no join.
+    -> 0.0.  One left-to-right ``aggregate`` over the array whose
+    accumulator carries (sum, hits, previous token): the array is referenced
+    once, so even when Catalyst inlines the tokenizer into a pushed-down
+    filter the text is tokenized once per row, not once per token.
     """
     toks = col_of(token_array)
     lex = F.create_map(*[x for k in sorted(lexicon) for x in (F.lit(k), F.lit(float(lexicon[k])))])
     negs = F.array(*[F.lit(w) for w in sorted(set(negators))]) if negators else F.array().cast("array<string>")
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(None).cast("string").alias("p"))
 
-    def signed(t, i):
-        prev_neg = F.when(i > 0, F.array_contains(negs, F.element_at(toks, i))).otherwise(F.lit(False))
-        return F.when(prev_neg, -lex[t]).otherwise(lex[t])
+    def step(acc, t):
+        pol = lex[t]
+        signed = F.when(F.array_contains(negs, acc["p"]), -pol).otherwise(pol)
+        return F.struct(F.when(pol.isNull(), acc["s"]).otherwise(acc["s"] + signed).alias("s"),
+                        (acc["n"] + F.when(pol.isNull(), 0).otherwise(1)).alias("n"),
+                        t.alias("p"))
 
-    hits = F.filter(F.transform(toks, signed), lambda x: x.isNotNull())
-    total = F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
+    def finish(acc):
+        return F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0))
+
+    return F.aggregate(toks, zero, step, finish)
 
 
 def sentiment_category(score, upper: float = 0.2, lower: float = -0.2) -> Column:

@@ -24,9 +24,20 @@ def global_mean(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def grouped_means(df: DataFrame, key: str, means: Mapping[str, str],
-                  count_col: str | None = None, count_name: str = "count") -> DataFrame:
-    """``{alias: column}`` means per key, plus an optional non-NULL count."""
-    aggs = [F.avg(c).alias(a) for a, c in means.items()]
+                  count_col: str | None = None, count_name: str = "count",
+                  decimals: int | None = None) -> DataFrame:
+    """``{alias: column}`` means per key, plus an optional non-NULL count.
+
+    ``decimals``: the inputs are fixed-point values with that many decimals
+    (review scores); the mean is then computed exactly in decimal arithmetic
+    and rounded half-up to ``decimals + 4`` places instead of summing doubles.
+    """
+    def mean(c):
+        if decimals is None:
+            return F.avg(c)
+        return F.avg(F.col(c).cast(f"decimal(18,{decimals})")).cast("double")
+
+    aggs = [mean(c).alias(a) for a, c in means.items()]
     if count_col:
         aggs.append(F.count(count_col).alias(count_name))
     return df.groupBy(key).agg(*aggs)

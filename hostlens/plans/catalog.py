@@ -348,3 +348,197 @@ def q_log_price(spark, sf):
 def q_haversine(spark, sf):
     return rounded(listings_clean(spark, sf).select(
         "id", N.haversine_km("latitude", "longitude").alias("distance_to_center_km")))
+
+
+# ---- 2.4 joins -----------------------------------------------------------------
+
+from ..operators import aggregates as A  # noqa: E402
+from ..operators import text as TX  # noqa: E402
+from ..operators import windows as W  # noqa: E402
+from . import reviews as RV  # noqa: E402
+
+
+def comments(spark, sf):
+    return RV.comment_rows(listings_clean(spark, sf), reviews_clean(spark, sf),
+                           B.FIXTURE_LEXICON, B.FIXTURE_NEGATORS, keep_review_id=True)
+
+
+def rental_days(spark, sf):
+    return occ.rental_days(listings_clean(spark, sf), calendar_clean(spark, sf), B.PANEL_START, B.PANEL_END)
+
+
+@query("join_listing_calendar")
+def q_join_listing_calendar(spark, sf):
+    return J.join_listing_calendar(listings_clean(spark, sf), calendar_clean(spark, sf),
+                                   ["id", "room_type", "accommodates"], ["listing_id", "date", "price", "available"])
+
+
+@query("join_listing_reviews")
+def q_join_listing_reviews(spark, sf):
+    l = listings_clean(spark, sf).select(*RV.LISTING_COLUMNS)
+    r = reviews_clean(spark, sf).select("listing_id", "comments", "date")
+    return l.join(r, l["id"] == r["listing_id"], "inner").drop("listing_id")
+
+
+@query("join_left_count")
+def q_join_left_count(spark, sf):
+    return comments(spark, sf).select("review_id", "id", "date", "review_count")
+
+
+def _log_prices(spark, sf):
+    return calendar_clean(spark, sf).select("listing_id", "date", N.log_price("price").alias("log_price"))
+
+
+@query("agg_join_back")
+def q_agg_join_back(spark, sf):
+    df = J.attach_group_stat(_log_prices(spark, sf), ["listing_id"], F.avg("log_price"), "average_log_price")
+    return rounded(df)
+
+
+@query("agg_over_partition")
+def q_agg_over_partition(spark, sf):
+    df = J.attach_group_stat_window(_log_prices(spark, sf), ["listing_id"], F.avg("log_price"), "average_log_price")
+    return rounded(df)
+
+
+# ---- 2.5 aggregations --------------------------------------------------------------
+
+@query("dedup_keys")
+def q_dedup_keys(spark, sf):
+    return calendar_clean(spark, sf)
+
+
+@query("distinct_rows")
+def q_distinct_rows(spark, sf):
+    return C.distinct_rows(calendar_clean(spark, sf).select("listing_id", "available", "minimum_nights"))
+
+
+@query("count_per_key")
+def q_count_per_key(spark, sf):
+    return A.count_per_key(reviews_clean(spark, sf), "listing_id", "review_count")
+
+
+@query("avg_log_price")
+def q_avg_log_price(spark, sf):
+    return rounded(A.mean_per_key(_log_prices(spark, sf), "listing_id", "log_price", "average_log_price"))
+
+
+@query("listing_sentiment_rollup")
+def q_listing_sentiment_rollup(spark, sf):
+    return rounded(RV.listing_rollup(comments(spark, sf)))
+
+
+@query("category_score_means")
+def q_category_score_means(spark, sf):
+    return rounded(RV.category_score_means(comments(spark, sf)))
+
+
+@query("global_avg")
+def q_global_avg(spark, sf):
+    return rounded(A.global_mean(calendar_clean(spark, sf), "price", "avg_price"))
+
+
+def _regions_with_cut(spark, sf, cut):
+    days = occ.with_running_occupancy(rental_days(spark, sf))
+    regions = occ.region_occupancy(days)
+    c = A.median_of(regions, "avg_occupancy_rate") if cut is None else cut
+    return rounded(regions.withColumn("hot_region", N.threshold_flag("avg_occupancy_rate", c)))
+
+
+@query("hot_region_median")
+def q_hot_region_median(spark, sf):
+    return _regions_with_cut(spark, sf, None)
+
+
+@query("hot_region_fixed")
+def q_hot_region_fixed(spark, sf):
+    return _regions_with_cut(spark, sf, occ.HOT_REGION_CUT)
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf):
+    return rounded(RV.score_correlations(comments(spark, sf)))
+
+
+@query("tfidf_terms")
+def q_tfidf_terms(spark, sf):
+    return rounded(TX.tfidf_keywords(comments(spark, sf), "review_id", "cleaned_comments", None, 20,
+                                     B.FIXTURE_STOP_WORDS))
+
+
+@query("keywords_by_category")
+def q_keywords_by_category(spark, sf):
+    return rounded(RV.keywords_by_category(comments(spark, sf), stop_words=B.FIXTURE_STOP_WORDS))
+
+
+@query("keywords_negative")
+def q_keywords_negative(spark, sf):
+    return rounded(RV.negative_keywords(comments(spark, sf), stop_words=B.FIXTURE_STOP_WORDS))
+
+
+@query("geo_sentiment_grid")
+def q_geo_sentiment_grid(spark, sf):
+    return RV.geo_sentiment_grid(comments(spark, sf))
+
+
+# ---- 2.6 windows -------------------------------------------------------------------
+
+def _occupancy_days(spark, sf):
+    return W.cumulative_occupancy(rental_days(spark, sf), tiebreak=["host_id"])
+
+
+@query("running_rentals")
+def q_running_rentals(spark, sf):
+    return _occupancy_days(spark, sf).select("id", "date", "label", "cumulative_rentout")
+
+
+@query("day_ordinal")
+def q_day_ordinal(spark, sf):
+    return _occupancy_days(spark, sf).select("id", "date", "total_days")
+
+
+@query("cumulative_occupancy")
+def q_cumulative_occupancy(spark, sf):
+    return rounded(_occupancy_days(spark, sf).select("id", "date", "occupancy_rate"))
+
+
+# ---- 2.7 ordering ------------------------------------------------------------------
+
+@query("lowest_sentiment")
+def q_lowest_sentiment(spark, sf):
+    return rounded(RV.lowest_sentiment(comments(spark, sf)).select("id", "date", "comments", "sentiment_score"))
+
+
+@query("region_rank")
+def q_region_rank(spark, sf):
+    from pyspark.sql import Window
+    regions = occ.region_occupancy(occ.with_running_occupancy(rental_days(spark, sf)))
+    w = Window.orderBy(F.col("avg_occupancy_rate").desc(), F.col("neighbourhood_cleansed"))
+    return rounded(regions.withColumn("rank", F.row_number().over(w)))
+
+
+# ---- 2.9 / 2.10 text ------------------------------------------------------------------
+
+@query("tokenize")
+def q_tokenize(spark, sf):
+    return TX.token_counts(reviews_clean(spark, sf), "id", "comments", B.FIXTURE_STOP_WORDS)
+
+
+@query("sentiment_score")
+def q_sentiment_score(spark, sf):
+    return rounded(comments(spark, sf).select("review_id", "id", "sentiment_score"))
+
+
+@query("sentiment_category")
+def q_sentiment_category(spark, sf):
+    return comments(spark, sf).select("review_id", "sentiment_category")
+
+
+@query("filter_threshold")
+def q_filter_threshold(spark, sf):
+    return rounded(RV.negative_comments(comments(spark, sf)).select("review_id", "sentiment_score"))
+
+
+@query("category_weight")
+def q_category_weight(spark, sf):
+    return RV.with_plot_weights(comments(spark, sf)).select("review_id", "sentiment_category", "size", "alpha")
