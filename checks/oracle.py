@@ -323,3 +323,71 @@ oracle("category_weight", """
 SELECT review_id, sentiment_category,
        CASE WHEN sentiment_category = 'negative' THEN 200 ELSE 50 END AS size,
        CASE WHEN sentiment_category = 'negative' THEN 0.8 ELSE 0.5 END AS alpha FROM scored""", "scored")
+
+# ---- 2.12 price recommendation ------------------------------------------------------------
+from hostlens.operators.pricing import ACTIONS as _ACTIONS  # noqa: E402
+
+_SEG = ("concat_ws('_', CASE WHEN high_demand = 1 THEN 'highdemand' ELSE 'lowdemand' END, "
+        "CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END, "
+        "CASE WHEN hot_region = 1 THEN 'hotregion' ELSE 'nothotregion' END)")
+_ACTS = "(SELECT * FROM (VALUES " + ", ".join(f"({a!r}::DOUBLE)" for a in _ACTIONS) + ") t(action))"
+_NEXT = ("concat_ws('_', CASE WHEN action > 1.0 THEN 'highdemand' ELSE 'lowdemand' END, "
+         "CASE WHEN split_part(segment, '_', 2) = 'weekday' THEN 'weekend' ELSE 'weekday' END, "
+         "split_part(segment, '_', 3))")
+register("segs", f"""
+SELECT p.*, rp.region_avg_price, {_SEG} AS segment
+FROM panel p JOIN (SELECT neighbourhood_cleansed, avg(CAST(price AS DOUBLE)) AS region_avg_price
+                   FROM panel GROUP BY neighbourhood_cleansed) rp
+  ON p.neighbourhood_cleansed = rp.neighbourhood_cleansed""", ["panel"])
+register("rew", f"""
+SELECT *, CASE WHEN high_demand = 1 THEN
+            CASE WHEN prediction = 1 THEN new_price * prediction - CAST(price AS DOUBLE) * label ELSE -new_price END
+          ELSE
+            CASE WHEN label = 0 AND prediction = 1
+                 THEN (new_price * prediction - CAST(price AS DOUBLE) * label) * k ELSE -new_price * k END
+          END AS reward
+FROM (SELECT *, CASE WHEN new_price <= region_avg_price THEN 1 ELSE 0 END AS prediction,
+             CASE WHEN is_weekend = 0 AND hot_region = 0 THEN 4 WHEN is_weekend = 0 AND hot_region = 1 THEN 3
+                  WHEN is_weekend = 1 AND hot_region = 0 THEN 3 ELSE 2 END AS k
+      FROM (SELECT s.*, a.action, CAST(s.price AS DOUBLE) * a.action AS new_price
+            FROM segs s CROSS JOIN {_ACTS} a))""", ["segs"])
+register("grid", "SELECT segment, action, avg(reward) AS avg_reward FROM rew GROUP BY segment, action", ["rew"])
+register("look", f"""
+SELECT g.segment, g.action, g.next_segment, g.avg_reward,
+       g.avg_reward + 0.9 * coalesce(nb.best, 0.0) AS value
+FROM (SELECT *, {_NEXT} AS next_segment FROM grid) g
+LEFT JOIN (SELECT segment, max(avg_reward) AS best FROM grid GROUP BY segment) nb ON g.next_segment = nb.segment""",
+         ["grid"])
+register("best", """
+SELECT segment AS state, action AS best_action
+FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY value DESC, action ASC) AS r FROM look)
+WHERE r = 1""", ["look"])
+
+oracle("segment_key", f"SELECT id, date, {_SEG} AS segment FROM panel", "panel")
+oracle("action_grid", f"""
+SELECT p.id, p.date, a.action, round(CAST(p.price AS DOUBLE) * a.action, 6) AS new_price
+FROM panel p CROSS JOIN {_ACTS} a""", "panel")
+oracle("segment_transition", f"""
+SELECT segment, action, {_NEXT} AS next_segment
+FROM (SELECT DISTINCT {_SEG} AS segment FROM panel) s CROSS JOIN {_ACTS} a""", "panel")
+oracle("reward_rows", "SELECT id, date, segment, action, prediction, round(reward, 6) AS reward FROM rew", "rew")
+oracle("reward_grid", "SELECT segment, action, round(avg_reward, 6) AS avg_reward FROM grid", "grid")
+oracle("lookahead_value", """
+SELECT segment, action, next_segment, round(avg_reward, 6) AS avg_reward, round(value, 6) AS value FROM look""",
+       "look")
+oracle("best_action", "SELECT * FROM best", "best")
+oracle("csv_sink_roundtrip", "SELECT * FROM best", "best")
+register("rrew_src", "SELECT * FROM rew", ["rew"])
+_MED = with_ctes("SELECT 1", "rrew_src")
+ORACLE["median_best_action"] = _MED[: _MED.rindex("\nSELECT 1")] + ",\n" + f"""
+rrew AS (SELECT *, (CAST(id AS BIGINT) * 7919 + CAST(date - DATE '1970-01-01' AS BIGINT) * 104729) % 5
+                        AS replicate FROM rew),
+rgrid AS (SELECT replicate, segment, action, avg(reward) AS avg_reward FROM rrew GROUP BY 1, 2, 3),
+rlook AS (SELECT g.replicate, g.segment, g.action, g.avg_reward + 0.9 * coalesce(nb.best, 0.0) AS value
+          FROM (SELECT *, {_NEXT} AS next_segment FROM rgrid) g
+          LEFT JOIN (SELECT replicate, segment, max(avg_reward) AS best FROM rgrid GROUP BY 1, 2) nb
+            ON g.replicate = nb.replicate AND g.next_segment = nb.segment),
+rbest AS (SELECT replicate, segment AS state, action AS best_action
+          FROM (SELECT *, row_number() OVER (PARTITION BY replicate, segment ORDER BY value DESC, action ASC) AS r
+                FROM rlook) WHERE r = 1)
+SELECT state, round(quantile_cont(best_action, 0.5), 6) AS best_action FROM rbest GROUP BY state"""

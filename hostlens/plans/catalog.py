@@ -542,3 +542,62 @@ def q_filter_threshold(spark, sf):
 @query("category_weight")
 def q_category_weight(spark, sf):
     return RV.with_plot_weights(comments(spark, sf)).select("review_id", "sentiment_category", "size", "alpha")
+
+
+# ---- 2.12 price recommendation (rule predictor) -------------------------------------
+
+from ..operators import pricing as PR  # noqa: E402
+from . import recommend as RC  # noqa: E402
+
+
+def rule_scored(spark, sf):
+    return RC.rule_scored(panel(spark, sf))
+
+
+@query("segment_key")
+def q_segment_key(spark, sf):
+    return RC.with_segment(panel(spark, sf)).select("id", "date", "segment")
+
+
+@query("action_grid")
+def q_action_grid(spark, sf):
+    return rounded(PR.with_actions(panel(spark, sf)).select("id", "date", "action", "new_price"))
+
+
+@query("segment_transition")
+def q_segment_transition(spark, sf):
+    segs = RC.with_segment(panel(spark, sf)).select("segment").distinct()
+    return PR.with_actions(segs.withColumn("price", F.lit(0.0))).select(
+        "segment", "action", PR.next_segment(F.col("segment"), F.col("action")).alias("next_segment"))
+
+
+@query("reward_rows")
+def q_reward_rows(spark, sf):
+    return rounded(rule_scored(spark, sf).select("id", "date", "segment", "action", "prediction", "reward"))
+
+
+@query("reward_grid")
+def q_reward_grid(spark, sf):
+    return rounded(PR.reward_grid(rule_scored(spark, sf)))
+
+
+@query("lookahead_value")
+def q_lookahead_value(spark, sf):
+    return rounded(PR.lookahead_value(PR.reward_grid(rule_scored(spark, sf))))
+
+
+@query("best_action")
+def q_best_action(spark, sf):
+    return RC.recommend(rule_scored(spark, sf))
+
+
+@query("median_best_action")
+def q_median_best_action(spark, sf):
+    return rounded(RC.recommend_median(rule_scored(spark, sf)))
+
+
+@query("csv_sink_roundtrip")
+def q_csv_sink_roundtrip(spark, sf):
+    """The recommendation table written as CSV with a header and read back."""
+    return io.csv_roundtrip(RC.recommend(rule_scored(spark, sf)), "recommendation-csv",
+                            "state STRING, best_action DOUBLE")
