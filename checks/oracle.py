@@ -391,3 +391,72 @@ rbest AS (SELECT replicate, segment AS state, action AS best_action
           FROM (SELECT *, row_number() OVER (PARTITION BY replicate, segment ORDER BY value DESC, action ASC) AS r
                 FROM rlook) WHERE r = 1)
 SELECT state, round(quantile_cont(best_action, 0.5), 6) AS best_action FROM rbest GROUP BY state"""
+
+# ---- 2.11 features and ML ---------------------------------------------------------------------
+_NUM = ["accommodates", "num_bedrooms", "num_beds", "num_bathrooms", "number_of_reviews",
+        "review_scores_rating", "reviews_per_month", "distance_to_center_km", "amenities_count", "minimum_nights"]
+_CAT = ["neighbourhood", "property_type", "is_private_bath", "is_shared_bath", "room_type"]
+_HAV_FEAT = """6371.0 * (2 * atan2(sqrt(a__), sqrt(1 - a__)))"""
+register("feat", f"""
+SELECT id, accommodates, num_bedrooms, num_beds, num_bathrooms, number_of_reviews, review_scores_rating,
+       reviews_per_month, {_HAV_FEAT} AS distance_to_center_km, amenities_count, minimum_nights,
+       neighbourhood, property_type, is_private_bath, is_shared_bath, room_type, average_log_price
+FROM (SELECT l.id, CAST(l.accommodates AS DOUBLE) AS accommodates, CAST(l.bedrooms AS DOUBLE) AS num_bedrooms,
+             CAST(l.beds AS DOUBLE) AS num_beds,
+             CAST(TRY_CAST(regexp_extract(l.bathrooms_text, '(\\d+\\.?\\d*)', 1) AS FLOAT) AS DOUBLE) AS num_bathrooms,
+             CAST(l.number_of_reviews AS DOUBLE) AS number_of_reviews, l.review_scores_rating, l.reviews_per_month,
+             pow(sin((radians(49.2827) - radians(CAST(l.latitude AS DOUBLE))) / 2), 2)
+               + cos(radians(CAST(l.latitude AS DOUBLE))) * cos(radians(49.2827))
+               * pow(sin((radians(-123.1207) - radians(CAST(l.longitude AS DOUBLE))) / 2), 2) AS a__,
+             CAST(coalesce(len(string_split(regexp_replace({_AMEN}, '[\\[\\]"]', '', 'g'), ', ')), -1) AS DOUBLE)
+               AS amenities_count,
+             CAST(t.minimum_nights AS DOUBLE) AS minimum_nights,
+             l.neighbourhood_cleansed AS neighbourhood, l.property_type,
+             CASE WHEN l.bathrooms_text LIKE '%private%' THEN 1 ELSE 0 END AS is_private_bath,
+             CASE WHEN l.bathrooms_text LIKE '%shared%' THEN 1 ELSE 0 END AS is_shared_bath,
+             l.room_type, t.average_log_price
+      FROM listings_c l
+      JOIN (SELECT listing_id, avg(CASE WHEN price > 0 THEN ln(CAST(price AS DOUBLE)) END) AS average_log_price,
+                   arg_min(minimum_nights, date) AS minimum_nights
+            FROM calendar_c GROUP BY listing_id) t ON l.id = t.listing_id
+      WHERE t.average_log_price IS NOT NULL)""", ["listings_c", "calendar_c"])
+register("imputed", "SELECT id, " + ", ".join(f"coalesce({c}, avg({c}) OVER ()) AS {c}" for c in _NUM)
+         + f", {', '.join(_CAT)}, average_log_price FROM feat", ["feat"])
+oracle("impute_mean", "SELECT id, " + ", ".join(f"round({c}, 6) AS {c}_imputed" for c in _NUM) + " FROM imputed",
+       "imputed")
+oracle("scale_std", "SELECT id, " + ", ".join(
+    f"round({c} / stddev_samp({c}) OVER (), 6) AS {c}_scaled" for c in _NUM) + " FROM imputed", "imputed")
+_ID_BUCKET = "((CAST(id AS BIGINT) * 2654435761 + 17) % 10000)"
+register("feat_train", f"SELECT * FROM feat WHERE {_ID_BUCKET} < 8000", ["feat"])
+register("feat_test", f"SELECT * FROM feat WHERE {_ID_BUCKET} >= 8000", ["feat"])
+for _c in _CAT:
+    register(f"lab_{_c}", f"""
+SELECT CAST({_c} AS VARCHAR) AS v,
+       row_number() OVER (ORDER BY count(*) DESC, CAST({_c} AS VARCHAR) ASC) - 1 AS idx
+FROM feat_train WHERE {_c} IS NOT NULL GROUP BY 1""", ["feat_train"])
+oracle("index_keep", "SELECT f.id, " + ", ".join(
+    f"CAST(coalesce(j_{c}.idx, (SELECT count(*) FROM lab_{c})) AS DOUBLE) AS {c}_index" for c in _CAT)
+    + " FROM feat f " + " ".join(
+    f"LEFT JOIN lab_{c} j_{c} ON CAST(f.{c} AS VARCHAR) = j_{c}.v" for c in _CAT),
+    "feat", *[f"lab_{c}" for c in _CAT])
+register("base_pred", """
+SELECT neighbourhood, avg(average_log_price) AS prediction FROM feat_train GROUP BY neighbourhood""", ["feat_train"])
+
+
+def _metrics(split, table):
+    return f"""
+SELECT '{split}' AS split,
+       round(1 - sum(pow(average_log_price - prediction, 2)) / (count(average_log_price) * var_pop(average_log_price)), 6)
+         AS r2,
+       round(sqrt(avg(pow(average_log_price - prediction, 2))), 6) AS rmse, count(*) AS n
+FROM {table} t JOIN base_pred b ON t.neighbourhood = b.neighbourhood"""
+
+
+oracle("regression_metrics", _metrics("train", "feat_train") + " UNION ALL " + _metrics("test", "feat_test"),
+       "feat_train", "feat_test", "base_pred")
+oracle("accuracy_metric", """
+SELECT segment,
+       round(avg(CASE WHEN CAST(label AS DOUBLE) = CAST(prediction AS DOUBLE) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)
+         AS accuracy,
+       count(*) AS n
+FROM rew WHERE action = 1.0 GROUP BY segment""", "rew")

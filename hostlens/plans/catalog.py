@@ -601,3 +601,144 @@ def q_csv_sink_roundtrip(spark, sf):
     """The recommendation table written as CSV with a header and read back."""
     return io.csv_roundtrip(RC.recommend(rule_scored(spark, sf)), "recommendation-csv",
                             "state STRING, best_action DOUBLE")
+
+
+# ---- 2.11 features and ML -------------------------------------------------------------
+
+from ..operators import ml as ML  # noqa: E402
+from . import occupancy_models as OM  # noqa: E402
+from . import price_model as PM  # noqa: E402
+
+
+def training_table(spark, sf):
+    return PM.training_table(listings_clean(spark, sf), calendar_clean(spark, sf))
+
+
+def _id_bucket():
+    return F.pmod(F.col("id").cast("long") * 2654435761 + 17, F.lit(10000))
+
+
+@query("impute_mean")
+def q_impute_mean(spark, sf):
+    df = ML.as_double(training_table(spark, sf), PM.NUMERIC)
+    out = ML.imputer(PM.NUMERIC).fit(df).transform(df)
+    return rounded(out.select("id", *[c + "_imputed" for c in PM.NUMERIC]))
+
+
+@query("scale_std")
+def q_scale_std(spark, sf):
+    df = ML.as_double(training_table(spark, sf), PM.NUMERIC)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    stages = [ML.imputer(PM.NUMERIC),
+              VectorAssembler(inputCols=[c + "_imputed" for c in PM.NUMERIC], outputCol="numeric_features"),
+              ML.scaler("numeric_features", "scaled")]
+    out = Pipeline(stages=stages).fit(df).transform(df).withColumn("arr", vector_to_array("scaled"))
+    return rounded(out.select("id", *[F.col("arr")[i].alias(c + "_scaled") for i, c in enumerate(PM.NUMERIC)]))
+
+
+@query("index_keep")
+def q_index_keep(spark, sf):
+    df = training_table(spark, sf)
+    train, _ = PM.split(df, 0.8, bucket=_id_bucket())
+    model = ML.indexers(PM.CATEGORICAL).fit(train)
+    return model.transform(df).select("id", *[c + "_index" for c in PM.CATEGORICAL])
+
+
+@query("one_hot")
+def q_one_hot(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    df = training_table(spark, sf)
+    model = Pipeline(stages=[ML.indexers(PM.CATEGORICAL), ML.one_hot(PM.CATEGORICAL)]).fit(df)
+    out = model.transform(df)
+    return out.select("id", *[vector_to_array(c + "_ohe").alias(c + "_ohe") for c in PM.CATEGORICAL])
+
+
+@query("price_model")
+def q_price_model(spark, sf):
+    train, test = PM.split(training_table(spark, sf))
+    model = PM.fit_price_model(train)
+    return PM.evaluate(model, train, test)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    train, _ = PM.split(training_table(spark, sf))
+    model = PM.fit_price_model(train)
+    scored = model.transform(ML.as_double(train, PM.NUMERIC))
+    return ML.feature_importances(spark, model, scored, PM.NUMERIC + PM.CATEGORICAL)
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf):
+    """Metrics of a fixed predictor (neighbourhood mean of the training rows)."""
+    df = training_table(spark, sf)
+    train, test = PM.split(df, 0.8, bucket=_id_bucket())
+    base = train.groupBy("neighbourhood").agg(F.avg(PM.LABEL).alias("prediction"))
+    parts = [ML.regression_metrics_frame(d.join(base, "neighbourhood"), PM.LABEL, "prediction")
+               .withColumn("split", F.lit(n)) for n, d in (("train", train), ("test", test))]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@query("accuracy_metric")
+def q_accuracy_metric(spark, sf):
+    """Accuracy of the rule predictor at the unchanged price, per segment."""
+    rows = rule_scored(spark, sf).where(F.col("action") == 1.0)
+    return rounded(ML.accuracy_frame(rows, "label", "prediction", by=["segment"]))
+
+
+def _panel_root(spark, sf):
+    return _written_panel(spark, sf)
+
+
+@query("index_error")
+def q_index_error(spark, sf):
+    """Indexing that fails on unseen labels: fitted and applied on one segment."""
+    rows = OM.segment_rows(spark, _panel_root(spark, sf), (1, 0, 1))
+    model = ML.indexers(OM.CATEGORICAL, "_indexed", handle_invalid="error").fit(rows)
+    return model.transform(rows).select("id", "date", *[c + "_indexed" for c in OM.CATEGORICAL])
+
+
+@query("occupancy_model")
+def q_occupancy_model(spark, sf):
+    rows = OM.segment_rows(spark, _panel_root(spark, sf), (1, 0, 1))
+    train, test = OM.split_rows(rows)
+    model = ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(train)
+    return model.transform(test).select("id", "date", "label", "prediction")
+
+
+@query("segment_models")
+def q_segment_models(spark, sf):
+    _, summary = OM.fit_segment_models(spark, _panel_root(spark, sf))
+    return summary
+
+
+@query("model_save_load")
+def q_model_save_load(spark, sf):
+    """Fit, save, load: the loaded model must reproduce every prediction."""
+    rows = OM.segment_rows(spark, _panel_root(spark, sf), (0, 0, 1))
+    model = ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(rows)
+    path = ML.save_model(model, scratch_path(spark, "model"))
+    again = ML.load_model(path)
+    a = model.transform(rows).select("id", "date", F.col("prediction").alias("p1"))
+    b = again.transform(rows).select("id", "date", F.col("prediction").alias("p2"))
+    return a.join(b, ["id", "date"]).agg(F.count(F.lit(1)).alias("n"),
+                                         F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"))
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    root = _panel_root(spark, sf)
+    rows = OM.segment_rows(spark, root, (1, 1, 1))
+    path = ML.save_model(ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(rows),
+                         scratch_path(spark, "model"))
+    return ML.load_model(path).transform(rows).select("id", "date", "prediction")
+
+
+@query("reward_grid_model")
+def q_reward_grid_model(spark, sf):
+    root = _panel_root(spark, sf)
+    models, _ = OM.fit_segment_models(spark, root)
+    return rounded(OM.model_reward_grid(spark.read.parquet(root), models))
