@@ -15,6 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Training-speed settings (same trees): keep each row's node id cached between
+# levels instead of re-walking the trees (checkpointed to the shared
+# checkpoint folder every 10 levels), and let more nodes share one pass.
+FOREST_TRAINING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+
+
 def as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Imputer keeps an integer input integer (mean 2.5 -> 2); cast first."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
@@ -53,7 +59,8 @@ def price_regression_stages(numeric: Sequence[str], categorical: Sequence[str],
         one_hot(categorical),
         VectorAssembler(inputCols=["numeric_features_scaled"] + [c + "_ohe" for c in categorical],
                         outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed),
+        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
+                              **FOREST_TRAINING),
     ])
 
 
@@ -66,7 +73,7 @@ def occupancy_classifier_stages(categorical: Sequence[str], numeric: Sequence[st
         StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid=handle_invalid),
         VectorAssembler(inputCols=idx + list(numeric), outputCol="features"),
         RandomForestClassifier(featuresCol="features", labelCol=label, maxBins=max_bins, seed=seed,
-                               numTrees=trees, maxDepth=depth),
+                               numTrees=trees, maxDepth=depth, **FOREST_TRAINING),
     ])
 
 
@@ -109,21 +116,34 @@ def slot_names(df: DataFrame, features: str = "features") -> list[str]:
 
 
 def feature_importances(spark: SparkSession, model: PipelineModel, scored: DataFrame,
-                        sources: Sequence[str], features: str = "features") -> DataFrame:
-    """(feature, importance) per source column, one-hot slots summed, sorted
-    by absolute importance (descending)."""
+                        sources: Sequence[str], features: str = "features",
+                        vector_sources: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """(feature, importance) per source column, sorted by absolute importance
+    (descending).
+
+    Slots are attributed through the ``ml_attr`` names of the features
+    column: ``<source>_ohe_<label>`` / ``<source>_imputed`` style names map to
+    their source; slots of an unnamed inner vector (``<vec>_<i>``, e.g. the
+    scaled numeric block) map by position through ``vector_sources``.
+    One-hot slots of a column are summed.
+    """
     imp = model.stages[-1].featureImportances.toArray().tolist()
     names = slot_names(scored, features)
-    rows = []
-    for src in sources:
-        total = 0.0
-        for name, value in zip(names, imp):
-            base = name.split("_imputed")[0] if "_imputed" in name else name
-            if base == src or name.startswith(src + "_ohe") or name.startswith(src + "_index") \
-                    or name.startswith(src + "_indexed") or name == src:
-                total += value
-        rows.append((src, float(total)))
-    df = spark.createDataFrame(rows, "feature string, importance double")
+    vector_sources = dict(vector_sources or {})
+    totals = {s: 0.0 for s in sources}
+    by_length = sorted(sources, key=len, reverse=True)
+    for name, value in zip(names, imp):
+        owner = None
+        for vec, members in vector_sources.items():
+            if name.startswith(vec + "_") and name[len(vec) + 1:].isdigit():
+                i = int(name[len(vec) + 1:])
+                owner = members[i] if i < len(members) else None
+                break
+        if owner is None:
+            owner = next((s for s in by_length if name == s or name.startswith(s + "_")), None)
+        if owner is not None:
+            totals[owner] += value
+    df = spark.createDataFrame([(k, float(v)) for k, v in totals.items()], "feature string, importance double")
     return df.orderBy(F.abs(F.col("importance")).desc(), F.col("feature"))
 
 

@@ -658,9 +658,8 @@ def q_one_hot(spark, sf):
 
 @query("price_model")
 def q_price_model(spark, sf):
-    train, test = PM.split(training_table(spark, sf))
-    model = PM.fit_price_model(train)
-    return PM.evaluate(model, train, test)
+    _, metrics = PM.train_and_evaluate(listings_clean(spark, sf), calendar_clean(spark, sf))
+    return metrics
 
 
 @query("feature_importance")
@@ -668,7 +667,8 @@ def q_feature_importance(spark, sf):
     train, _ = PM.split(training_table(spark, sf))
     model = PM.fit_price_model(train)
     scored = model.transform(ML.as_double(train, PM.NUMERIC))
-    return ML.feature_importances(spark, model, scored, PM.NUMERIC + PM.CATEGORICAL)
+    return ML.feature_importances(spark, model, scored, PM.NUMERIC + PM.CATEGORICAL,
+                                  vector_sources={"numeric_features_scaled": PM.NUMERIC})
 
 
 @query("regression_metrics")

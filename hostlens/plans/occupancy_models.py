@@ -33,26 +33,32 @@ def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42):
 
 
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,
-                       train_fraction: float = 0.75, seed: int = 42, handle_invalid: str = "keep"):
-    """Fit one pipeline per segment (a fixed set of 8, each fit distributed);
-    segments with fewer than two label values are reported, not fitted.
-    Returns ``({segment: model}, summary rows)``."""
-    models, summary = {}, []
-    for seg in SEGMENTS:
+                       train_fraction: float = 0.75, seed: int = 42, handle_invalid: str = "keep",
+                       concurrency: int = 4):
+    """Fit one pipeline per segment; segments with fewer than two label
+    values are reported, not fitted.  The segment set is fixed (8), each fit
+    is a distributed job, and up to ``concurrency`` fits run at once so small
+    segments do not leave the cluster idle.  Returns
+    ``({segment: model}, summary rows)``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit_one(seg):
         name = segment_name(*seg)
         rows = segment_rows(spark, panel_root, seg)
         train, test = split_rows(rows, train_fraction, seed)
-        labels = train.select("label").distinct().count()
-        if labels < 2:
-            summary.append((name, "skipped: fewer than two label values", None))
-            continue
+        if train.select("label").distinct().limit(2).count() < 2:
+            return name, None, ("skipped: fewer than two label values", None)
         model = ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid,
                                                seed=seed).fit(train)
         if model_root:
             ML.save_model(model, f"{model_root}/model_{name}")
         acc = ML.accuracy(model.transform(test)) if test.limit(1).count() else None
-        models[name] = model
-        summary.append((name, "fitted", acc))
+        return name, model, ("fitted", acc)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        results = list(pool.map(fit_one, SEGMENTS))
+    models = {name: m for name, m, _ in results if m is not None}
+    summary = [(name, status, acc) for name, _, (status, acc) in results]
     return models, spark.createDataFrame(summary, "segment string, status string, accuracy double")
 
 

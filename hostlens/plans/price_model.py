@@ -78,3 +78,24 @@ def evaluate(model, train: DataFrame, test: DataFrame) -> DataFrame:
         pred = model.transform(ML.as_double(df, NUMERIC))
         parts.append(ML.regression_metrics_frame(pred, LABEL, "prediction").withColumn("split", F.lit(name)))
     return parts[0].unionByName(parts[1])
+
+
+def train_and_evaluate(listings: DataFrame, calendar: DataFrame, partitions: int | None = None,
+                       trees: int = 15, depth: int = 20, seed: int = 42):
+    """Fit on the 80 % split and report (split, r2, rmse, n).
+
+    The listing-level table is spread over the cluster's default parallelism
+    (a small table otherwise lands in very few partitions and the forest
+    trains on a few cores) and persisted only around the fit + evaluation
+    block that reads it several times.
+    """
+    spark = listings.sparkSession
+    n = partitions or spark.sparkContext.defaultParallelism
+    table = training_table(listings, calendar).repartition(n).persist()
+    try:
+        train, test = split(table, seed=seed)
+        model = fit_price_model(train, trees, depth, seed)
+        rows = evaluate(model, train, test).collect()
+    finally:
+        table.unpersist()
+    return model, spark.createDataFrame(rows, "r2 double, rmse double, n long, split string")
