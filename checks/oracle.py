@@ -301,13 +301,15 @@ oracle("cumulative_occupancy", "SELECT id, date, round(occupancy_rate, 6) AS occ
 
 # ---- 2.7 ordering ----------------------------------------------------------------------------
 oracle("lowest_sentiment", """
-SELECT id, date, comments, round(sentiment_score, 6) AS sentiment_score FROM scored
-ORDER BY sentiment_score ASC NULLS FIRST, id ASC NULLS FIRST, date ASC NULLS FIRST, comments ASC NULLS FIRST
-LIMIT 5""", "scored")
+SELECT id, date, comments, round(score__, 6) AS sentiment_score
+FROM (SELECT id, date, comments, sentiment_score AS score__ FROM scored
+      ORDER BY sentiment_score ASC NULLS FIRST, id ASC NULLS FIRST, date ASC NULLS FIRST, comments ASC NULLS FIRST
+      LIMIT 5)""", "scored")
 oracle("region_rank", """
-SELECT neighbourhood_cleansed, round(avg_occupancy_rate, 6) AS avg_occupancy_rate,
-       CAST(row_number() OVER (ORDER BY avg_occupancy_rate DESC, neighbourhood_cleansed) AS INTEGER) AS rank
-FROM regions""", "regions")
+SELECT neighbourhood_cleansed, round(avg__, 6) AS avg_occupancy_rate, rank
+FROM (SELECT neighbourhood_cleansed, avg_occupancy_rate AS avg__,
+             CAST(row_number() OVER (ORDER BY avg_occupancy_rate DESC, neighbourhood_cleansed) AS INTEGER) AS rank
+      FROM regions)""", "regions")
 
 # ---- text ----------------------------------------------------------------------------------------
 oracle("tokenize", f"""
