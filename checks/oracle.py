@@ -462,3 +462,6 @@ SELECT segment,
          AS accuracy,
        count(*) AS n
 FROM rew WHERE action = 1.0 GROUP BY segment""", "rew")
+
+# ---- streaming ---------------------------------------------------------------------------------
+oracle("calendar_stream_ingest", "SELECT * FROM calendar_c", "calendar_c")

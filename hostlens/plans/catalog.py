@@ -742,3 +742,17 @@ def q_reward_grid_model(spark, sf):
     root = _panel_root(spark, sf)
     models, _ = OM.fit_segment_models(spark, root)
     return rounded(OM.model_reward_grid(spark.read.parquet(root), models))
+
+
+# ---- streaming ingest of the same cleaning -------------------------------------------------
+
+@query("calendar_stream_ingest")
+def q_calendar_stream_ingest(spark, sf):
+    """Calendar CSV files streamed through the incremental cleaning (several
+    micro-batches), read back as the current table."""
+    from ..streaming import current_calendar, ingest_calendar
+    src = scratch_path(spark, "calendar-drops")
+    io.write_csv(B.calendar_raw(spark, sf).repartition(4), src)
+    sink = scratch_path(spark, "calendar-stream")
+    ingest_calendar(spark, src, sink, max_files_per_trigger=1).awaitTermination()
+    return current_calendar(spark, sink)
