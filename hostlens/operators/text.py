@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 from .joins import bounded_broadcast
 from .topk import top_k_per_group
 
@@ -31,7 +32,7 @@ def with_sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float] =
 
 def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str | None = None,
                    k: int = 20, stop_words: Iterable[str] = (), spread: int = 64,
-                   max_groups: int = 10_000) -> DataFrame:
+                   max_groups: int = 10_000, stage: bool = True) -> DataFrame:
     """Top-``k`` TF-IDF terms per group, weights summed over documents.
 
     Per group: vocabulary = the ``k`` terms with the highest total count
@@ -43,19 +44,25 @@ def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str |
     exact two-round top-k; it has at most ``k`` rows per group, so once a
     count shows at most ``max_groups`` groups it is broadcast into the token
     stream; only vocabulary tokens reach the (group, doc, term) shuffle.
-    Output ``(group, term, score)``.
+    With ``stage`` the token arrays are written once to the shared
+    checkpoint folder instead of re-running the upstream plan and the
+    tokenizer for each pass.  Output ``(group, term, score)``.
     """
     g = group_col or "__group"
     base = df if group_col else df.withColumn(g, F.lit("all"))
     docs = base.select(F.col(g), F.col(doc_col).alias("__doc"),
                        T.without_words(T.tokens(F.col(text_col)), stop_words).alias("__toks"))
+    if stage:
+        # tokenized once, read by the vocabulary, TF and document-count passes
+        docs = materialize(docs, "tfidf-docs")
     toks = docs.select(g, "__doc", F.explode("__toks").alias("term"))
 
     totals = toks.groupBy(g, "term").agg(F.count(F.lit(1)).alias("__total"))
     vocab = top_k_per_group(totals, [g], [F.col("__total").desc(), F.col("term").asc()], k,
                             spread_on="term", spread=spread).select(g, "term")
 
-    n_docs, small = bounded_broadcast(base.groupBy(g).agg(F.count(F.lit(1)).alias("__n")), max_groups)
+    n_docs, small = bounded_broadcast(docs.groupBy(g).agg(F.count(F.lit(1)).alias("__n")), max_groups,
+                                      materialized=stage)
     bc = F.broadcast if small else (lambda x: x)
     tf = (toks.join(bc(vocab), on=[g, "term"], how="inner")
               .groupBy(g, "__doc", "term").agg(F.count(F.lit(1)).alias("tf")))

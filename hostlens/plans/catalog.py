@@ -38,15 +38,18 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- role tables ------------------------------------------------------------
 
 def listings_clean(spark, sf):
-    return etl.clean_listings(B.listings_raw(spark, sf))
+    from ..sources.io import spread
+    return etl.clean_listings(spread(B.listings_raw(spark, sf)))
 
 
 def calendar_clean(spark, sf):
-    return etl.clean_calendar(B.calendar_raw(spark, sf))
+    from ..sources.io import spread
+    return etl.clean_calendar(spread(B.calendar_raw(spark, sf)))
 
 
 def reviews_clean(spark, sf):
-    return etl.clean_reviews(B.reviews_raw(spark, sf))
+    from ..sources.io import spread
+    return etl.clean_reviews(spread(B.reviews_raw(spark, sf)))
 
 
 def panel(spark, sf, hot_cut=None):

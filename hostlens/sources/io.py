@@ -89,3 +89,15 @@ def csv_roundtrip(df: DataFrame, name: str, schema: StructType | str, **read_opt
     path = scratch_path(df.sparkSession, name)
     write_csv(df, path)
     return read_csv_table(df.sparkSession, path, schema, **read_options)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster only when it arrived in fewer
+    partitions than ``min_partitions`` (default: default parallelism).
+
+    A text table stored as a few large row groups would otherwise run its
+    CPU-heavy per-row work (regex filters, tokenizing) on a few cores; a
+    large, well-split table is returned unchanged (no shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
