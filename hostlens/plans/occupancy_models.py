@@ -62,20 +62,26 @@ def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | N
     return models, spark.createDataFrame(summary, "segment string, status string, accuracy double")
 
 
+def _segment_filter(name: str):
+    flags = {segment_name(*seg): seg for seg in SEGMENTS}[name]
+    return ((F.col("high_demand") == flags[0]) & (F.col("is_weekend") == flags[1])
+            & (F.col("hot_region") == flags[2]))
+
+
 def model_predictor(models: dict):
     """``predict(df)``: each segment's rows scored by its own model at the
-    new price (segments without a model predict 0)."""
+    new price (segments without a model predict 0).
+
+    Segments are selected on the three flag columns, so when ``df`` comes
+    from the partitioned panel each branch reads only its own folder.
+    """
     def predict(df: DataFrame) -> DataFrame:
         base = df.withColumn("__orig_price", F.col("price"))
-        parts = []
+        out = base.where(~F.col("segment").isin(list(models))).withColumn("prediction", F.lit(0))
         for name, model in models.items():
-            part = base.where(F.col("segment") == name).withColumn("price", F.col("new_price").cast("float"))
+            part = base.where(_segment_filter(name)).withColumn("price", F.col("new_price").cast("float"))
             scored = model.transform(part).select(*base.columns, F.col("prediction").cast("int").alias("prediction"))
-            parts.append(scored)
-        rest = base.where(~F.col("segment").isin(list(models))).withColumn("prediction", F.lit(0))
-        out = rest
-        for p in parts:
-            out = out.unionByName(p)
+            out = out.unionByName(scored)
         return out.withColumn("price", F.col("__orig_price")).drop("__orig_price")
     return predict
 
