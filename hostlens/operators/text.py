@@ -40,37 +40,52 @@ def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str |
     group; each document's weights ``tf*idf`` are divided by their L2 norm
     over the vocabulary; the score of a term is the sum over documents.
 
-    Plan: term totals are combined map-side; the vocabulary comes from an
-    exact two-round top-k; it has at most ``k`` rows per group, so once a
-    count shows at most ``max_groups`` groups it is broadcast into the token
-    stream; only vocabulary tokens reach the (group, doc, term) shuffle.
-    With ``stage`` the token arrays are written once to the shared
-    checkpoint folder instead of re-running the upstream plan and the
-    tokenizer for each pass.  Output ``(group, term, score)``.
+    Plan: documents are tokenized once (staged in the shared checkpoint
+    folder when ``stage``).  Term totals are combined map-side and the
+    vocabulary is an exact two-round top-k.  The vocabulary (<= k terms per
+    group) and then the idf table are attached to every document through a
+    broadcast of one row per group, once a count shows at most
+    ``max_groups`` groups; a document's term counts, weights and norm are
+    computed inside its row.  So every shuffle carries partially aggregated
+    (group, term) rows only -- no per-token or per-document shuffle.  (With
+    more groups than the bound the two small tables are shuffle-joined.)
+    Each row is one document (``doc_col`` names it for the caller; the
+    computation needs no document key because nothing is regrouped by
+    document).  Output ``(group, term, score)``.
     """
     g = group_col or "__group"
     base = df if group_col else df.withColumn(g, F.lit("all"))
-    docs = base.select(F.col(g), F.col(doc_col).alias("__doc"),
-                       T.without_words(T.tokens(F.col(text_col)), stop_words).alias("__toks"))
+    docs = base.select(F.col(g), T.without_words(T.tokens(F.col(text_col)), stop_words).alias("__toks"))
     if stage:
-        # tokenized once, read by the vocabulary, TF and document-count passes
         docs = materialize(docs, "tfidf-docs")
-    toks = docs.select(g, "__doc", F.explode("__toks").alias("term"))
 
-    totals = toks.groupBy(g, "term").agg(F.count(F.lit(1)).alias("__total"))
+    totals = docs.select(g, F.explode("__toks").alias("term")).groupBy(g, "term").agg(
+        F.count(F.lit(1)).alias("__total"))
     vocab = top_k_per_group(totals, [g], [F.col("__total").desc(), F.col("term").asc()], k,
-                            spread_on="term", spread=spread).select(g, "term")
+                            spread_on="term", spread=spread)
+    per_group = vocab.groupBy(g).agg(F.array_sort(F.collect_list("term")).alias("__vocab"))
+    n_docs = docs.groupBy(g).agg(F.count(F.lit(1)).alias("__n"))
+    groups, small = bounded_broadcast(n_docs.join(per_group, on=g, how="left"), max_groups)
+    bc = F.broadcast if small else (lambda x: x)   # beyond the bound: shuffle joins on the group
 
-    n_docs, small = bounded_broadcast(docs.groupBy(g).agg(F.count(F.lit(1)).alias("__n")), max_groups,
-                                      materialized=stage)
-    bc = F.broadcast if small else (lambda x: x)
-    tf = (toks.join(bc(vocab), on=[g, "term"], how="inner")
-              .groupBy(g, "__doc", "term").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = tf.groupBy(g, "term").agg(F.count(F.lit(1)).alias("__df"))
-    idf = (dfreq.join(n_docs, on=g)
-                .select(g, "term", (F.log((1 + F.col("__n")) / (1 + F.col("__df"))) + 1).alias("__idf")))
-    w = tf.join(bc(idf), on=[g, "term"]).withColumn("__w", F.col("tf") * F.col("__idf"))
-    norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(g, "__doc")))
-    scored = w.withColumn("__wn", F.col("__w") / norm)
-    out = scored.groupBy(g, "term").agg(F.sum("__wn").alias("score"))
+    # term counts of the vocabulary inside each document row
+    counted = docs.join(groups, on=g).select(
+        g, "__n",
+        F.filter(F.transform(F.coalesce(F.col("__vocab"), F.array().cast("array<string>")),
+                             lambda v: F.struct(v.alias("term"),
+                                                F.size(F.filter(F.col("__toks"), lambda t: t == v)).alias("tf"))),
+                 lambda x: x["tf"] > 0).alias("__tf"))
+    dfreq = (counted.select(g, "__n", F.explode("__tf").alias("x"))
+                    .groupBy(g, "__n", F.col("x.term").alias("term")).agg(F.count(F.lit(1)).alias("__df")))
+    idf = (dfreq.select(g, F.struct("term", (F.log((1 + F.col("__n")) / (1 + F.col("__df"))) + 1).alias("idf"))
+                        .alias("e"))
+                .groupBy(g).agg(F.map_from_entries(F.collect_list("e")).alias("__idf")))
+    weighted = counted.where(F.size("__tf") > 0).join(bc(idf), on=g).select(
+        g, F.transform("__tf", lambda x: F.struct(x["term"].alias("term"),
+                                                   (x["tf"] * F.col("__idf")[x["term"]]).alias("w"))).alias("__w"))
+    normed = weighted.select(
+        g, "__w", F.sqrt(F.aggregate("__w", F.lit(0.0), lambda a, x: a + x["w"] * x["w"])).alias("__norm"))
+    out = (normed.select(g, "__norm", F.explode("__w").alias("x"))
+                 .groupBy(g, F.col("x.term").alias("term"))
+                 .agg(F.sum(F.col("x.w") / F.col("__norm")).alias("score")))
     return out if group_col else out.drop(g)

@@ -10,13 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..sources import bindings as B
 from . import etl
 from . import occupancy as occ
+from . import occupancy_models as OM
+from . import price_model as PM
+from . import recommend as RC
+from . import reviews as RV
+from ..functions import numeric as N
+from ..functions import parsing as P
+from ..functions import text as T
+from ..operators import aggregates as A
+from ..operators import clean as C
+from ..operators import joins as J
+from ..operators import ml as ML
+from ..operators import pricing as PR
+from ..operators import sampling as S
+from ..operators import text as TX
+from ..operators import windows as W
+from ..session import scratch_path
+from ..sources import bindings as B
+from ..sources import io
+from ..sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,18 +56,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- role tables ------------------------------------------------------------
 
 def listings_clean(spark, sf):
-    from ..sources.io import spread
-    return etl.clean_listings(spread(B.listings_raw(spark, sf)))
+    return etl.clean_listings(io.spread(B.listings_raw(spark, sf)))
 
 
 def calendar_clean(spark, sf):
-    from ..sources.io import spread
-    return etl.clean_calendar(spread(B.calendar_raw(spark, sf)))
+    return etl.clean_calendar(io.spread(B.calendar_raw(spark, sf)))
 
 
 def reviews_clean(spark, sf):
-    from ..sources.io import spread
-    return etl.clean_reviews(spread(B.reviews_raw(spark, sf)))
+    return etl.clean_reviews(io.spread(B.reviews_raw(spark, sf)))
 
 
 def panel(spark, sf, hot_cut=None):
@@ -74,16 +89,6 @@ def q_occupancy_panel(spark, sf):
 
 # ---- 2.1 scans, sources, sinks ---------------------------------------------
 
-from ..functions import numeric as N  # noqa: E402
-from ..functions import parsing as P  # noqa: E402
-from ..functions import text as T  # noqa: E402
-from ..operators import clean as C  # noqa: E402
-from ..operators import joins as J  # noqa: E402
-from ..operators import sampling as S  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import io  # noqa: E402
-from ..sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW  # noqa: E402
-
 
 @query("csv_scan_quoted")
 def q_csv_scan_quoted(spark, sf):
@@ -355,11 +360,6 @@ def q_haversine(spark, sf):
 
 # ---- 2.4 joins -----------------------------------------------------------------
 
-from ..operators import aggregates as A  # noqa: E402
-from ..operators import text as TX  # noqa: E402
-from ..operators import windows as W  # noqa: E402
-from . import reviews as RV  # noqa: E402
-
 
 def comments(spark, sf):
     return RV.comment_rows(listings_clean(spark, sf), reviews_clean(spark, sf),
@@ -514,7 +514,6 @@ def q_lowest_sentiment(spark, sf):
 
 @query("region_rank")
 def q_region_rank(spark, sf):
-    from pyspark.sql import Window
     regions = occ.region_occupancy(occ.with_running_occupancy(rental_days(spark, sf)))
     w = Window.orderBy(F.col("avg_occupancy_rate").desc(), F.col("neighbourhood_cleansed"))
     return rounded(regions.withColumn("rank", F.row_number().over(w)))
@@ -549,9 +548,6 @@ def q_category_weight(spark, sf):
 
 # ---- 2.12 price recommendation (rule predictor) -------------------------------------
 
-from ..operators import pricing as PR  # noqa: E402
-from . import recommend as RC  # noqa: E402
-
 
 def rule_scored(spark, sf):
     return RC.rule_scored(panel(spark, sf))
@@ -608,10 +604,6 @@ def q_csv_sink_roundtrip(spark, sf):
 
 # ---- 2.11 features and ML -------------------------------------------------------------
 
-from ..operators import ml as ML  # noqa: E402
-from . import occupancy_models as OM  # noqa: E402
-from . import price_model as PM  # noqa: E402
-
 
 def training_table(spark, sf):
     return PM.training_table(listings_clean(spark, sf), calendar_clean(spark, sf))
