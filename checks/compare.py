@@ -46,6 +46,25 @@ def rows_of(columns, rows):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+_DUCK_OF_SPARK = {
+    "IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "FloatType()": "FLOAT",
+    "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP",
+    "ShortType()": "SMALLINT", "ByteType()": "TINYINT", "ArrayType(StringType(), True)": "VARCHAR[]",
+    "ArrayType(StringType(), False)": "VARCHAR[]",
+}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    d_types = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in spark_df.schema.fields:
+        want = _DUCK_OF_SPARK.get(repr(f.dataType), repr(f.dataType))
+        if f.name in d_types and d_types[f.name] != want:
+            out.append((f.name, repr(f.dataType), d_types[f.name]))
+    return out
+
+
 def compare(spark_df, con, sql: str, show: int = 5) -> dict:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -54,6 +73,12 @@ def compare(spark_df, con, sql: str, show: int = 5) -> dict:
     d_rows = res.fetchall()
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "columns_match": sorted(s_cols) == sorted(d_cols)}
+    try:
+        tm = type_mismatches(spark_df, con, sql)
+    except Exception as e:  # DESCRIBE of a complex statement
+        tm = [f"describe failed: {str(e)[:80]}"]
+    if tm:
+        out["type_mismatches"] = tm
     if not out["columns_match"]:
         out["spark_columns"] = sorted(s_cols)
         out["oracle_columns"] = sorted(d_cols)

@@ -124,8 +124,9 @@ oracle("amenity_list_json", f"""
 SELECT id, from_json({_AMEN}, '["VARCHAR"]') AS amenities_list FROM listings_c""", "listings_c")
 oracle("amenity_count", f"""
 SELECT id,
-       coalesce(len(string_split(regexp_replace({_AMEN}, '[\\[\\]"]', '', 'g'), ', ')), -1) AS amenities_count,
-       coalesce(len(from_json({_AMEN}, '["VARCHAR"]')), -1) AS amenities_count_json
+       CAST(coalesce(len(string_split(regexp_replace({_AMEN}, '[\\[\\]"]', '', 'g'), ', ')), -1) AS INTEGER)
+         AS amenities_count,
+       CAST(coalesce(len(from_json({_AMEN}, '["VARCHAR"]')), -1) AS INTEGER) AS amenities_count_json
 FROM listings_c""", "listings_c")
 oracle("clean_comments", """
 SELECT id, regexp_replace(regexp_replace(comments, '(?i)<br\\s*/?\\s*>', '', 'g'), '^\\s+|\\s+$', '', 'g')
@@ -324,7 +325,7 @@ SELECT review_id, round(sentiment_score, 6) AS sentiment_score FROM scored WHERE
 oracle("category_weight", """
 SELECT review_id, sentiment_category,
        CASE WHEN sentiment_category = 'negative' THEN 200 ELSE 50 END AS size,
-       CASE WHEN sentiment_category = 'negative' THEN 0.8 ELSE 0.5 END AS alpha FROM scored""", "scored")
+       CASE WHEN sentiment_category = 'negative' THEN 0.8::DOUBLE ELSE 0.5::DOUBLE END AS alpha FROM scored""", "scored")
 
 # ---- 2.12 price recommendation ------------------------------------------------------------
 from hostlens.operators.pricing import ACTIONS as _ACTIONS  # noqa: E402
@@ -465,3 +466,21 @@ FROM rew WHERE action = 1.0 GROUP BY segment""", "rew")
 
 # ---- streaming ---------------------------------------------------------------------------------
 oracle("calendar_stream_ingest", "SELECT * FROM calendar_c", "calendar_c")
+
+# ---- end-to-end cleaning outputs and the model's feature table ------------------------------
+oracle("etl_listings", "SELECT * FROM listings_c", "listings_c")
+oracle("etl_calendar", "SELECT * FROM calendar_c", "calendar_c")
+oracle("etl_reviews", "SELECT * FROM reviews_c", "reviews_c")
+oracle("price_features", """
+SELECT id, accommodates, num_bedrooms, num_beds, num_bathrooms, number_of_reviews, review_scores_rating,
+       reviews_per_month, round(distance_to_center_km, 6) AS distance_to_center_km, amenities_count, minimum_nights,
+       neighbourhood, property_type, is_private_bath, is_shared_bath, room_type,
+       round(average_log_price, 6) AS average_log_price
+FROM (SELECT f.* REPLACE (CAST(f.accommodates AS INTEGER) AS accommodates,
+                          CAST(f.num_bedrooms AS INTEGER) AS num_bedrooms,
+                          CAST(f.num_beds AS INTEGER) AS num_beds,
+                          CAST(f.num_bathrooms AS FLOAT) AS num_bathrooms,
+                          CAST(f.number_of_reviews AS INTEGER) AS number_of_reviews,
+                          CAST(f.amenities_count AS INTEGER) AS amenities_count,
+                          CAST(f.minimum_nights AS INTEGER) AS minimum_nights)
+      FROM feat f)""", "feat")

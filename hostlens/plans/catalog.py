@@ -751,3 +751,27 @@ def q_calendar_stream_ingest(spark, sf):
     sink = scratch_path(spark, "calendar-stream")
     ingest_calendar(spark, src, sink, max_files_per_trigger=1).awaitTermination()
     return current_calendar(spark, sink)
+
+
+# ---- end-to-end cleaning outputs and the model's feature table ---------------------------
+
+@query("etl_listings")
+def q_etl_listings(spark, sf):
+    """Cleaned listings (33 columns; price float, availability boolean, tags removed)."""
+    return listings_clean(spark, sf)
+
+
+@query("etl_calendar")
+def q_etl_calendar(spark, sf):
+    return calendar_clean(spark, sf)
+
+
+@query("etl_reviews")
+def q_etl_reviews(spark, sf):
+    return reviews_clean(spark, sf)
+
+
+@query("price_features")
+def q_price_features(spark, sf):
+    """One row per listing: model features and the mean log price target."""
+    return rounded(training_table(spark, sf))
