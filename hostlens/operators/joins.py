@@ -70,3 +70,34 @@ def attach_group_stat_window(df: DataFrame, keys: Sequence[str], stat: Column, n
     """Same result as :func:`attach_group_stat` through a window over the key
     (one shuffle of the detail rows by key; fine when keys are many and even)."""
     return df.withColumn(name, stat.over(Window.partitionBy(*keys)))
+
+
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+                spread_key: str, counts: DataFrame | None = None, hot_rows: int = 5_000_000,
+                salts: int = 64, how: str = "inner") -> DataFrame:
+    """Equi-join that splits hot keys of the big side over ``salts`` tasks.
+
+    A key is hot when it has at least ``hot_rows`` rows on the big side
+    (``counts``: ``(big_key, count)``, computed with a partial aggregate when
+    not given).  At most ``total / hot_rows`` keys can be hot, so the hot set
+    is small by construction; it is still counted before it is broadcast.
+    Rows of a hot key get a salt from a stable hash of ``spread_key``; the
+    matching small-side row is repeated once per salt; other keys use salt 0.
+    The result equals the plain join; no task receives more than about
+    ``hot_rows`` rows of one key.
+    """
+    if counts is None:
+        counts = big.groupBy(big_key).agg(F.count(F.lit(1)).alias("count"))
+    hot = counts.where(F.col(counts.columns[1]) >= hot_rows).select(
+        F.col(counts.columns[0]).alias("__hot_key"), F.lit(True).alias("__hot"))
+    hot_side, _ = bounded_broadcast(hot, DEFAULT_BROADCAST_ROWS)
+    b = (big.join(hot_side, big[big_key] == F.col("__hot_key"), "left").drop("__hot_key")
+            .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(spread_key)), F.lit(salts)))
+                                   .otherwise(F.lit(0)).cast("int"))
+            .drop("__hot"))
+    s_ = (small.join(hot_side, small[small_key] == F.col("__hot_key"), "left").drop("__hot_key")
+               .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                .otherwise(F.array(F.lit(0)))))
+               .drop("__hot"))
+    return s_.join(b, (s_[small_key] == b[big_key]) & (s_["__salt"] == b["__salt"]), how) \
+             .drop(s_["__salt"]).drop(b["__salt"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import text as T
 from ..operators import aggregates as A
+from ..operators.joins import salted_join
 from ..operators.text import tfidf_keywords, with_sentiment
 from ..operators.topk import smallest
 
@@ -33,20 +34,25 @@ NEGATIVE_CUT = -0.6
 
 def comment_rows(listings: DataFrame, reviews: DataFrame,
                  lexicon: Mapping[str, float] = T.DEFAULT_LEXICON,
-                 negators: Iterable[str] = T.DEFAULT_NEGATORS, keep_review_id: bool = False) -> DataFrame:
+                 negators: Iterable[str] = T.DEFAULT_NEGATORS, keep_review_id: bool = False,
+                 hot_listing_reviews: int = 5_000_000) -> DataFrame:
     """One row per review of a known listing, with the listing's scores, the
     listing's review count, cleaned text, sentiment score and category.
 
     The per-listing count is combined map-side and attached to the listing
     rows (listing-sized join) before the single listing x review join, which
-    equals a left join of the counts onto the joined rows.
+    equals a left join of the counts onto the joined rows.  The same counts
+    mark listings with at least ``hot_listing_reviews`` reviews, whose
+    reviews are salted over several tasks in that join.
     """
     counts = A.count_per_key(reviews, "listing_id", "review_count")
     lst = listings.select(*LISTING_COLUMNS).join(
         counts.withColumnRenamed("listing_id", "id"), on="id", how="left")
-    rev_cols = ["listing_id", "comments", "date"] + (["id"] if keep_review_id else [])
-    rev = reviews.select(*[F.col(c).alias("review_id") if c == "id" else F.col(c) for c in rev_cols])
-    df = lst.join(rev, lst["id"] == rev["listing_id"], "inner").drop("listing_id")
+    rev = reviews.select("listing_id", "comments", "date", F.col("id").alias("review_id"))
+    df = salted_join(rev, lst, "listing_id", "id", "review_id", counts=counts,
+                     hot_rows=hot_listing_reviews).drop("listing_id")
+    if not keep_review_id:
+        df = df.drop("review_id")
     df = df.withColumns({"cleaned_comments": T.clean_comments("comments"),
                          "comments": F.coalesce(F.col("comments"), F.lit(""))})
     df = with_sentiment(df, "comments", lexicon, negators)

@@ -142,3 +142,14 @@ def test_csv_reader_quotes_and_permissive(spark, tmp_path):
     assert rows[0]["a"] == 'say "hi", ok\nline2'
     assert rows[0]["b"] is None and rows[0]["c"] is None and rows[0]["d"] is None
     assert rows[1]["c"] == 7 and str(rows[1]["b"]) == "2024-01-02"
+
+
+def test_salted_join_equals_plain_join(spark):
+    from hostlens.operators.joins import salted_join
+    big_rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(3000)] + [(9999, "missing")]
+    big = spark.createDataFrame(big_rows, "rid int, key string")
+    small = spark.createDataFrame([("hot", 1.0)] + [(f"k{j}", float(j)) for j in range(50)], "id string, v double")
+    plain = {tuple(r) for r in big.join(small, big["key"] == small["id"]).select("rid", "key", "v").collect()}
+    salted = salted_join(big, small, "key", "id", "rid", hot_rows=500, salts=8)
+    got = salted.select("rid", "key", "v").collect()
+    assert len(got) == len(plain) and {tuple(r) for r in got} == plain
