@@ -484,3 +484,39 @@ FROM (SELECT f.* REPLACE (CAST(f.accommodates AS INTEGER) AS accommodates,
                           CAST(f.amenities_count AS INTEGER) AS amenities_count,
                           CAST(f.minimum_nights AS INTEGER) AS minimum_nights)
       FROM feat f)""", "feat")
+
+
+# ---- rounding semantics ----------------------------------------------------------------------
+def _spark_like_round(sql: str) -> str:
+    """``round(x, 6)`` -> ``(round(x, 6) + 0.0)``.
+
+    Spark rounds through BigDecimal, which has no negative zero; DuckDB's
+    ``round`` of a tiny negative value gives -0.0.  Adding +0.0 maps -0.0 to
+    +0.0 and leaves every other value unchanged.
+    """
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _spark_like_round(sql[j + len(key):k])
+        out.append(sql[i:j] + f"(round({inner}) + 0.0)")
+        i = k + 1
+
+
+for _k in list(ORACLE):
+    ORACLE[_k] = _spark_like_round(ORACLE[_k])
