@@ -55,12 +55,21 @@ def rollup_per_key(df: DataFrame, key: str, attributes: Sequence[str], value: st
     )
 
 
+def _pair_corr(a: Column, b: Column) -> Column:
+    a_ = F.when(b.isNotNull(), a)
+    b_ = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_samp(a_, b_), F.stddev_samp(a_) * F.stddev_samp(b_))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(x, y, r)``.
 
-    One pass: a single global aggregate with one ``corr`` per unordered pair
-    (pairwise-complete rows, like pandas), each merged map-side, then
-    unpivoted into all ordered pairs (symmetric, diagonal included).
+    One pass: a single global aggregate with one correlation per unordered
+    pair (pairwise-complete rows, like pandas), each merged map-side, then
+    unpivoted into all ordered pairs (symmetric, diagonal included).  The
+    correlation is ``covar_samp / (stddev_samp * stddev_samp)`` over the rows
+    where both values are present, divided with ``try_divide``: a constant
+    column gives NULL (pandas: NaN) instead of an ANSI division error.
     """
     cols = list(columns)
     pair_alias = {}
@@ -70,7 +79,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             b = cols[j]
             name = f"c{i}_{j}"
             pair_alias[(a, b)] = pair_alias[(b, a)] = name
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
+            aggs.append(_pair_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
     wide = df.agg(*aggs)
     cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(pair_alias[(a, b)]).alias("r"))
              for a in cols for b in cols]

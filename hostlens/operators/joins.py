@@ -84,13 +84,15 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     Rows of a hot key get a salt from a stable hash of ``spread_key``; the
     matching small-side row is repeated once per salt; other keys use salt 0.
     The result equals the plain join; no task receives more than about
-    ``hot_rows`` rows of one key.
+    ``hot_rows`` rows of one key.  Given ``counts`` are taken to be stored
+    (cheap to re-read); otherwise they are computed and the hot set stored.
     """
-    if counts is None:
+    given = counts is not None
+    if not given:
         counts = big.groupBy(big_key).agg(F.count(F.lit(1)).alias("count"))
     hot = counts.where(F.col(counts.columns[1]) >= hot_rows).select(
         F.col(counts.columns[0]).alias("__hot_key"), F.lit(True).alias("__hot"))
-    hot_side, _ = bounded_broadcast(hot, DEFAULT_BROADCAST_ROWS)
+    hot_side, _ = bounded_broadcast(hot, DEFAULT_BROADCAST_ROWS, materialized=given)
     b = (big.join(hot_side, big[big_key] == F.col("__hot_key"), "left").drop("__hot_key")
             .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(spread_key)), F.lit(salts)))
                                    .otherwise(F.lit(0)).cast("int"))

@@ -12,6 +12,7 @@ from ..functions import numeric as N
 from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators.joins import salted_join
+from ..session import materialize
 from ..operators.text import tfidf_keywords, with_sentiment
 from ..operators.topk import smallest
 
@@ -45,7 +46,8 @@ def comment_rows(listings: DataFrame, reviews: DataFrame,
     mark listings with at least ``hot_listing_reviews`` reviews, whose
     reviews are salted over several tasks in that join.
     """
-    counts = A.count_per_key(reviews, "listing_id", "review_count")
+    # listing-sized; stored once, read by the hot-key test and the count join
+    counts = materialize(A.count_per_key(reviews, "listing_id", "review_count"), "review-counts")
     lst = listings.select(*LISTING_COLUMNS).join(
         counts.withColumnRenamed("listing_id", "id"), on="id", how="left")
     rev = reviews.select("listing_id", "comments", "date", F.col("id").alias("review_id"))

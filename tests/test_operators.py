@@ -172,3 +172,9 @@ def test_csv_compat_reader_and_reject_column(spark, tmp_path):
 def io_schema():
     from pyspark.sql.types import IntegerType, StringType, StructField, StructType
     return StructType([StructField("a", StringType()), StructField("b", IntegerType())])
+
+
+def test_correlation_constant_column_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (2.0, 0.0), (3.0, 0.0)], "a double, z double")
+    cells = {(r["x"], r["y"]): r["r"] for r in A.correlation_matrix(df, ["a", "z"]).collect()}
+    assert cells[("a", "z")] is None and cells[("z", "z")] is None and cells[("a", "a")] == pytest.approx(1.0)
