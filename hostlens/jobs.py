@@ -58,7 +58,7 @@ def price_model_job(spark: SparkSession, listings_path: str, calendar_path: str,
 def review_analysis_job(spark: SparkSession, listings_path: str, reviews_path: str, out: str,
                         stop_words=()) -> str:
     comments = reviews.comment_rows(spark.read.parquet(listings_path), spark.read.parquet(reviews_path),
-                                    keep_review_id=True)
+                                    keep_review_id=True, reviews_stored=True)
     comments = io.parquet_roundtrip(comments, "comment-rows")  # one scoring pass feeds every report
     reports = {
         "correlations": reviews.score_correlations(comments),

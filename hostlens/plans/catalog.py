@@ -367,7 +367,7 @@ def comments(spark, sf):
     run once however many passes the analysis makes."""
     stored = io.parquet_roundtrip(reviews_clean(spark, sf), "reviews-clean")
     return RV.comment_rows(listings_clean(spark, sf), stored,
-                           B.FIXTURE_LEXICON, B.FIXTURE_NEGATORS, keep_review_id=True)
+                           B.FIXTURE_LEXICON, B.FIXTURE_NEGATORS, keep_review_id=True, reviews_stored=True)
 
 
 def rental_days(spark, sf):

@@ -36,7 +36,7 @@ NEGATIVE_CUT = -0.6
 def comment_rows(listings: DataFrame, reviews: DataFrame,
                  lexicon: Mapping[str, float] = T.DEFAULT_LEXICON,
                  negators: Iterable[str] = T.DEFAULT_NEGATORS, keep_review_id: bool = False,
-                 hot_listing_reviews: int = 5_000_000) -> DataFrame:
+                 hot_listing_reviews: int = 5_000_000, reviews_stored: bool = False) -> DataFrame:
     """One row per review of a known listing, with the listing's scores, the
     listing's review count, cleaned text, sentiment score and category.
 
@@ -44,10 +44,14 @@ def comment_rows(listings: DataFrame, reviews: DataFrame,
     rows (listing-sized join) before the single listing x review join, which
     equals a left join of the counts onto the joined rows.  The same counts
     mark listings with at least ``hot_listing_reviews`` reviews, whose
-    reviews are salted over several tasks in that join.
+    reviews are salted over several tasks in that join.  ``reviews_stored``:
+    the reviews are a stored table, so counting them again is a one-column
+    scan and the counts need not be stored.
     """
-    # listing-sized; stored once, read by the hot-key test and the count join
-    counts = materialize(A.count_per_key(reviews, "listing_id", "review_count"), "review-counts")
+    counts = A.count_per_key(reviews, "listing_id", "review_count")
+    if not reviews_stored:
+        # listing-sized; stored once, read by the hot-key test and the count join
+        counts = materialize(counts, "review-counts")
     lst = listings.select(*LISTING_COLUMNS).join(
         counts.withColumnRenamed("listing_id", "id"), on="id", how="left")
     rev = reviews.select("listing_id", "comments", "date", F.col("id").alias("review_id"))
