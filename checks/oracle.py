@@ -333,7 +333,7 @@ from hostlens.operators.pricing import ACTIONS as _ACTIONS  # noqa: E402
 _SEG = ("concat_ws('_', CASE WHEN high_demand = 1 THEN 'highdemand' ELSE 'lowdemand' END, "
         "CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END, "
         "CASE WHEN hot_region = 1 THEN 'hotregion' ELSE 'nothotregion' END)")
-_ACTS = "(SELECT * FROM (VALUES " + ", ".join(f"({a!r}::DOUBLE)" for a in _ACTIONS) + ") t(action))"
+_ACTS = "[" + ", ".join(f"{a!r}::DOUBLE" for a in _ACTIONS) + "]"
 _NEXT = ("concat_ws('_', CASE WHEN action > 1.0 THEN 'highdemand' ELSE 'lowdemand' END, "
          "CASE WHEN split_part(segment, '_', 2) = 'weekday' THEN 'weekend' ELSE 'weekday' END, "
          "split_part(segment, '_', 3))")
@@ -352,8 +352,8 @@ SELECT *, CASE WHEN high_demand = 1 THEN
 FROM (SELECT *, CASE WHEN new_price <= region_avg_price THEN 1 ELSE 0 END AS prediction,
              CASE WHEN is_weekend = 0 AND hot_region = 0 THEN 4 WHEN is_weekend = 0 AND hot_region = 1 THEN 3
                   WHEN is_weekend = 1 AND hot_region = 0 THEN 3 ELSE 2 END AS k
-      FROM (SELECT s.*, a.action, CAST(s.price AS DOUBLE) * a.action AS new_price
-            FROM segs s CROSS JOIN {_ACTS} a))""", ["segs"])
+      FROM (SELECT *, CAST(price AS DOUBLE) * action AS new_price
+            FROM (SELECT *, unnest({_ACTS}) AS action FROM segs)))""", ["segs"])
 register("grid", "SELECT segment, action, avg(reward) AS avg_reward FROM rew GROUP BY segment, action", ["rew"])
 register("look", f"""
 SELECT g.segment, g.action, g.next_segment, g.avg_reward,
@@ -368,11 +368,11 @@ WHERE r = 1""", ["look"])
 
 oracle("segment_key", f"SELECT id, date, {_SEG} AS segment FROM panel", "panel")
 oracle("action_grid", f"""
-SELECT p.id, p.date, a.action, round(CAST(p.price AS DOUBLE) * a.action, 6) AS new_price
-FROM panel p CROSS JOIN {_ACTS} a""", "panel")
+SELECT id, date, action, round(CAST(price AS DOUBLE) * action, 6) AS new_price
+FROM (SELECT id, date, price, unnest({_ACTS}) AS action FROM panel)""", "panel")
 oracle("segment_transition", f"""
 SELECT segment, action, {_NEXT} AS next_segment
-FROM (SELECT DISTINCT {_SEG} AS segment FROM panel) s CROSS JOIN {_ACTS} a""", "panel")
+FROM (SELECT segment, unnest({_ACTS}) AS action FROM (SELECT DISTINCT {_SEG} AS segment FROM panel))""", "panel")
 oracle("reward_rows", "SELECT id, date, segment, action, prediction, round(reward, 6) AS reward FROM rew", "rew")
 oracle("reward_grid", "SELECT segment, action, round(avg_reward, 6) AS avg_reward FROM grid", "grid")
 oracle("lookahead_value", """
