@@ -31,7 +31,7 @@ from ..operators import pricing as PR
 from ..operators import sampling as S
 from ..operators import text as TX
 from ..operators import windows as W
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import bindings as B
 from ..sources import io
 from ..sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW
@@ -673,7 +673,7 @@ def q_feature_importance(spark, sf):
 @query("regression_metrics")
 def q_regression_metrics(spark, sf):
     """Metrics of a fixed predictor (neighbourhood mean of the training rows)."""
-    df = training_table(spark, sf)
+    df = materialize(training_table(spark, sf), "price-features")  # read by three branches
     train, test = PM.split(df, 0.8, bucket=_id_bucket())
     base = train.groupBy("neighbourhood").agg(F.avg(PM.LABEL).alias("prediction"))
     parts = [ML.regression_metrics_frame(d.join(base, "neighbourhood"), PM.LABEL, "prediction")
