@@ -84,7 +84,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     Rows of a hot key get a salt from a stable hash of ``spread_key``; the
     matching small-side row is repeated once per salt; other keys use salt 0.
     The result equals the plain join; no task receives more than about
-    ``hot_rows`` rows of one key.  Given ``counts`` are taken to be stored
+    ``hot_rows`` rows of one key.  ``how`` is applied with the small side on
+    the left (``inner`` or ``left`` keep their usual meaning for it).  Given ``counts`` are taken to be stored
     (cheap to re-read); otherwise they are computed and the hot set stored.
     """
     given = counts is not None
