@@ -520,3 +520,26 @@ def _spark_like_round(sql: str) -> str:
 
 for _k in list(ORACLE):
     ORACLE[_k] = _spark_like_round(ORACLE[_k])
+
+
+# ---- value iteration, unrolled --------------------------------------------------------------------
+def _q_iterations(n: int = 120) -> None:
+    register("qbase", f"SELECT segment, action, {_NEXT} AS next_segment, avg_reward FROM grid", ["grid"])
+    register("q0", "SELECT segment, action, next_segment, avg_reward, 0.0::DOUBLE AS q FROM qbase", ["qbase"])
+    for i in range(1, n + 1):
+        register(f"q{i}", f"""
+SELECT b.segment, b.action, b.next_segment, b.avg_reward,
+       b.avg_reward + 0.9 * coalesce(m.best, 0.0) AS q
+FROM qbase b LEFT JOIN (SELECT segment, max(q) AS best FROM q{i - 1} GROUP BY segment) m
+  ON b.next_segment = m.segment""", [f"q{i - 1}"])
+    oracle("q_fixed_point", f"""
+SELECT segment, action, round(avg_reward, 6) AS avg_reward, round(q, 6) AS q FROM q{n}""", f"q{n}")
+    oracle("best_action_converged", f"""
+SELECT segment AS state, action AS best_action
+FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY q DESC, action ASC) AS r FROM q{n})
+WHERE r = 1""", f"q{n}")
+    for k in ("q_fixed_point", "best_action_converged"):
+        ORACLE[k] = _spark_like_round(ORACLE[k])
+
+
+_q_iterations()

@@ -779,3 +779,14 @@ def q_etl_reviews(spark, sf):
 def q_price_features(spark, sf):
     """One row per listing: model features and the mean log price target."""
     return rounded(training_table(spark, sf))
+
+
+@query("q_fixed_point")
+def q_q_fixed_point(spark, sf):
+    """Converged action values of the reward grid (value iteration)."""
+    return rounded(PR.q_fixed_point(PR.reward_grid(rule_scored(spark, sf))))
+
+
+@query("best_action_converged")
+def q_best_action_converged(spark, sf):
+    return PR.best_action(PR.q_fixed_point(PR.reward_grid(rule_scored(spark, sf))), value="q")
