@@ -34,11 +34,11 @@ def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42):
 
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,
                        train_fraction: float = 0.75, seed: int = 42, handle_invalid: str = "keep",
-                       concurrency: int = 4):
+                       concurrency: int = len(SEGMENTS)):
     """Fit one pipeline per segment; segments with fewer than two label
     values are reported, not fitted.  The segment set is fixed (8), each fit
-    is a distributed job, and up to ``concurrency`` fits run at once so small
-    segments do not leave the cluster idle.  Returns
+    is a distributed job, and up to ``concurrency`` fits (default: all 8) run
+    at once so small segments do not leave the cluster idle.  Returns
     ``({segment: model}, summary rows)``."""
     from concurrent.futures import ThreadPoolExecutor
 
