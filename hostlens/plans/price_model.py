@@ -91,11 +91,13 @@ def train_and_evaluate(listings: DataFrame, calendar: DataFrame, partitions: int
     """
     spark = listings.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
-    table = training_table(listings, calendar).repartition(n).persist()
+    table = key_split(training_table(listings, calendar), 0.8, ["id"], seed).repartition(n).persist()
     try:
-        train, test = split(table, seed=seed)
-        model = fit_price_model(train, trees, depth, seed)
-        rows = evaluate(model, train, test).collect()
+        model = fit_price_model(table.where(F.col("split") == "train").drop("split"), trees, depth, seed)
+        # one scoring pass over both parts, metrics grouped by part
+        scored = model.transform(ML.as_double(table, NUMERIC))
+        rows = ML.regression_metrics_frame(scored, LABEL, "prediction", by=["split"]).collect()
     finally:
         table.unpersist()
-    return model, spark.createDataFrame(rows, "r2 double, rmse double, n long, split string")
+    return model, spark.createDataFrame([(r["r2"], r["rmse"], r["n"], r["split"]) for r in rows],
+                                        "r2 double, rmse double, n long, split string")
