@@ -51,3 +51,15 @@ def test_invariants(spark):
     assert seg_rows == panel.count()
     best = CT.QUERIES["best_action"](spark, SF).collect()
     assert best and all(r["best_action"] in ACTIONS for r in best)
+
+
+def test_forced_salting_keeps_results(spark, con):
+    """Every listing with >= 2 reviews treated as hot: same rows as the oracle."""
+    from hostlens.plans import reviews as RV
+    from hostlens.sources import bindings as B
+    c = RV.comment_rows(CT.listings_clean(spark, SF), CT.reviews_clean(spark, SF), B.FIXTURE_LEXICON,
+                        B.FIXTURE_NEGATORS, keep_review_id=True, hot_listing_reviews=2)
+    r = compare(CT.rounded(c.select("review_id", "id", "sentiment_score")), con, ORACLE["sentiment_score"])
+    assert r["match"], r
+    r = compare(c.select("review_id", "id", "date", "review_count"), con, ORACLE["join_left_count"])
+    assert r["match"], r
