@@ -178,3 +178,20 @@ def test_correlation_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0, 0.0), (2.0, 0.0), (3.0, 0.0)], "a double, z double")
     cells = {(r["x"], r["y"]): r["r"] for r in A.correlation_matrix(df, ["a", "z"]).collect()}
     assert cells[("a", "z")] is None and cells[("z", "z")] is None and cells[("a", "a")] == pytest.approx(1.0)
+
+
+def test_bounded_broadcast_falls_back_above_bound(spark):
+    from hostlens.operators.joins import bounded_broadcast
+    small = spark.range(10)
+    side, is_bc = bounded_broadcast(small, max_rows=100)
+    assert is_bc and side.count() == 10
+    side, is_bc = bounded_broadcast(small, max_rows=5)
+    assert not is_bc and side.count() == 10
+
+
+def test_cluster_settings_sizes_partitions():
+    from hostlens.session import cluster_settings
+    conf = cluster_settings(100 * 2 ** 40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_settings(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
