@@ -6,4 +6,4 @@ the same calendar cleaning on CSV drops as they arrive (file source,
 files.
 """
 
-from .calendar_ingest import current_calendar, ingest_calendar  # noqa: F401
+from .calendar_ingest import compact_calendar, current_calendar, ingest_calendar  # noqa: F401

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import dedup
 from ..plans.etl import clean_calendar
@@ -40,7 +41,55 @@ def ingest_calendar(spark: SparkSession, source_dir: str, sink_dir: str,
     return writer.start()
 
 
-def current_calendar(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """The cleaned calendar over every batch written so far."""
-    staged = spark.read.parquet(sink_dir).drop("batch_id")
-    return dedup(staged, ["listing_id", "date"])
+def _latest_snapshot(spark: SparkSession, snapshot_dir: str | None):
+    if not snapshot_dir:
+        return None, None
+    try:
+        snaps = spark.read.parquet(snapshot_dir)
+    except Exception:  # noqa: BLE001 -- no snapshot written yet
+        return None, None
+    upto = snaps.agg(F.max("upto")).first()[0]
+    if upto is None:
+        return None, None
+    return snaps.where(F.col("upto") == upto).drop("upto"), upto
+
+
+def current_calendar(spark: SparkSession, sink_dir: str, snapshot_dir: str | None = None) -> DataFrame:
+    """The cleaned calendar over every batch written so far.
+
+    With ``snapshot_dir``: the latest compacted snapshot plus only the
+    batches written after it (older batch folders are no longer read).
+    """
+    staged = spark.read.parquet(sink_dir)
+    snap, upto = _latest_snapshot(spark, snapshot_dir)
+    if snap is not None:
+        staged = staged.where(F.col("batch_id") > upto)
+    rows = staged.drop("batch_id")
+    if snap is not None:
+        rows = snap.unionByName(rows)
+    return dedup(rows, ["listing_id", "date"])
+
+
+def compact_calendar(spark: SparkSession, sink_dir: str, snapshot_dir: str) -> int:
+    """Write the current table as a snapshot tagged with the last batch it
+    covers (``<snapshot_dir>/upto=<batch>``) and return that batch id.
+
+    Deduplication keeps the smallest row per key, which is associative, so
+    snapshot + later batches gives the same table as all batches; nothing is
+    deleted here -- batch folders up to the snapshot may be removed later.
+    """
+    upto = spark.read.parquet(sink_dir).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return -1
+    # batches after `upto` may be landing while we compact: leave them out so
+    # the tag is exact
+    staged = spark.read.parquet(sink_dir).where(F.col("batch_id") <= upto)
+    snap, prev = _latest_snapshot(spark, snapshot_dir)
+    if snap is not None:
+        staged = staged.where(F.col("batch_id") > prev)
+    rows = staged.drop("batch_id")
+    if snap is not None:
+        rows = snap.unionByName(rows)
+    table = dedup(rows, ["listing_id", "date"])
+    table.write.mode("overwrite").parquet(os.path.join(snapshot_dir, f"upto={upto}"))
+    return int(upto)

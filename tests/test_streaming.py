@@ -41,3 +41,19 @@ def test_stream_restart_is_idempotent(spark, tmp_path):
     # a restart with no new files processes nothing new
     ingest_calendar(spark, str(src / "*"), str(sink), checkpoint_dir=str(ckpt)).awaitTermination()
     assert current_calendar(spark, str(sink)).count() == 3
+
+
+def test_compaction_snapshot_plus_new_batches(spark, tmp_path):
+    from hostlens.streaming import compact_calendar
+    src, sink, ckpt, snaps = tmp_path / "drops", tmp_path / "sink", tmp_path / "ckpt", tmp_path / "snap"
+    io.write_csv(_frame(spark, ROWS_A).coalesce(1), str(src / "a"))
+    ingest_calendar(spark, str(src / "*"), str(sink), checkpoint_dir=str(ckpt)).awaitTermination()
+    assert compact_calendar(spark, str(sink), str(snaps)) == 0
+    io.write_csv(_frame(spark, ROWS_B).coalesce(1), str(src / "b"))
+    ingest_calendar(spark, str(src / "*"), str(sink), checkpoint_dir=str(ckpt)).awaitTermination()
+    want = clean_calendar(_frame(spark, ROWS_A + ROWS_B))
+    for got in (current_calendar(spark, str(sink), str(snaps)), current_calendar(spark, str(sink))):
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert compact_calendar(spark, str(sink), str(snaps)) == 1
+    got = current_calendar(spark, str(sink), str(snaps))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
