@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import scratch_path
 
@@ -32,9 +32,9 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, *,
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         if isinstance(schema, StructType):
-            schema = StructType(schema.fields + [StructType.fromJson(
-                {"type": "struct", "fields": [{"name": corrupt_column, "type": "string",
-                                               "nullable": True, "metadata": {}}]}).fields[0]])
+            schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
+        else:
+            schema = f"{schema}, {corrupt_column} STRING"
     df = reader.schema(schema).csv(path)
     if partitions:
         df = df.repartition(partitions)
