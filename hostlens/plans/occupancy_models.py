@@ -32,6 +32,14 @@ def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42):
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
 
 
+def needed_bins(train: DataFrame, floor: int = 60) -> int:
+    """``maxBins`` for the forest: the fixed 60, raised when a categorical
+    column has more labels (plus the unseen-label bucket) -- a forest refuses
+    categorical features with more values than bins.  One small aggregate."""
+    row = train.agg(*[F.countDistinct(c).alias(c) for c in CATEGORICAL]).first()
+    return max([floor] + [int(row[c]) + 1 for c in CATEGORICAL])
+
+
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,
                        train_fraction: float = 0.75, seed: int = 42, handle_invalid: str = "keep",
                        concurrency: int = len(SEGMENTS)):
@@ -49,7 +57,7 @@ def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | N
         if train.select("label").distinct().limit(2).count() < 2:
             return name, None, ("skipped: fewer than two label values", None)
         model = ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid,
-                                               seed=seed).fit(train)
+                                               seed=seed, max_bins=needed_bins(train)).fit(train)
         if model_root:
             ML.save_model(model, f"{model_root}/model_{name}")
         acc = ML.accuracy(model.transform(test)) if test.limit(1).count() else None

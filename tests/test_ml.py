@@ -58,3 +58,11 @@ def test_imputer_keeps_fraction_after_cast(spark):
     df = spark.createDataFrame([(1,), (4,), (None,)], "x int")
     out = ML.imputer(["x"]).fit(ML.as_double(df, ["x"])).transform(ML.as_double(df, ["x"]))
     assert sorted(r["x_imputed"] for r in out.collect()) == [1.0, 2.5, 4.0]
+
+
+def test_needed_bins_grows_with_labels(spark):
+    from hostlens.plans.occupancy_models import needed_bins
+    few = spark.createDataFrame([("a", "h", "r")], "neighbourhood_cleansed string, property_type string, room_type string")
+    many = spark.range(75).selectExpr("cast(id as string) as neighbourhood_cleansed", "'h' as property_type",
+                                      "'r' as room_type")
+    assert needed_bins(few) == 60 and needed_bins(many) == 76
