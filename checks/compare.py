@@ -51,6 +51,7 @@ _DUCK_OF_SPARK = {
     "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP",
     "ShortType()": "SMALLINT", "ByteType()": "TINYINT", "ArrayType(StringType(), True)": "VARCHAR[]",
     "ArrayType(StringType(), False)": "VARCHAR[]",
+    "ArrayType(DoubleType(), True)": "DOUBLE[]", "ArrayType(DoubleType(), False)": "DOUBLE[]",
 }
 
 

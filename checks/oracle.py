@@ -543,3 +543,31 @@ WHERE r = 1""", f"q{n}")
 
 
 _q_iterations()
+
+
+# ---- ML keys whose results SQL can state -------------------------------------------------------
+for _c in _CAT:
+    register(f"laball_{_c}", f"""
+SELECT CAST({_c} AS VARCHAR) AS v,
+       row_number() OVER (ORDER BY count(*) DESC, CAST({_c} AS VARCHAR) ASC) - 1 AS idx
+FROM feat WHERE {_c} IS NOT NULL GROUP BY 1""", ["feat"])
+# fitted on every row: no unseen labels; 'keep' adds one slot that dropLast removes again
+ORACLE["one_hot"] = _spark_like_round(with_ctes("SELECT f.id, " + ", ".join(
+    f"list_transform(range((SELECT count(*) FROM laball_{c})), lambda i: CASE WHEN i = j_{c}.idx "
+    f"THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS {c}_ohe" for c in _CAT)
+    + " FROM feat f " + " ".join(f"JOIN laball_{c} j_{c} ON CAST(f.{c} AS VARCHAR) = j_{c}.v" for c in _CAT),
+    "feat", *[f"laball_{c}" for c in _CAT]))
+
+_SEG_COLS = ["neighbourhood_cleansed", "property_type", "room_type"]
+register("seg101", "SELECT * FROM panel WHERE high_demand = 1 AND is_weekend = 0 AND hot_region = 1", ["panel"])
+for _c in _SEG_COLS:
+    register(f"labseg_{_c}", f"""
+SELECT {_c} AS v, row_number() OVER (ORDER BY count(*) DESC, {_c} ASC) - 1 AS idx
+FROM seg101 GROUP BY 1""", ["seg101"])
+oracle("index_error", "SELECT s.id, s.date, " + ", ".join(
+    f"CAST(j_{c}.idx AS DOUBLE) AS {c}_indexed" for c in _SEG_COLS)
+    + " FROM seg101 s " + " ".join(f"JOIN labseg_{c} j_{c} ON s.{c} = j_{c}.v" for c in _SEG_COLS),
+    "seg101", *[f"labseg_{c}" for c in _SEG_COLS])
+oracle("model_save_load", """
+SELECT count(*) AS n, count(*) AS n_equal
+FROM panel WHERE high_demand = 0 AND is_weekend = 0 AND hot_region = 1""", "panel")
