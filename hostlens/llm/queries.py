@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hostlens.llm import mixing, topk
+from hostlens.llm import mixing, packing, token_output, topk
 from hostlens.llm.common import table
 
-EVERY_20TH = F.expr("vec_id % 20 = 0")
+EVERY_20TH = "vec_id % 20 = 0"
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +20,26 @@ def op5_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.balanced_mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3.0)
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, written = token_output.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return token_output.read_tokens(spark, folder, written)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), window=1024, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
+    "op4_token_files": op4_token_files,
     "op5_cube_mix": op5_cube_mix,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

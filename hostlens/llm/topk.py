@@ -86,7 +86,7 @@ def _pack_state(t: pa.Table) -> pa.Table:
     return pa.table({"q_block": t["q_block"][:1], **{k: [t[k].to_numpy().astype("<i8").tobytes()] for k in ("lo", "need")}})
 
 
-def top_k(df: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, vec_id: str = "vec_id", embedding: str = "embedding",
+def top_k(df: DataFrame, is_query: Column | str, k: int = 20, scale: float = 64.0, vec_id: str = "vec_id", embedding: str = "embedding",
           query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer inner products of each query, ties to smaller ids.
 
