@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import mixing, packing, token_output, topk
+from hostlens.llm import hnsw, mixing, packing, quality, token_output, topk
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -31,15 +31,25 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, folder, written)
 
 
+def op7_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", folds=5, fold=0, threshold=0.3)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), window=1024, end_id=0)
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), EVERY_20TH, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_token_files": op4_token_files,
     "op5_cube_mix": op5_cube_mix,
+    "op7_fourier_quality": op7_fourier_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_hnsw": op9_hnsw,
 }
 
 ORACLE_SQL: dict[str, str] = {
