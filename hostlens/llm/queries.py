@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import hnsw, mixing, packing, quality, token_output, topk
+from hostlens.llm import hnsw, mixing, packing, quality, token_output, topk, toxicity
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -43,6 +43,10 @@ def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), EVERY_20TH, k=20)
 
 
+def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", folds=4, fold=2, threshold=0.3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_token_files": op4_token_files,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fourier_quality": op7_fourier_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_hnsw": op9_hnsw,
+    "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
