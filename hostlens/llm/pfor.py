@@ -12,26 +12,40 @@ places (u16), their packed upper bits.
 from __future__ import annotations
 
 import struct
+from functools import lru_cache
 
 import numpy as np
 
 MAGIC, BLOCK = 0x31524F464B4F54, 4096
 
 
+@lru_cache(256)
+def _places(n: int, width: int) -> tuple[np.ndarray, ...]:
+    """For n values of a width: the 64-bit word and the bit where each starts, and the first value of each word."""
+    at = np.arange(n) * width
+    return at >> 6, (at & 63).astype(np.uint64), np.flatnonzero(np.diff(at >> 6, prepend=-1))
+
+
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """Non-negative ints, ``width`` bits each, lowest bit first."""
-    bits = (values.astype(np.uint64)[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    """Non-negative ints, ``width`` bits each (32 at most), lowest bit first."""
+    if not width or not len(values):
+        return b""
+    word, bit, first = _places(len(values), width)
+    v = values.astype(np.uint64)
+    out = np.zeros(int(word[-1]) + 2, np.uint64)
+    out[:-1] = np.bitwise_or.reduceat(v << bit, first)
+    over = np.flatnonzero(bit + np.uint64(width) > 64)
+    out[word[over] + 1] |= v[over] >> (np.uint64(64) - bit[over])
+    return out.astype("<u8").tobytes()[: -(-len(values) * width // 8)]
 
 
 def unpack_bits(data: bytes, n: int, width: int) -> np.ndarray:
-    if not width:
+    if not width or not n:
         return np.zeros(n, np.int64)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
-    padded[:, :width] = bits
-    by = np.packbits(padded, axis=1, bitorder="little").astype(np.int64)
-    return (by << (8 * np.arange(by.shape[1]))).sum(1)
+    word, bit, _ = _places(n, width)
+    words = np.frombuffer(bytes(data[: -(-n * width // 8)]).ljust(8 * (int(word[-1]) + 2), b"\0"), "<u8")
+    high = np.where(bit > 0, words[word + 1] << (np.uint64(64) - np.maximum(bit, np.uint64(1))), np.uint64(0))
+    return (((words[word] >> bit) | high) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
 def encode_block(ids: np.ndarray, percentile: float = 90.0) -> bytes:
