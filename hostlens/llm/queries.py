@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import hnsw, mixing, packing, quality, substring, token_output, topk, toxicity
+from hostlens.llm import hnsw, mixing, neardup, packing, quality, substring, token_output, topk, toxicity
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -16,6 +16,10 @@ def op1_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20)
 
 
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).drop("_row")
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), EVERY_20TH, k=20, scale=64.0)
 
@@ -53,6 +57,7 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_kmer_dedup": op1_super_kmer_dedup,
+    "op2_dart_minhash": op2_dart_minhash,
     "op3_exact_topk": op3_exact_topk,
     "op4_token_files": op4_token_files,
     "op5_cube_mix": op5_cube_mix,
