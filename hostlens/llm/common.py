@@ -42,6 +42,18 @@ def doc_key(text: str = "text") -> list[Column]:
     return [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_id"), F.xxhash64(F.col("doc_id").isNull(), text).alias("_row")]
 
 
+def with_copies(docs: DataFrame, decisions: DataFrame, mark: str = "text") -> DataFrame:
+    """The rows of ``docs`` as often as decided: ``decisions`` has doc_id, _row (hash of ``mark``, or of all columns
+    if that is empty) and copies for each row. Rows that are equal so far are taken once and get their sum."""
+    total = decisions.groupBy("doc_id", "_row").agg(F.sum("copies").alias("copies"), F.count("*").alias("times")).where("copies > 0")
+    keep, mine = [f"`{c}`" for c in docs.columns], F.xxhash64(*([mark] if mark else docs.columns))
+    side = total.toDF("__id", "__row", "__copies", "__times")
+    rows = docs.withColumn("__mark", mine).join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__row")))
+    if not total.where("times > 1").isEmpty():
+        rows = rows.where("__times = 1").unionAll(rows.where("__times > 1").dropDuplicates(["__id", "__row"]))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*keep)
+
+
 def finite_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """vec_id and embedding (array of double), one row per id: vectors that are null or hold null or
     non-finite components go, as do null ids; of rows that share an id the smallest vector stays."""

@@ -182,8 +182,9 @@ def _labelled(members: DataFrame, of: DataFrame | None) -> DataFrame:
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS,
             counted: bool = False, leaders: int = 3) -> DataFrame:
-    """doc_id, _row (a hash of the whole row's text), class_id (the smallest doc_id of the class), class_size for every row.
+    """doc_id, class_id (the class's smallest doc_id), class_size, first and _row (a hash of the text) for every row.
 
+    ``first`` marks one document of each class, the one of the smallest doc_id (rows equal to it, too).
     ``counted``: elements weigh as often as they occur in finding candidates; similarity is that of the sets either way.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_row"), "text")
@@ -221,6 +222,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
         elif k == leaders or undecided.isEmpty():
             break
     out = _labelled(signed.where("v IS NOT NULL").select("doc_id", "_row", "v"), of)
-    per = out.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    out = out.join(per, "label").select("doc_id", "_row", "class_id", "class_size")
-    return out.unionAll(signed.where("v IS NULL").select("doc_id", "_row", F.col("doc_id").alias("class_id"), F.lit(1).cast("long")))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    per = out.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(place).alias("first"))
+    out = out.join(per, "label").select("doc_id", "class_id", "class_size", (place == F.col("first")).alias("first"), "_row")
+    return out.unionAll(signed.where("v IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long"), F.lit(True), "_row"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostlens.llm.common import chunks, shuffle_parts, text_bytes
+from hostlens.llm.common import chunks, text_bytes
 from hostlens.llm.labelled import held_out, training_labels
 from hostlens.session import materialize
 
@@ -120,8 +120,7 @@ def _apply(model: Model, what: str):
 
 def fit(stats: DataFrame, labels: DataFrame, name: str, folds: int, fold: int, features: int = 256, ridge: float = 3.0,
         most: int = 200_000, seed: int = 3) -> Model:
-    """Learns from ``most`` labelled rows at most; the sums of 32 tasks at most, each a matrix of fixed size, reach the driver."""
-    spark = stats.sparkSession
+    """Learns from ``most`` labelled rows at most; eight matrices of fixed size reach the driver."""
     row = stats.agg(*(f(n).alias(f"{k}_{n}") for n in STATS for k, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
     mean, std = (np.array([row[f"{k}_{n}"] or 0.0 for n in STATS]) for k in "ms")
     rng = np.random.default_rng(seed)
@@ -134,8 +133,7 @@ def fit(stats: DataFrame, labels: DataFrame, name: str, folds: int, fold: int, f
         model.values = np.array([counts.get(1, 0) / sum(counts.values()) if counts else 0.5])
         return model
     few = sum(counts.values()) < 2000  # too few to set rows apart
-    parts = min(32, shuffle_parts(spark))
-    sums = train.where("part > 0" if not few else "true").repartition(parts).mapInArrow(_normal_equations(model, "label"), "sums binary").collect()
+    sums = train.where("part > 0" if not few else "true").repartition(8).mapInArrow(_normal_equations(model, "label"), "sums binary").collect()
     size = len(model.beta)
     total = sum(np.frombuffer(r.sums).reshape(size, size + 1) for r in sums)
     model.beta = np.linalg.solve(total[:, :-1] + ridge * np.diag([1e-6, *[1.0] * (size - 1)]), total[:, -1])
@@ -149,10 +147,25 @@ def fit(stats: DataFrame, labels: DataFrame, name: str, folds: int, fold: int, f
     return model
 
 
+def _accepted(model: Model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            x = np.array([statistics(t) for t in b["text"].to_pylist()], float).reshape(-1, len(STATS))
+            yield b.filter(pa.array(model.score(x) >= threshold))
+
+    return run
+
+
+def accepted(docs: DataFrame, labels: DataFrame, name: str = "quality", folds: int = 5, fold: int = 0, threshold: float = 0.3,
+             features: int = 256, most: int = 200_000) -> DataFrame:
+    """The documents that score() gives at least ``threshold``, unchanged and where they are."""
+    stats = materialize(docs.select("doc_id", "text").mapInArrow(_stats, "doc_id long" + "".join(f", {n} double" for n in STATS)), "quality-stats")
+    return docs.mapInArrow(_accepted(fit(stats, labels, name, folds, fold, features, most=most), threshold), docs.schema)
+
+
 def score(docs: DataFrame, labels: DataFrame, name: str = "quality", folds: int = 5, fold: int = 0, threshold: float = 0.3,
           carry: tuple[str, ...] = (), features: int = 256, most: int = 200_000) -> DataFrame:
     """doc_id, held_out, score, predicted and the ``carry`` columns for every row."""
-    spark = docs.sparkSession
     named = [F.col(c).alias(f"_{c}") for c in carry]
     out = ", ".join(f"{n} {t}" for n, t in docs.select("doc_id", *named).dtypes)
     stats = docs.select("doc_id", *named, "text").mapInArrow(_stats, out + "".join(f", {n} double" for n in STATS))

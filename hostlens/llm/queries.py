@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import hnsw, mixing, neardup, packing, quality, substring, token_output, topk, toxicity
+from hostlens.llm import hnsw, mixing, neardup, packing, pii, pii_examples, quality, substring, token_output, topk, toxicity
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -17,7 +17,7 @@ def op1_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.classes(table(spark, sf_dir, "documents")).drop("_row")
+    return neardup.classes(table(spark, sf_dir, "documents")).drop("first", "_row")
 
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pii_field(spark: SparkSession) -> pii.Field:
+    return pii.train(pii.labelled_rows(spark.createDataFrame([(r,) for r in pii_examples.ROWS], "text string")))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, written = token_output.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
     return token_output.read_tokens(spark, folder, written)
 
 
+def op6_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), pii_field(spark))
+
+
 def op7_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", folds=5, fold=0, threshold=0.3)
 
@@ -61,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_token_files": op4_token_files,
     "op5_cube_mix": op5_cube_mix,
+    "op6_crf_pii": op6_crf_pii,
     "op7_fourier_quality": op7_fourier_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_hnsw": op9_hnsw,

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,33 +56,28 @@ def bare(word: str) -> str:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[int]] = {}
+    held = {None: Counter(), 0: Counter(), 1: Counter()}  # by label
 
     def flush() -> pa.RecordBatch:
-        by: dict[str, np.ndarray] = {}
-        for w, n in held.items():
-            w = bare(w)
-            by[w] = by[w] + n if w in by else np.array(n)
-        held.clear()
+        by: dict[str, list[int]] = {}
+        for i, label in enumerate((None, 0, 1)):
+            for w, n in held[label].items():
+                x = by.setdefault(bare(w), [0, 0, 0])
+                x[0] += n
+                x[i] += n if i else 0
+            held[label].clear()
         by.pop("", None)
         key, of = five_grams(list(by))
-        n = np.stack(list(by.values()))[of] if by else np.zeros((0, 3))
+        n = np.array(list(by.values()), float).reshape(-1, 3)[of]
         keys, at = np.unique(key, return_inverse=True)
         return pa.RecordBatch.from_pydict({"key": keys} | {c: np.bincount(at, n[:, i], len(keys)).astype(np.int64) for i, c in enumerate(("n", "ordinary", "toxic"))})
 
     for b in chunks(batches):
         for text, label in zip(b["text"].to_pylist(), b["label"].to_pylist(), strict=True):
-            add = (1, int(label == 0), int(label == 1))
-            for w in (text or "").split():
-                if (x := held.get(w)) is None:
-                    held[w] = [*add]
-                else:
-                    x[0] += 1
-                    if label is not None:
-                        x[1 + label] += 1
-        if len(held) > HELD:
+            held[label].update((text or "").split())
+        if sum(map(len, held.values())) > HELD:
             yield flush()
-    if held:
+    if any(held.values()):
         yield flush()
 
 
@@ -170,23 +166,29 @@ class WordEvidence:
         words = (text or "").split()
         if not words:
             return (0.0,) * len(FEATURES)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        if new := list({w for w in words if w not in known}):
-            known.update(zip(new, self.of_words([bare(w) for w in new]).tolist(), strict=True))
-        s = np.fromiter(map(known.__getitem__, words), float, len(words))
-        long = np.fromiter(map(len, words), float, len(words)) + 1
+        s = np.fromiter(map(self.known.__getitem__, words), float, len(words))
         top = np.partition(s, -min(3, len(s)))[-min(3, len(s)) :]
         k = int(s.argmax())
-        return float(s.sum() / long.sum()), float(s[k]), float(top.sum() / 3), float(s[k] / long[k]), float(np.log1p(len(words)))
+        return s.sum() / (len(words) + sum(map(len, words))), s[k], top.sum() / 3, s[k] / (1 + len(words[k])), np.log1p(len(words))
+
+    def learn(self, texts: list[str | None]) -> None:
+        """Looks up the words of some texts together."""
+        new: set[str] = set()
+        for t in texts:
+            new.update((t or "").split())
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        words = list(new.difference(self.known))
+        self.known.update(zip(words, self.of_words([bare(w) for w in words]).tolist(), strict=True))
 
 
 def _features(name: str, tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = WordEvidence.of(name, tables)
         for b in chunks(batches):
-            f = np.array([model.features(t) for t in b["text"].to_pylist()], float).reshape(-1, len(FEATURES))
+            texts = b["text"].to_pylist()
+            model.learn(texts)
+            f = np.array([model.features(t) for t in texts], float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"]} | {n: f[:, i] for i, n in enumerate(FEATURES)})
 
     return run
