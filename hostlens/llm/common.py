@@ -43,9 +43,9 @@ def doc_key(text: str = "text") -> list[Column]:
 
 
 def with_copies(docs: DataFrame, decisions: DataFrame, mark: str = "text") -> DataFrame:
-    """The rows of ``docs`` as often as decided: ``decisions`` has doc_id, _row (hash of ``mark``, or of all columns
-    if that is empty) and copies for each row. Rows that are equal so far are taken once and get their sum."""
-    total = decisions.groupBy("doc_id", "_row").agg(F.sum("copies").alias("copies"), F.count("*").alias("times")).where("copies > 0")
+    """The rows of ``docs`` as often as decided: ``decisions`` has doc_id, _row (hash of the column ``mark``, or of all
+    columns if that is empty), copies, and times: how many rows that is said of, which then count as one."""
+    total = decisions.where("copies > 0").select("doc_id", "_row", "copies", "times")
     keep, mine = [f"`{c}`" for c in docs.columns], F.xxhash64(*([mark] if mark else docs.columns))
     side = total.toDF("__id", "__row", "__copies", "__times")
     rows = docs.withColumn("__mark", mine).join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__row")))

@@ -64,7 +64,7 @@ def darts(h: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, coord
     size = np.bincount(doc, weight, n_docs)
     low, wide, parts = 0.0, 1.0, []
     while len(h):
-        parts.append((mix(h + np.uint64(len(parts)) * _C2), doc, weight, np.full(len(h), low), np.full(len(h), wide)))
+        parts.append((mix(h + np.array([len(parts)], np.uint64) * _C2), doc, weight, np.full(len(h), low), np.full(len(h), wide)))
         low, wide = low + wide, max(1.0, low + wide)
         stay = weight > low
         h, doc, weight = h[stay], doc[stay], weight[stay]

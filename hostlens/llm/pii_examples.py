@@ -103,6 +103,9 @@ the number 7 is lucky
 a number of 1000 or more
 mobile phones since 1990
 number 12 in the list of 100
+1 1 1 1 1 1 1 1 1 1
+count 1 2 3 4 5 6 7 8 9 10
+10 20 30 40 50 60 70
 thing of 42 and onted
 erende 7 shthon at
 """.strip().split("\n")
