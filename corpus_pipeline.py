@@ -22,8 +22,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class, that of the smallest doc_id."""
-    found = materialize(neardup.classes(docs).where("first"), "pipeline-first")
-    return with_copies(docs, found.select("doc_id", "_row", F.lit(1).alias("copies")).dropDuplicates())
+    found = neardup.classes(docs).where("first").groupBy("doc_id", "_row").agg(F.lit(1).alias("copies"), F.count("*").alias("times"))
+    return with_copies(docs, materialize(found, "pipeline-first"))
 
 
 def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,8 @@ def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, or up to three times."""
     marked = docs.select("doc_id", "text", "source", F.xxhash64(*docs.columns).alias("_row"))
-    return with_copies(docs, mixing.balanced_mix(marked, weights=(5, 2, 1), most=3.0, carry=("_row",)), mark="")
+    mix = mixing.balanced_mix(marked, weights=(5, 2, 1), most=3.0, carry=("_row",))
+    return with_copies(docs, mix.groupBy("doc_id", "_row").agg(F.sum("copies").alias("copies"), F.count("*").alias("times")), mark="")
 
 
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
