@@ -31,18 +31,25 @@ from hostlens.llm.common import chunks, shuffle_parts, text_bytes
 from hostlens.session import materialize
 
 #: Windows that a bin is meant to hold, and bytes of text that are hashed at a time.
-BIN_WINDOWS, STEP = 1_500_000, 1 << 20
+BIN_WINDOWS, STEP = 600_000, 1 << 20
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
-@lru_cache(4)
+@lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64)), dtype=np.uint64) for b in (_BASE, _INVERSE))
 
 
+_most = [STEP]
+
+
 def slice_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each slice data[start:end], from running sums over the bytes."""
-    up, down = _powers(1 << max(16, len(data).bit_length()))
+    if len(data) > 4 * STEP and len(data) > _most[0]:  # a single very long text
+        up, down = _powers.__wrapped__(len(data))
+    else:
+        _most[0] = max(_most[0], -(-len(data) // STEP) * STEP)
+        up, down = _powers(_most[0])
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
@@ -112,7 +119,7 @@ def _frequent(window: int, mer: int, share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, total, windows = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0
-        for b in chunks(batches):
+        for b in chunks(batches, 2 * STEP):
             s = Strings(_docs_in_order(b)[2], window, mer, keys[:0])
             one, n = np.unique(s.key, return_counts=True)
             windows, total = windows + int(s.count.sum()), total + len(s.key)
@@ -133,7 +140,7 @@ def _send(window: int, mer: int, hot: np.ndarray, bins: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=6)
-        for b in chunks(batches):
+        for b in chunks(batches, 2 * STEP):
             ids, rows, words = _docs_in_order(b)
             s = Strings(words, window, mer, hot)
             if not len(s.first):
