@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .ctes import with_ctes
+import re
+
+from .ctes import CTES, with_ctes
 
 PANEL_COLS = ("id, host_id, neighbourhood_cleansed, property_type, room_type, accommodates, "
               "minimum_nights, maximum_nights, date, available, price, label, is_weekend, "
@@ -241,7 +243,7 @@ SELECT listing_id, date, round(log_price, 6) AS log_price,
 
 # ---- 2.5 aggregations ---------------------------------------------------------------------
 oracle("dedup_keys", "SELECT * FROM calendar_c", "calendar_c")
-oracle("distinct_rows", "SELECT DISTINCT listing_id, available, minimum_nights FROM calendar_c", "calendar_c")
+oracle("distinct_rows", "SELECT DISTINCT * FROM calendar_raw", "calendar_raw")
 oracle("count_per_key", "SELECT listing_id, count(listing_id) AS review_count FROM reviews_c GROUP BY listing_id",
        "reviews_c")
 oracle("avg_log_price", """
@@ -328,7 +330,7 @@ SELECT review_id, sentiment_category,
        CASE WHEN sentiment_category = 'negative' THEN 0.8::DOUBLE ELSE 0.5::DOUBLE END AS alpha FROM scored""", "scored")
 
 # ---- 2.12 price recommendation ------------------------------------------------------------
-from hostlens.operators.pricing import ACTIONS as _ACTIONS  # noqa: E402
+_ACTIONS = [0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5]  # fixed values
 
 _SEG = ("concat_ws('_', CASE WHEN high_demand = 1 THEN 'highdemand' ELSE 'lowdemand' END, "
         "CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END, "
@@ -522,29 +524,6 @@ for _k in list(ORACLE):
     ORACLE[_k] = _spark_like_round(ORACLE[_k])
 
 
-# ---- value iteration, unrolled --------------------------------------------------------------------
-def _q_iterations(n: int = 120) -> None:
-    register("qbase", f"SELECT segment, action, {_NEXT} AS next_segment, avg_reward FROM grid", ["grid"])
-    register("q0", "SELECT segment, action, next_segment, avg_reward, 0.0::DOUBLE AS q FROM qbase", ["qbase"])
-    for i in range(1, n + 1):
-        register(f"q{i}", f"""
-SELECT b.segment, b.action, b.next_segment, b.avg_reward,
-       b.avg_reward + 0.9 * coalesce(m.best, 0.0) AS q
-FROM qbase b LEFT JOIN (SELECT segment, max(q) AS best FROM q{i - 1} GROUP BY segment) m
-  ON b.next_segment = m.segment""", [f"q{i - 1}"])
-    oracle("q_fixed_point", f"""
-SELECT segment, action, round(avg_reward, 6) AS avg_reward, round(q, 6) AS q FROM q{n}""", f"q{n}")
-    oracle("best_action_converged", f"""
-SELECT segment AS state, action AS best_action
-FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY q DESC, action ASC) AS r FROM q{n})
-WHERE r = 1""", f"q{n}")
-    for k in ("q_fixed_point", "best_action_converged"):
-        ORACLE[k] = _spark_like_round(ORACLE[k])
-
-
-_q_iterations()
-
-
 # ---- ML keys whose results SQL can state -------------------------------------------------------
 for _c in _CAT:
     register(f"laball_{_c}", f"""
@@ -559,15 +538,64 @@ ORACLE["one_hot"] = _spark_like_round(with_ctes("SELECT f.id, " + ", ".join(
     "feat", *[f"laball_{c}" for c in _CAT]))
 
 _SEG_COLS = ["neighbourhood_cleansed", "property_type", "room_type"]
-register("seg101", "SELECT * FROM panel WHERE high_demand = 1 AND is_weekend = 0 AND hot_region = 1", ["panel"])
 for _c in _SEG_COLS:
     register(f"labseg_{_c}", f"""
-SELECT {_c} AS v, row_number() OVER (ORDER BY count(*) DESC, {_c} ASC) - 1 AS idx
-FROM seg101 GROUP BY 1""", ["seg101"])
+SELECT segment, {_c} AS v,
+       row_number() OVER (PARTITION BY segment ORDER BY count(*) DESC, {_c} ASC) - 1 AS idx
+FROM segs GROUP BY 1, 2""", ["segs"])
 oracle("index_error", "SELECT s.id, s.date, " + ", ".join(
     f"CAST(j_{c}.idx AS DOUBLE) AS {c}_indexed" for c in _SEG_COLS)
-    + " FROM seg101 s " + " ".join(f"JOIN labseg_{c} j_{c} ON s.{c} = j_{c}.v" for c in _SEG_COLS),
-    "seg101", *[f"labseg_{c}" for c in _SEG_COLS])
-oracle("model_save_load", """
-SELECT count(*) AS n, count(*) AS n_equal
-FROM panel WHERE high_demand = 0 AND is_weekend = 0 AND hot_region = 1""", "panel")
+    + ", s.segment FROM segs s " + " ".join(
+    f"JOIN labseg_{c} j_{c} ON s.{c} = j_{c}.v AND s.segment = j_{c}.segment" for c in _SEG_COLS),
+    "segs", *[f"labseg_{c}" for c in _SEG_COLS])
+oracle("model_save_load", "SELECT segment, count(*) AS n, count(*) AS n_equal FROM segs GROUP BY segment", "segs")
+
+# ---- facts of sampled and fitted results ---------------------------------------------------------
+oracle("bernoulli_sample", "SELECT count(*) AS n_rows, true AS is_subset, true AS size_fits FROM calendar_c", "calendar_c")
+oracle("random_split", "SELECT listing_id, date, 1::BIGINT AS n_parts FROM calendar_c", "calendar_c")
+oracle("price_model", """
+SELECT split, count(*) AS n, true AS r2_defined, true AS rmse_defined, true AS beats_mean
+FROM (SELECT 'train' AS split FROM feat_train UNION ALL SELECT 'test' FROM feat_test) GROUP BY split""",
+       "feat_train", "feat_test")
+oracle("feature_importance", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _NUM + _CAT)
+       + "]) AS feature, true AS in_range, 1.0::DOUBLE AS total FROM (SELECT count(*) FROM feat)", "feat")
+_DAY_BUCKET = ("((CAST(id AS BIGINT) * 2654435761 + "
+               "CAST(date - DATE '1970-01-01' AS BIGINT) * 40503 + 17) % 10000)")
+oracle("occupancy_model", f"SELECT id, date, true AS is_label, segment FROM segs WHERE {_DAY_BUCKET} >= 7500", "segs")
+oracle("score_batch", "SELECT id, date, true AS is_label, segment FROM segs", "segs")
+oracle("segment_models", f"""
+SELECT n.segment, CASE WHEN count(s.id) > 0 THEN 'fitted' ELSE 'no rows' END AS status, true AS accuracy_fits
+FROM (SELECT d || '_' || w || '_' || h AS segment
+      FROM (SELECT unnest(['highdemand', 'lowdemand']) AS d), (SELECT unnest(['weekend', 'weekday']) AS w),
+           (SELECT unnest(['hotregion', 'nothotregion']) AS h)) n
+LEFT JOIN (SELECT * FROM segs WHERE {_DAY_BUCKET} < 7500) s ON n.segment = s.segment GROUP BY n.segment""", "segs")
+_ENDS = """
+SELECT segment, action,
+       CASE WHEN high_demand = 1 THEN -new_price ELSE -new_price * k END AS r0,
+       CASE WHEN high_demand = 1 THEN new_price - CAST(price AS DOUBLE) * label
+            WHEN label = 0 THEN new_price * k ELSE -new_price * k END AS r1
+FROM rew"""
+ORACLE["reward_grid_model"] = _spark_like_round(with_ctes(f"""
+SELECT segment, action, round(avg(least(r0, r1)), 6) AS low, round(avg(greatest(r0, r1)), 6) AS high, true AS inside
+FROM ({_ENDS}) GROUP BY segment, action""", "rew"))
+
+# ---- the panel without lost nights --------------------------------------------------------------
+_THOUSANDS = {n: (CTES[n][0].replace("'[$]'", "'[$,]'") if n == "calendar_c" else CTES[n][0], CTES[n][1])
+              for n in ("calendar_c", "panel_days", "panel_occ", "regions", "panel")}
+
+
+def _renamed(sql: str) -> str:
+    for n in _THOUSANDS:
+        sql = re.sub(rf"\b{n}\b", f"{n}_t", sql)
+    return sql
+
+
+for _n, (_sql, _needs) in _THOUSANDS.items():
+    register(f"{_n}_t", _renamed(_sql), [f"{x}_t" if x in _THOUSANDS else x for x in _needs])
+ORACLE["occupancy_panel_thousands"] = _spark_like_round(with_ctes(_renamed(_PANEL_OUT), "panel_t"))
+oracle("rejected_prices", """
+SELECT count(price) AS prices, count(*) FILTER (price IS NOT NULL AND p IS NULL) AS rejected, thousands
+FROM (SELECT price, false AS thousands, TRY_CAST(regexp_replace(price, '[$]', '', 'g') AS FLOAT) AS p FROM calendar_raw
+      UNION ALL
+      SELECT price, true, TRY_CAST(regexp_replace(price, '[$,]', '', 'g') AS FLOAT) FROM calendar_raw)
+GROUP BY thousands""", "calendar_raw")

@@ -82,6 +82,22 @@ def without_words(token_array, stop_words: Iterable[str]) -> Column:
     return F.filter(col_of(token_array), lambda t: ~F.array_contains(stops, t))
 
 
+# fixed values: English function words
+ENGLISH_STOP_WORDS = """
+a about above after again against all almost alone along already also although always am among an and
+another any anyone anything are around as at back be became because become been before behind being below
+between both but by can cannot could did do does doing done down during each either else enough etc even
+ever every everyone everything few for from further get give go had has have having he hence her here hers
+herself him himself his how however i if in indeed into is it its itself just keep last least less made many
+may me might mine more most mostly move much must my myself namely neither never nevertheless next no nobody
+none nor not nothing now nowhere of off often on once one only onto or other others otherwise our ours
+ourselves out over own per perhaps please put rather re same see seem seemed seeming seems several she should
+since so some somehow someone something sometimes somewhere still such take than that the their theirs them
+themselves then there thereby therefore these they this those though through throughout thus to together too
+toward towards two under until up upon us very via was we well were what whatever when where whether which
+while who whoever whole whom whose why will with within without would yet you your yours yourself yourselves
+""".split()
+
 # Generic default lexicon (own values, English review vocabulary).
 DEFAULT_LEXICON: dict[str, float] = {
     "amazing": 0.6, "awful": -1.0, "bad": -0.7, "beautiful": 0.85,

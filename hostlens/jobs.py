@@ -20,6 +20,7 @@ import os
 
 from pyspark.sql import SparkSession
 
+from .functions import text as T
 from .operators import ml as ML
 from .operators import pricing as PR
 from .plans import etl, occupancy, occupancy_models, price_model, recommend, reviews
@@ -27,14 +28,25 @@ from .sources import io
 from .sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW
 
 
-def listings_etl(spark: SparkSession, csv_path: str, out: str, partitions: int | None = None) -> str:
+def report_prices(raw, thousands: bool) -> None:
+    """Prints how many price texts the cleaning turns into NULL."""
+    r = etl.rejected_prices(raw, thousands=thousands).first()
+    print(f"{r['rejected']} of {r['prices']} prices do not parse" + ("" if thousands else " (--thousands reads '$1,200.00')"))
+
+
+def listings_etl(spark: SparkSession, csv_path: str, out: str, partitions: int | None = None,
+                 thousands: bool = False) -> str:
     raw = io.read_csv_table(spark, csv_path, LISTINGS_RAW, escape='"', partitions=partitions)
-    return io.write_parquet(etl.clean_listings(raw), out)
+    report_prices(raw, thousands)
+    return io.write_parquet(etl.clean_listings(raw, thousands=thousands), out)
 
 
-def calendar_etl(spark: SparkSession, csv_path: str, out: str, partitions: int | None = None) -> str:
-    raw = io.read_csv_table(spark, csv_path, CALENDAR_RAW, partitions=partitions)
-    return io.write_parquet(etl.clean_calendar(raw), out)
+def calendar_etl(spark: SparkSession, csv_path: str, out: str, partitions: int | None = None,
+                 thousands: bool = False) -> str:
+    # no free text: rows are lines, so a large file is read in splits
+    raw = io.read_csv_table(spark, csv_path, CALENDAR_RAW, multiline=False, partitions=partitions)
+    report_prices(raw, thousands)
+    return io.write_parquet(etl.clean_calendar(raw, thousands=thousands), out)
 
 
 def reviews_etl(spark: SparkSession, csv_path: str, out: str, partitions: int | None = None) -> str:
@@ -56,8 +68,12 @@ def price_model_job(spark: SparkSession, listings_path: str, calendar_path: str,
 
 
 def review_analysis_job(spark: SparkSession, listings_path: str, reviews_path: str, out: str,
-                        stop_words=()) -> str:
-    comments = reviews.comment_rows(spark.read.parquet(listings_path), spark.read.parquet(reviews_path),
+                        stop_words: str | None = None, lexicon: str | None = None) -> str:
+    """``stop_words``: a text file of one word per line (default: the English list; an empty file means none).
+    ``lexicon``: a Parquet table (word, polarity), joined in (default: the small built-in one)."""
+    stop_words = T.ENGLISH_STOP_WORDS if stop_words is None else [r.value.strip() for r in spark.read.text(stop_words).collect() if r.value.strip()]
+    words = spark.read.parquet(lexicon) if lexicon else T.DEFAULT_LEXICON
+    comments = reviews.comment_rows(spark.read.parquet(listings_path), spark.read.parquet(reviews_path), words,
                                     keep_review_id=True, reviews_stored=True)
     comments = io.parquet_roundtrip(comments, "comment-rows")  # one scoring pass feeds every report
     reports = {
@@ -87,13 +103,7 @@ def occupancy_models_job(spark: SparkSession, panel_dir: str, model_dir: str) ->
 
 
 def recommend_job(spark: SparkSession, panel_dir: str, model_dir: str, out: str) -> str:
-    models = {}
-    for seg in occupancy_models.SEGMENTS:
-        name = occupancy_models.segment_name(*seg)
-        try:
-            models[name] = ML.load_model(os.path.join(model_dir, f"model_{name}"))
-        except Exception:  # noqa: BLE001 -- the segment was skipped when fitting (one label value)
-            pass
+    models = occupancy_models.load_segment_models(spark, model_dir)
     grid = occupancy_models.model_reward_grid(spark.read.parquet(panel_dir), models)
     best = PR.best_action(PR.lookahead_value(grid))
     best.coalesce(1).write.mode("overwrite").option("header", True).csv(out)
@@ -108,19 +118,25 @@ def main(argv=None) -> None:
     ap.add_argument("--end", default=occupancy.DEFAULT_END)
     ap.add_argument("--hot-cut", default=str(occupancy.HOT_REGION_CUT))
     ap.add_argument("--partitions", type=int, default=None)
+    ap.add_argument("--thousands", action="store_true", help="read '$1,200.00' as 1200; otherwise it is NULL")
+    ap.add_argument("--stop-words", default=None, help="text file, one word per line")
+    ap.add_argument("--lexicon", default=None, help="Parquet table (word, polarity)")
+    ap.add_argument("--checkpoint-dir", default=None, help="shared scratch folder, if spark.checkpoint.dir is unset")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"hostlens {a.job}").getOrCreate()
+    if a.checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", a.checkpoint_dir)
     p = a.paths
     if a.job == "listings-etl":
-        listings_etl(spark, p[0], p[1], a.partitions)
+        listings_etl(spark, p[0], p[1], a.partitions, a.thousands)
     elif a.job == "calendar-etl":
-        calendar_etl(spark, p[0], p[1], a.partitions)
+        calendar_etl(spark, p[0], p[1], a.partitions, a.thousands)
     elif a.job == "reviews-etl":
         reviews_etl(spark, p[0], p[1], a.partitions)
     elif a.job == "price-model":
         price_model_job(spark, p[0], p[1], p[2])
     elif a.job == "review-analysis":
-        review_analysis_job(spark, p[0], p[1], p[2])
+        review_analysis_job(spark, p[0], p[1], p[2], a.stop_words, a.lexicon)
     elif a.job == "occupancy-etl":
         cut = None if a.hot_cut == "median" else float(a.hot_cut)
         occupancy_etl(spark, p[0], p[1], a.start, a.end, cut)

@@ -48,11 +48,6 @@ def join_on_key(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.join(right, on=key, how=how)
 
 
-def left_join_count(df: DataFrame, counts: DataFrame, df_key: str, counts_key: str) -> DataFrame:
-    """Left outer join of detail rows to a per-key count table."""
-    return df.join(counts, df[df_key] == counts[counts_key], "left").drop(counts[counts_key])
-
-
 def attach_group_stat(df: DataFrame, keys: Sequence[str], stat: Column, name: str,
                       max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Aggregate per key, then join the statistic back to every detail row.
@@ -74,15 +69,16 @@ def attach_group_stat_window(df: DataFrame, keys: Sequence[str], stat: Column, n
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
                 spread_key: str, counts: DataFrame | None = None, hot_rows: int = 5_000_000,
-                salts: int = 64, how: str = "inner") -> DataFrame:
-    """Equi-join that splits hot keys of the big side over ``salts`` tasks.
+                how: str = "inner") -> DataFrame:
+    """Equi-join that splits a hot key of the big side into parts of about ``hot_rows`` rows.
 
     A key is hot when it has at least ``hot_rows`` rows on the big side
     (``counts``: ``(big_key, count)``, computed with a partial aggregate when
     not given).  At most ``total / hot_rows`` keys can be hot, so the hot set
     is small by construction; it is still counted before it is broadcast.
-    Rows of a hot key get a salt from a stable hash of ``spread_key``; the
-    matching small-side row is repeated once per salt; other keys use salt 0.
+    A hot key has ``ceil(count / hot_rows)`` salts; its rows get one from a
+    stable hash of ``spread_key``, and the matching small-side row is repeated
+    once per salt.  Other keys use salt 0.
     The result equals the plain join; no task receives more than about
     ``hot_rows`` rows of one key.  ``how`` is applied with the small side on
     the left (``inner`` or ``left`` keep their usual meaning for it).  Given ``counts`` are taken to be stored
@@ -92,15 +88,13 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     if not given:
         counts = big.groupBy(big_key).agg(F.count(F.lit(1)).alias("count"))
     hot = counts.where(F.col(counts.columns[1]) >= hot_rows).select(
-        F.col(counts.columns[0]).alias("__hot_key"), F.lit(True).alias("__hot"))
+        F.col(counts.columns[0]).alias("__hot_key"), F.ceil(F.col(counts.columns[1]) / hot_rows).cast("int").alias("__salts"))
     hot_side, _ = bounded_broadcast(hot, DEFAULT_BROADCAST_ROWS, materialized=given)
     b = (big.join(hot_side, big[big_key] == F.col("__hot_key"), "left").drop("__hot_key")
-            .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(spread_key)), F.lit(salts)))
-                                   .otherwise(F.lit(0)).cast("int"))
-            .drop("__hot"))
+            .withColumn("__salt", F.pmod(F.xxhash64(F.col(spread_key)), F.coalesce("__salts", F.lit(1))).cast("int"))
+            .drop("__salts"))
     s_ = (small.join(hot_side, small[small_key] == F.col("__hot_key"), "left").drop("__hot_key")
-               .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                                .otherwise(F.array(F.lit(0)))))
-               .drop("__hot"))
+               .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+               .drop("__salts"))
     return s_.join(b, (s_[small_key] == b[big_key]) & (s_["__salt"] == b["__salt"]), how) \
              .drop(s_["__salt"]).drop(b["__salt"])

@@ -95,43 +95,6 @@ def lookahead_value(grid: DataFrame, extra_keys: Sequence[str] = (), gamma: floa
               .drop("__next_best")
 
 
-def q_fixed_point(grid: DataFrame, iterations: int = 120, gamma: float = GAMMA,
-                  extra_keys: Sequence[str] = ()) -> DataFrame:
-    """Value iteration on the reward grid: ``iterations`` rounds of
-    ``Q(s, a) = avg_reward(s, a) + gamma * max_a' Q(s', a')`` from ``Q = 0``.
-
-    This is the fixed point the reference's sampled Q-learning estimates
-    (transitions are deterministic, so no sampling is needed); after ``n``
-    rounds the error is at most ``gamma**n`` times the largest value.  An
-    iterative fixed point is not one declarative plan, so it runs as a
-    grouped pandas function: one group per replicate (``extra_keys``), each
-    holding at most 8 segments x the action count rows by construction.
-    """
-    import numpy as np
-    import pandas as pd
-
-    keys = list(extra_keys)
-    g = grid.withColumn("next_segment", next_segment(F.col("segment"), F.col("action")))
-    if not keys:
-        g = g.withColumn("__group", F.lit(0))
-    group_cols = keys or ["__group"]
-    g = g.select(*group_cols, "segment", "action", "next_segment", "avg_reward")
-    out_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in g.schema.fields) + ", q double"
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        seg = pdf["segment"].to_numpy()
-        nxt = pd.Series(pdf["next_segment"].to_numpy())
-        reward = pdf["avg_reward"].to_numpy(dtype="float64")
-        q = np.zeros(len(pdf))
-        for _ in range(iterations):
-            best = pd.Series(q).groupby(seg).max()
-            q = reward + gamma * nxt.map(best).fillna(0.0).to_numpy(dtype="float64")
-        return pdf.assign(q=q)
-
-    out = g.groupBy(*group_cols).applyInPandas(solve, out_schema)
-    return out.drop("__group").drop("next_segment") if not keys else out.drop("next_segment")
-
-
 def best_action(values: DataFrame, value: str = "value", extra_keys: Sequence[str] = ()) -> DataFrame:
     """(extra keys, state, best_action): arg-max action per segment, ties ->
     the lowest action."""

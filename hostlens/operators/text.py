@@ -21,15 +21,50 @@ def token_counts(df: DataFrame, id_col: str, text_col: str,
               .groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n")))
 
 
-def with_sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float] = T.DEFAULT_LEXICON,
+# A lexicon of more words than this is joined in as a table.
+MAP_WORDS = 100
+
+
+def with_sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float] | DataFrame = T.DEFAULT_LEXICON,
                    negators: Iterable[str] = T.DEFAULT_NEGATORS, name: str = "sentiment_score") -> DataFrame:
-    """Adds the lexicon polarity of ``text_col`` (row-local, no shuffle)."""
+    """Adds the lexicon polarity of ``text_col``.
+
+    A small mapping is looked up inside the row (no shuffle).  A large one, or
+    a table (word, polarity), is joined to the tokens instead, so the time per
+    token does not grow with the lexicon: see :func:`sentiment_by_join`.
+    """
+    if isinstance(lexicon, DataFrame) or len(lexicon) > MAP_WORDS:
+        return sentiment_by_join(df, text_col, lexicon, negators, name)
     tmp = f"__{name}_tokens"
     return (df.withColumn(tmp, T.tokens(F.col(text_col)))
               .withColumn(name, T.sentiment_from_tokens(F.col(tmp), lexicon, list(negators)))
               .drop(tmp))
 
 
+def sentiment_by_join(df: DataFrame, text_col: str, lexicon: Mapping[str, float] | DataFrame,
+                      negators: Iterable[str] = T.DEFAULT_NEGATORS, name: str = "sentiment_score") -> DataFrame:
+    """The same polarity through a join of (text, token) rows with the lexicon.
+
+    The rows are stored first with a number each; only tokens of the lexicon
+    leave the join, already summed per row (the row's tokens sit together, so
+    the partial aggregate sends one record per row).  The lexicon is broadcast
+    behind a row count.
+    """
+    spark = df.sparkSession
+    if not isinstance(lexicon, DataFrame):
+        lexicon = spark.createDataFrame([(k, float(v)) for k, v in lexicon.items()], "word string, polarity double")
+    words = lexicon.groupBy(F.lower(F.col("word")).alias("__word")).agg(F.avg("polarity").alias("__polarity"))
+    side, _ = bounded_broadcast(words)
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "sentiment-rows")
+    toks = rows.select("__row", T.tokens(F.col(text_col)).alias("__t"))
+    flags = F.transform("__t", lambda t, i: F.struct(t.alias("w"), F.when(i > 0, F.get(F.col("__t"), i - 1)).alias("p")))
+    each = toks.select("__row", F.explode(flags).alias("x")).select("__row", F.col("x.w").alias("__word"), F.col("x.p").alias("__before"))
+    signed = F.when(F.col("__before").isin(*sorted(set(negators))), -F.col("__polarity")).otherwise(F.col("__polarity"))
+    scored = each.join(side, "__word").groupBy("__row").agg(F.avg(signed).alias(name))
+    return rows.join(scored, "__row", "left").withColumn(
+        name, F.when(F.col(text_col).isNotNull(), F.coalesce(name, F.lit(0.0)))).drop("__row")
+
+
 def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str | None = None,
                    k: int = 20, stop_words: Iterable[str] = (), spread: int = 64,
                    max_groups: int = 10_000, stage: bool = True) -> DataFrame:

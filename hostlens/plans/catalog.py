@@ -56,11 +56,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- role tables ------------------------------------------------------------
 
 def listings_clean(spark, sf):
-    return etl.clean_listings(io.spread(B.listings_raw(spark, sf)))
+    return etl.clean_listings(B.listings_raw(spark, sf))
 
 
-def calendar_clean(spark, sf):
-    return etl.clean_calendar(io.spread(B.calendar_raw(spark, sf)))
+def calendar_clean(spark, sf, thousands=False):
+    return etl.clean_calendar(B.calendar_raw(spark, sf), thousands=thousands)
 
 
 def reviews_clean(spark, sf):
@@ -87,6 +87,21 @@ def q_occupancy_panel(spark, sf):
     return rounded(panel(spark, sf))
 
 
+@query("occupancy_panel_thousands")
+def q_occupancy_panel_thousands(spark, sf):
+    """The panel with prices of 1,000 and more read as numbers: no night is lost to a comma."""
+    return rounded(occ.occupancy_panel(listings_clean(spark, sf), calendar_clean(spark, sf, thousands=True),
+                                       start=B.PANEL_START, end=B.PANEL_END, hot_cut=None))
+
+
+@query("rejected_prices")
+def q_rejected_prices(spark, sf):
+    """Calendar prices that do not parse, without and with the thousands option."""
+    raw = B.calendar_raw(spark, sf)
+    parts = [etl.rejected_prices(raw, thousands=t).withColumn("thousands", F.lit(t)) for t in (False, True)]
+    return parts[0].unionByName(parts[1])
+
+
 # ---- 2.1 scans, sources, sinks ---------------------------------------------
 
 
@@ -297,13 +312,24 @@ def q_key_split(spark, sf):
 
 @query("bernoulli_sample")
 def q_bernoulli_sample(spark, sf):
-    return S.bernoulli_sample(calendar_clean(spark, sf), 0.01, seed=7)
+    """Facts of a 1 % sample: rows of the table, none twice, and as many as six standard deviations allow."""
+    rows = materialize(calendar_clean(spark, sf), "sample-source")
+    drawn = materialize(S.bernoulli_sample(rows, 0.01, seed=7), "sample")
+    n = rows.agg(F.count("*").alias("n_rows"))
+    keys = drawn.join(rows.select("listing_id", "date"), ["listing_id", "date"], "left_semi").groupBy("listing_id", "date").count()
+    facts = keys.agg(F.count("*").alias("found"), F.coalesce(F.max("count"), F.lit(1)).alias("most"))
+    size = drawn.agg(F.count("*").alias("drawn"))
+    one = n.join(facts, F.lit(True)).join(size, F.lit(True))
+    return one.select("n_rows", ((F.col("found") == F.col("drawn")) & (F.col("most") == 1)).alias("is_subset"),
+                      (F.abs(F.col("drawn") - 0.01 * F.col("n_rows")) <= 6 * F.sqrt(0.01 * 0.99 * F.col("n_rows")) + 1).alias("size_fits"))
 
 
 @query("random_split")
 def q_random_split(spark, sf):
-    train, test = S.random_split(calendar_clean(spark, sf), [0.8, 0.2], seed=42)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    """Every row lies in exactly one part."""
+    train, test = S.random_split(materialize(calendar_clean(spark, sf), "split-source"), [0.8, 0.2], seed=42)
+    both = train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    return both.groupBy("listing_id", "date").agg(F.count("*").alias("n_parts"))
 
 
 # ---- 2.9 scalar functions ------------------------------------------------------
@@ -383,8 +409,8 @@ def q_join_listing_calendar(spark, sf):
 @query("join_listing_reviews")
 def q_join_listing_reviews(spark, sf):
     l = listings_clean(spark, sf).select(*RV.LISTING_COLUMNS)
-    r = reviews_clean(spark, sf).select("listing_id", "comments", "date")
-    return l.join(r, l["id"] == r["listing_id"], "inner").drop("listing_id")
+    r = reviews_clean(spark, sf).select("listing_id", "comments", "date", F.col("id").alias("review_id"))
+    return J.salted_join(r, l, "listing_id", "id", "review_id").drop("listing_id", "review_id")
 
 
 @query("join_left_count")
@@ -417,7 +443,8 @@ def q_dedup_keys(spark, sf):
 
 @query("distinct_rows")
 def q_distinct_rows(spark, sf):
-    return C.distinct_rows(calendar_clean(spark, sf).select("listing_id", "available", "minimum_nights"))
+    raw = B.calendar_raw(spark, sf)
+    return C.distinct_rows(raw.unionByName(raw))  # every row at least twice
 
 
 @query("count_per_key")
@@ -447,7 +474,7 @@ def q_global_avg(spark, sf):
 
 def _regions_with_cut(spark, sf, cut):
     days = occ.with_running_occupancy(rental_days(spark, sf))
-    regions = occ.region_occupancy(days)
+    regions = materialize(occ.region_occupancy(days), "regions")  # one run for the median and the rows
     c = A.median_of(regions, "avg_occupancy_rate") if cut is None else cut
     return rounded(regions.withColumn("hot_region", N.threshold_flag("avg_occupancy_rate", c)))
 
@@ -610,7 +637,8 @@ def q_csv_sink_roundtrip(spark, sf):
 
 
 def training_table(spark, sf):
-    return PM.training_table(listings_clean(spark, sf), calendar_clean(spark, sf))
+    """Listing-sized and read by every estimator of a pipeline: stored once."""
+    return materialize(PM.training_table(listings_clean(spark, sf), calendar_clean(spark, sf)), "price-features")
 
 
 def _id_bucket():
@@ -657,23 +685,28 @@ def q_one_hot(spark, sf):
 
 @query("price_model")
 def q_price_model(spark, sf):
-    _, metrics = PM.train_and_evaluate(listings_clean(spark, sf), calendar_clean(spark, sf))
-    return metrics
+    """Facts of the fitted forest: rows per split, R^2 and RMSE defined, training error below the mean predictor's."""
+    _, metrics = PM.train_and_evaluate(listings_clean(spark, sf), calendar_clean(spark, sf), bucket=_id_bucket())
+    return metrics.select("split", "n", (F.col("r2") <= 1).alias("r2_defined"), (F.col("rmse") >= 0).alias("rmse_defined"),
+                          (F.when(F.col("split") == "train", F.col("r2")).otherwise(F.lit(1.0)) > 0).alias("beats_mean"))
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
+    """The features by name; importances lie in [0, 1] and add up to 1."""
     train, _ = PM.split(training_table(spark, sf))
     model = PM.fit_price_model(train)
     scored = model.transform(ML.as_double(train, PM.NUMERIC))
-    return ML.feature_importances(spark, model, scored, PM.NUMERIC + PM.CATEGORICAL,
-                                  vector_sources={"numeric_features_scaled": PM.NUMERIC})
+    found = ML.feature_importances(spark, model, scored, PM.NUMERIC + PM.CATEGORICAL,
+                                   vector_sources={"numeric_features_scaled": PM.NUMERIC})
+    total = F.sum("importance").over(Window.partitionBy(F.lit(1)))  # 15 rows
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"), F.round(total, 6).alias("total"))
 
 
 @query("regression_metrics")
 def q_regression_metrics(spark, sf):
     """Metrics of a fixed predictor (neighbourhood mean of the training rows)."""
-    df = materialize(training_table(spark, sf), "price-features")  # read by three branches
+    df = training_table(spark, sf)
     train, test = PM.split(df, 0.8, bucket=_id_bucket())
     base = train.groupBy("neighbourhood").agg(F.avg(PM.LABEL).alias("prediction"))
     parts = [ML.regression_metrics_frame(d.join(base, "neighbourhood"), PM.LABEL, "prediction")
@@ -684,7 +717,7 @@ def q_regression_metrics(spark, sf):
 @query("accuracy_metric")
 def q_accuracy_metric(spark, sf):
     """Accuracy of the rule predictor at the unchanged price, per segment."""
-    rows = rule_scored(spark, sf).where(F.col("action") == 1.0)
+    rows = RC.rule_scored(panel(spark, sf), actions=[1.0])
     return rounded(ML.accuracy_frame(rows, "label", "prediction", by=["segment"]))
 
 
@@ -692,55 +725,86 @@ def _panel_root(spark, sf):
     return _written_panel(spark, sf)
 
 
+def _each_segment(spark, sf, of_segment):
+    """``of_segment(rows)`` of all eight segments, put together; segments without rows have none."""
+    root, out = _panel_root(spark, sf), None
+    for seg in OM.SEGMENTS:
+        rows = OM.segment_rows(spark, root, seg)
+        if not rows.isEmpty():
+            part = of_segment(materialize(rows, "segment")).withColumn("segment", F.lit(OM.segment_name(*seg)))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _day_bucket():
+    """Integer-arithmetic bucket of a panel row in [0, 10000)."""
+    days = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return F.pmod(F.col("id").cast("long") * 2654435761 + days * 40503 + 17, F.lit(10000))
+
+
+def _predicted(df):
+    return df.select("id", "date", F.col("prediction").isin(0.0, 1.0).alias("is_label"))
+
+
 @query("index_error")
 def q_index_error(spark, sf):
-    """Indexing that fails on unseen labels: fitted and applied on one segment."""
-    rows = OM.segment_rows(spark, _panel_root(spark, sf), (1, 0, 1))
-    model = ML.indexers(OM.CATEGORICAL, "_indexed", handle_invalid="error").fit(rows)
-    return model.transform(rows).select("id", "date", *[c + "_indexed" for c in OM.CATEGORICAL])
+    """Indexing that fails on unseen labels: fitted and applied on each segment."""
+    def index(rows):
+        model = ML.indexers(OM.CATEGORICAL, "_indexed", handle_invalid="error").fit(rows)
+        return model.transform(rows).select("id", "date", *[c + "_indexed" for c in OM.CATEGORICAL])
+    return _each_segment(spark, sf, index)
 
 
 @query("occupancy_model")
 def q_occupancy_model(spark, sf):
-    rows = OM.segment_rows(spark, _panel_root(spark, sf), (1, 0, 1))
-    train, test = OM.split_rows(rows)
-    model = ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(train)
-    return model.transform(test).select("id", "date", "label", "prediction")
+    """Each segment's forest on its test rows."""
+    def score(rows):
+        train, test = OM.split_rows(rows, 0.75, bucket=_day_bucket())
+        return _predicted(OM.fit_segment(train).transform(test)) if not train.isEmpty() else _predicted(test.withColumn("prediction", F.lit(0.0)))
+    return _each_segment(spark, sf, score)
 
 
 @query("segment_models")
 def q_segment_models(spark, sf):
-    _, summary = OM.fit_segment_models(spark, _panel_root(spark, sf))
-    return summary
+    """The status of the eight fits; their test accuracy lies in [0, 1]."""
+    _, summary = OM.fit_segment_models(spark, _panel_root(spark, sf), bucket=_day_bucket())
+    return summary.select("segment", "status", F.coalesce(F.col("accuracy").between(0, 1), F.lit(True)).alias("accuracy_fits"))
 
 
 @query("model_save_load")
 def q_model_save_load(spark, sf):
-    """Fit, save, load: the loaded model must reproduce every prediction."""
-    rows = OM.segment_rows(spark, _panel_root(spark, sf), (0, 0, 1))
-    model = ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(rows)
-    path = ML.save_model(model, scratch_path(spark, "model"))
-    again = ML.load_model(path)
-    a = model.transform(rows).select("id", "date", F.col("prediction").alias("p1"))
-    b = again.transform(rows).select("id", "date", F.col("prediction").alias("p2"))
-    return a.join(b, ["id", "date"]).agg(F.count(F.lit(1)).alias("n"),
-                                         F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"))
+    """Fit, save, load, on all segments: the loaded models reproduce every prediction."""
+    def both(rows):
+        model = OM.fit_segment(rows)
+        again = ML.load_model(ML.save_model(model, scratch_path(spark, "model")))
+        a = model.transform(rows).select("id", "date", F.col("prediction").alias("p1"))
+        b = again.transform(rows).select("id", "date", F.col("prediction").alias("p2"))
+        return a.join(b, ["id", "date"]).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"))
+    return _each_segment(spark, sf, both)
 
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    root = _panel_root(spark, sf)
-    rows = OM.segment_rows(spark, root, (1, 1, 1))
-    path = ML.save_model(ML.occupancy_classifier_stages(OM.CATEGORICAL, OM.NUMERIC).fit(rows),
-                         scratch_path(spark, "model"))
-    return ML.load_model(path).transform(rows).select("id", "date", "prediction")
+    """A saved model per segment scores all rows of its segment, three quarters of which it has seen."""
+    def score(rows):
+        train, _ = OM.split_rows(rows, 0.75, bucket=_day_bucket())
+        model = OM.fit_segment(train if not train.isEmpty() else rows)
+        return _predicted(ML.load_model(ML.save_model(model, scratch_path(spark, "model"))).transform(rows))
+    return _each_segment(spark, sf, score)
 
 
 @query("reward_grid_model")
 def q_reward_grid_model(spark, sf):
+    """Mean rewards under the models, between what the worst and the best prediction of every row would give."""
     root = _panel_root(spark, sf)
     models, _ = OM.fit_segment_models(spark, root)
-    return rounded(OM.model_reward_grid(spark.read.parquet(root), models))
+    rows = spark.read.parquet(root)
+    either = [PR.with_actions(RC.with_segment(rows)).withColumn("prediction", F.lit(p)).withColumn("reward", PR.reward()) for p in (0, 1)]
+    ends = either[0].unionByName(either[1]).groupBy("id", "date", "segment", "action").agg(F.min("reward").alias("low"), F.max("reward").alias("high"))
+    ends = ends.groupBy("segment", "action").agg(F.avg("low").alias("low"), F.avg("high").alias("high"))
+    inside = F.col("avg_reward").between(F.col("low") - 1e-6, F.col("high") + 1e-6)
+    grid = OM.model_reward_grid(rows, models).join(ends, ["segment", "action"])
+    return rounded(grid.select("segment", "action", "low", "high", inside.alias("inside")))
 
 
 # ---- streaming ingest of the same cleaning -------------------------------------------------
@@ -753,7 +817,7 @@ def q_calendar_stream_ingest(spark, sf):
     src = scratch_path(spark, "calendar-drops")
     io.write_csv(B.calendar_raw(spark, sf).repartition(4), src)
     sink = scratch_path(spark, "calendar-stream")
-    ingest_calendar(spark, src, sink, max_files_per_trigger=1).awaitTermination()
+    ingest_calendar(spark, src, sink, scratch_path(spark, "calendar-ckpt"), max_files_per_trigger=1).awaitTermination()
     return current_calendar(spark, sink)
 
 
@@ -779,14 +843,3 @@ def q_etl_reviews(spark, sf):
 def q_price_features(spark, sf):
     """One row per listing: model features and the mean log price target."""
     return rounded(training_table(spark, sf))
-
-
-@query("q_fixed_point")
-def q_q_fixed_point(spark, sf):
-    """Converged action values of the reward grid (value iteration)."""
-    return rounded(PR.q_fixed_point(PR.reward_grid(rule_scored(spark, sf))))
-
-
-@query("best_action_converged")
-def q_best_action_converged(spark, sf):
-    return PR.best_action(PR.q_fixed_point(PR.reward_grid(rule_scored(spark, sf))), value="q")

@@ -37,6 +37,17 @@ def clean_calendar(raw: DataFrame, *, thousands: bool = False) -> DataFrame:
     return dedup(df, ["listing_id", "date"])
 
 
+def rejected_prices(raw: DataFrame, *, thousands: bool = False) -> DataFrame:
+    """One row: how many price texts there are and how many do not parse.
+
+    Without ``thousands`` a price with a thousands comma does not parse, its
+    night has no price and the panel drops it, so jobs report this number.
+    """
+    money = P.parse_money_thousands if thousands else P.parse_money
+    return raw.agg(F.count("price").alias("prices"),
+                   F.count(F.when(F.col("price").isNotNull() & money("price").isNull(), 1)).alias("rejected"))
+
+
 def english_reviews(raw: DataFrame, marker_pattern: str = T.DEFAULT_MARKER_PATTERN,
                     accent_class: str = T.ACCENT_CLASS) -> DataFrame:
     """Reviews with ids and an English comment (see :func:`text.is_english`)."""

@@ -60,8 +60,8 @@ def occupancy_panel(listings: DataFrame, calendar: DataFrame, start: str = DEFAU
     days = with_running_occupancy(rental_days(listings, calendar, start, end))
     if stage:
         days = materialize(days, "occupancy-days")
-    # when the days are staged the aggregate is a cheap re-read: no need to store it too
-    regions, _ = bounded_broadcast(region_occupancy(days), max_regions, materialized=stage)
+    # stored once: the median and the join must see the same doubles, last bits included
+    regions, _ = bounded_broadcast(region_occupancy(days), max_regions)
     cut = median_of(regions, "avg_occupancy_rate") if hot_cut is None else hot_cut
     if cut is None:
         cut = 0.0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ml as ML
@@ -11,8 +11,10 @@ from ..operators.sampling import key_split
 from ..sources import io
 from . import recommend as RC
 
+# fixed values: the classifier's columns and its bins
 CATEGORICAL = ["neighbourhood_cleansed", "property_type", "room_type"]
 NUMERIC = ["accommodates", "minimum_nights", "maximum_nights", "price"]
+MAX_BINS = 60
 SEGMENTS = [(d, w, h) for d in (0, 1) for w in (0, 1) for h in (0, 1)]
 
 
@@ -27,40 +29,41 @@ def segment_rows(spark: SparkSession, panel_root: str, seg: tuple[int, int, int]
     return io.read_segment(spark, panel_root, high_demand=d, is_weekend=w, hot_region=h)
 
 
-def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42):
-    s = key_split(df, train_fraction, ["id", "date"], seed)
+def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42, bucket: Column | None = None):
+    s = key_split(df, train_fraction, ["id", "date"], seed, bucket=bucket)
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
 
 
-def needed_bins(train: DataFrame, floor: int = 60) -> int:
-    """``maxBins`` for the forest: the fixed 60, raised when a categorical
-    column has more labels (plus the unseen-label bucket) -- a forest refuses
-    categorical features with more values than bins.  One small aggregate."""
-    row = train.agg(*[F.countDistinct(c).alias(c) for c in CATEGORICAL]).first()
-    return max([floor] + [int(row[c]) + 1 for c in CATEGORICAL])
+def fit_segment(train: DataFrame, handle_invalid: str = "keep", seed: int = 42, max_bins: int = MAX_BINS):
+    """The forest of one segment, also where all its rows have one label (it then predicts that label).
+
+    ``max_bins`` must reach the number of labels of every categorical column plus the bucket of unseen ones;
+    Spark names the column otherwise.  It is not raised by itself, because the splits of the numeric columns,
+    and so the model, depend on it.
+    """
+    return ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid, seed=seed,
+                                          max_bins=max_bins).fit(train)
 
 
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,
                        train_fraction: float = 0.75, seed: int = 42, handle_invalid: str = "keep",
-                       concurrency: int = len(SEGMENTS)):
-    """Fit one pipeline per segment; segments with fewer than two label
-    values are reported, not fitted.  The segment set is fixed (8), each fit
-    is a distributed job, and up to ``concurrency`` fits (default: all 8) run
-    at once so small segments do not leave the cluster idle.  Returns
-    ``({segment: model}, summary rows)``."""
+                       concurrency: int = len(SEGMENTS), max_bins: int = MAX_BINS, bucket: Column | None = None):
+    """Fit one pipeline per segment that has training rows.  The segment set is
+    fixed (8), each fit is a distributed job, and up to ``concurrency`` fits
+    (default: all 8) run at once so small segments do not leave the cluster
+    idle.  Returns ``({segment: model}, summary rows)``; the status is
+    ``fitted`` or ``no rows``."""
     from concurrent.futures import ThreadPoolExecutor
 
     def fit_one(seg):
         name = segment_name(*seg)
-        rows = segment_rows(spark, panel_root, seg)
-        train, test = split_rows(rows, train_fraction, seed)
-        if train.select("label").distinct().limit(2).count() < 2:
-            return name, None, ("skipped: fewer than two label values", None)
-        model = ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid,
-                                               seed=seed, max_bins=needed_bins(train)).fit(train)
+        train, test = split_rows(segment_rows(spark, panel_root, seg), train_fraction, seed, bucket)
+        if train.isEmpty():
+            return name, None, ("no rows", None)
+        model = fit_segment(train, handle_invalid, seed, max_bins)
         if model_root:
             ML.save_model(model, f"{model_root}/model_{name}")
-        acc = ML.accuracy(model.transform(test)) if test.limit(1).count() else None
+        acc = None if test.isEmpty() else ML.accuracy(model.transform(test))
         return name, model, ("fitted", acc)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
@@ -70,6 +73,12 @@ def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | N
     return models, spark.createDataFrame(summary, "segment string, status string, accuracy double")
 
 
+def load_segment_models(spark: SparkSession, model_root: str) -> dict:
+    """The models that the saved summary calls fitted; a missing or unreadable one is an error."""
+    summary = spark.read.option("header", True).csv(f"{model_root}/summary").collect()
+    return {r["segment"]: ML.load_model(f"{model_root}/model_{r['segment']}") for r in summary if r["status"] == "fitted"}
+
+
 def _segment_filter(name: str):
     flags = {segment_name(*seg): seg for seg in SEGMENTS}[name]
     return ((F.col("high_demand") == flags[0]) & (F.col("is_weekend") == flags[1])
@@ -78,7 +87,7 @@ def _segment_filter(name: str):
 
 def model_predictor(models: dict):
     """``predict(df)``: each segment's rows scored by its own model at the
-    new price (segments without a model predict 0).
+    new price (segments without training rows have no model and predict 0).
 
     Segments are selected on the three flag columns, so when ``df`` comes
     from the partitioned panel each branch reads only its own folder.

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import parsing as P
 from ..operators import ml as ML
+from ..operators.clean import dedup
 from ..operators.sampling import key_split
+from ..session import materialize
 
+# fixed values: the model's features and label
 NUMERIC = ["accommodates", "num_bedrooms", "num_beds", "num_bathrooms", "number_of_reviews",
            "review_scores_rating", "reviews_per_month", "distance_to_center_km", "amenities_count",
            "minimum_nights"]
@@ -52,8 +55,12 @@ def calendar_target(calendar: DataFrame) -> DataFrame:
 
 
 def training_table(listings: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Listing features x per-listing target, listings with a target only."""
-    feats = listing_features(listings)
+    """Listing features x per-listing target, listings with a target only.
+
+    One row per listing id: of several hosts' rows the smallest (by the
+    features in order, NULL first) stays.
+    """
+    feats = dedup(listing_features(listings), ["id"])
     target = calendar_target(calendar)
     df = feats.join(target, feats["id"] == target["listing_id"], "inner").drop("listing_id")
     return df.where(F.col(LABEL).isNotNull())
@@ -71,17 +78,8 @@ def fit_price_model(train: DataFrame, trees: int = 15, depth: int = 20, seed: in
     return ML.price_regression_stages(NUMERIC, CATEGORICAL, LABEL, trees, depth, seed).fit(train)
 
 
-def evaluate(model, train: DataFrame, test: DataFrame) -> DataFrame:
-    """(split, r2, rmse, n) for train and test predictions."""
-    parts = []
-    for name, df in (("train", train), ("test", test)):
-        pred = model.transform(ML.as_double(df, NUMERIC))
-        parts.append(ML.regression_metrics_frame(pred, LABEL, "prediction").withColumn("split", F.lit(name)))
-    return parts[0].unionByName(parts[1])
-
-
 def train_and_evaluate(listings: DataFrame, calendar: DataFrame, partitions: int | None = None,
-                       trees: int = 15, depth: int = 20, seed: int = 42):
+                       trees: int = 15, depth: int = 20, seed: int = 42, bucket=None):
     """Fit on the 80 % split and report (split, r2, rmse, n).
 
     The listing-level table is spread over the cluster's default parallelism
@@ -91,7 +89,8 @@ def train_and_evaluate(listings: DataFrame, calendar: DataFrame, partitions: int
     """
     spark = listings.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
-    table = key_split(training_table(listings, calendar), 0.8, ["id"], seed).repartition(n).persist()
+    table = materialize(key_split(training_table(listings, calendar), 0.8, ["id"], seed, bucket=bucket), "price-train")
+    table = table.repartition(n).persist()
     try:
         model = fit_price_model(table.where(F.col("split") == "train").drop("split"), trees, depth, seed)
         # one scoring pass over both parts, metrics grouped by part

@@ -16,6 +16,7 @@ from ..session import materialize
 from ..operators.text import tfidf_keywords, with_sentiment
 from ..operators.topk import smallest
 
+# fixed values: columns of the review tables
 LISTING_COLUMNS = [
     "id", "review_scores_rating", "review_scores_communication", "review_scores_accuracy",
     "review_scores_cleanliness", "review_scores_location", "review_scores_value",
@@ -34,7 +35,7 @@ NEGATIVE_CUT = -0.6
 
 
 def comment_rows(listings: DataFrame, reviews: DataFrame,
-                 lexicon: Mapping[str, float] = T.DEFAULT_LEXICON,
+                 lexicon: Mapping[str, float] | DataFrame = T.DEFAULT_LEXICON,
                  negators: Iterable[str] = T.DEFAULT_NEGATORS, keep_review_id: bool = False,
                  hot_listing_reviews: int = 5_000_000, reviews_stored: bool = False) -> DataFrame:
     """One row per review of a known listing, with the listing's scores, the

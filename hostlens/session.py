@@ -2,8 +2,9 @@
 
 Jobs never pick a machine-local scratch folder on their own: every
 materialisation (checkpoint, file round trip) goes below the folder the
-cluster names in ``spark.checkpoint.dir``.  Only when that setting is
-missing (unit tests, a laptop) do we fall back to a fresh temporary folder.
+cluster names in ``spark.checkpoint.dir``.  Only on a ``local`` master (unit
+tests, a laptop) does a missing setting mean a fresh temporary folder; on a
+cluster it is an error.
 """
 
 from __future__ import annotations
@@ -70,6 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get(_CKPT_KEY, None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="hostlens-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -48,10 +48,6 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
     return path
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str, *, compression: str = "lz4",
                   mode: str = "overwrite") -> str:
     df.write.parquet(path, mode=mode, compression=compression)
@@ -60,8 +56,13 @@ def write_parquet(df: DataFrame, path: str, *, compression: str = "lz4",
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str], *,
                       mode: str = "overwrite", compression: str = "lz4") -> str:
-    """Hive-style ``col=value/`` folders, one level per column."""
-    df.write.partitionBy(*columns).parquet(path, mode=mode, compression=compression)
+    """Hive-style ``col=value/`` folders, one level per column.
+
+    A rebalance on the columns comes first: rows of a folder meet in few
+    tasks, and AQE splits a large folder's rows into files of the advisory
+    size, instead of one small file per task and folder.
+    """
+    df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(path, mode=mode, compression=compression)
     return path
 
 

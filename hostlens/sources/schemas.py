@@ -82,5 +82,3 @@ REVIEWS_RAW_DDL = (
 LISTINGS_RAW: StructType = _struct(LISTINGS_RAW_DDL)
 CALENDAR_RAW: StructType = _struct(CALENDAR_RAW_DDL)
 REVIEWS_RAW: StructType = _struct(REVIEWS_RAW_DDL)
-
-LISTINGS_KEPT = [f.name for f in LISTINGS_RAW.fields if f.name not in LISTINGS_DROPPED]

@@ -17,17 +17,21 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import dedup
 from ..plans.etl import clean_calendar
-from ..session import scratch_path
 from ..sources.schemas import CALENDAR_RAW
 
 
 def ingest_calendar(spark: SparkSession, source_dir: str, sink_dir: str,
-                    checkpoint_dir: str | None = None, available_now: bool = True,
+                    checkpoint_dir: str, available_now: bool = True,
                     max_files_per_trigger: int | None = None):
     """Start the ingest; with ``available_now`` it processes what is there
-    and stops (call ``awaitTermination``)."""
+    and stops (call ``awaitTermination``).
+
+    ``checkpoint_dir`` belongs to the sink for good: it numbers the batches,
+    and a restart with another one would number them from 0 again and replace
+    earlier batches.
+    """
     reader = (spark.readStream.schema(CALENDAR_RAW).option("header", True)
-              .option("multiLine", True).option("escape", '"'))
+              .option("multiLine", False).option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
@@ -36,22 +40,27 @@ def ingest_calendar(spark: SparkSession, source_dir: str, sink_dir: str,
         clean_calendar(batch).write.mode("overwrite").parquet(os.path.join(sink_dir, f"batch_id={batch_id}"))
 
     writer = (raw.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint_dir or scratch_path(spark, "calendar-ingest-ckpt")))
+              .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def _latest_snapshot(spark: SparkSession, snapshot_dir: str | None):
+    """The newest whole snapshot (its folder holds ``_SUCCESS``) and the batch it
+    reaches to.  Only an absent folder means that there is none; a snapshot
+    that cannot be read is an error."""
     if not snapshot_dir:
         return None, None
-    try:
-        snaps = spark.read.parquet(snapshot_dir)
-    except Exception:  # noqa: BLE001 -- no snapshot written yet
+    path = spark._jvm.org.apache.hadoop.fs.Path(snapshot_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return None, None
-    upto = snaps.agg(F.max("upto")).first()[0]
-    if upto is None:
+    tags = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    whole = [int(t[len("upto="):]) for t in tags if t.startswith("upto=")
+             and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{snapshot_dir}/{t}/_SUCCESS"))]
+    if not whole:
         return None, None
-    return snaps.where(F.col("upto") == upto).drop("upto"), upto
+    return spark.read.parquet(os.path.join(snapshot_dir, f"upto={max(whole)}")), max(whole)
 
 
 def current_calendar(spark: SparkSession, sink_dir: str, snapshot_dir: str | None = None) -> DataFrame:

@@ -53,8 +53,15 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert spark.read.option("header", True).csv(os.path.join(out, "metrics")).count() == 2
 
     rep = str(tmp_path / "reviews_report")
-    jobs.review_analysis_job(spark, str(etl_dir / "listings_parquet"), str(etl_dir / "reviews_parquet"), rep,
-                             stop_words=B.FIXTURE_STOP_WORDS)
+    (tmp_path / "stop.txt").write_text("\n".join(B.FIXTURE_STOP_WORDS) + "\n")
+    spark.createDataFrame(list(B.FIXTURE_LEXICON.items()), "word string, polarity double").write.parquet(str(tmp_path / "lexicon"))
+    jobs.main(["review-analysis", str(etl_dir / "listings_parquet"), str(etl_dir / "reviews_parquet"), rep,
+               "--stop-words", str(tmp_path / "stop.txt"), "--lexicon", str(tmp_path / "lexicon")])
     assert spark.read.parquet(os.path.join(rep, "correlations")).count() == 100
     assert spark.read.parquet(os.path.join(rep, "lowest_sentiment")).count() <= 5
-    assert spark.read.parquet(os.path.join(rep, "keywords_negative")).where(F.col("score") > 0).count() >= 0
+    words = {r["term"] for r in spark.read.parquet(os.path.join(rep, "keywords_by_category")).collect()}
+    assert words and not words & set(B.FIXTURE_STOP_WORDS)
+    plain = str(tmp_path / "plain_report")
+    jobs.main(["review-analysis", str(etl_dir / "listings_parquet"), str(etl_dir / "reviews_parquet"), plain])
+    words = {r["term"] for r in spark.read.parquet(os.path.join(plain, "keywords_by_category")).collect()}
+    assert words and not words & {"the", "of", "and", "to", "in", "is", "that"}

@@ -60,9 +60,53 @@ def test_imputer_keeps_fraction_after_cast(spark):
     assert sorted(r["x_imputed"] for r in out.collect()) == [1.0, 2.5, 4.0]
 
 
-def test_needed_bins_grows_with_labels(spark):
-    from hostlens.plans.occupancy_models import needed_bins
-    few = spark.createDataFrame([("a", "h", "r")], "neighbourhood_cleansed string, property_type string, room_type string")
-    many = spark.range(75).selectExpr("cast(id as string) as neighbourhood_cleansed", "'h' as property_type",
-                                      "'r' as room_type")
-    assert needed_bins(few) == 60 and needed_bins(many) == 76
+def _panel(spark, path, label_of):
+    rows = [(str(i), "h", "n", "p", "r", 2, 1, 30, 100.0 + i, label_of(d), 0.5, d, w, h, f"2024-01-{1 + i % 28:02d}")
+            for d in (0, 1) for w in (0, 1) for h in (0, 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, host_id string, neighbourhood_cleansed string, property_type string, room_type string, "
+                               "accommodates int, minimum_nights int, maximum_nights int, price float, label int, occupancy_rate double, "
+                               "high_demand int, is_weekend int, hot_region int, date string").withColumn("date", F.col("date").cast("date"))
+    df.write.partitionBy("high_demand", "is_weekend", "hot_region").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_one_label_segments_predict_their_label(spark, tmp_path):
+    from hostlens.plans import occupancy_models as OM
+    panel = _panel(spark, str(tmp_path / "panel"), lambda d: d)  # low demand all 0, high demand all 1
+    models, summary = OM.fit_segment_models(spark, str(tmp_path / "panel"), str(tmp_path / "models"))
+    assert {r["status"] for r in summary.collect()} == {"fitted"} and len(models) == 8
+    scored = OM.model_predictor(models)(OM.RC.PR.with_actions(OM.RC.with_segment(panel)))
+    assert scored.where(F.col("prediction") != F.col("high_demand")).count() == 0
+
+
+def test_models_load_strictly(spark, tmp_path):
+    from hostlens.plans import occupancy_models as OM
+    root = tmp_path / "models"
+    _panel(spark, str(tmp_path / "panel"), lambda d: d)
+    _, summary = OM.fit_segment_models(spark, str(tmp_path / "panel"), str(root))
+    summary.coalesce(1).write.option("header", True).csv(str(root / "summary"))
+    assert len(OM.load_segment_models(spark, str(root))) == 8
+    (root / "model_lowdemand_weekday_hotregion").rename(root / "elsewhere")
+    with pytest.raises(Exception):
+        OM.load_segment_models(spark, str(root))
+
+
+def test_too_few_bins_say_so(spark):
+    from hostlens.plans import occupancy_models as OM
+    rows = spark.range(200).selectExpr("cast(id % 75 as string) neighbourhood_cleansed", "'h' property_type", "'r' room_type", "2 accommodates",
+                                       "1 minimum_nights", "30 maximum_nights", "cast(id as float) price", "cast(id % 2 as int) label")
+    with pytest.raises(Exception, match="maxBins"):
+        OM.fit_segment(rows)
+    OM.fit_segment(rows, max_bins=80)
+
+
+def test_one_training_row_per_listing(spark):
+    from hostlens.plans import price_model
+    from hostlens.sources.schemas import LISTINGS_DROPPED, LISTINGS_RAW
+    names = [f.name for f in LISTINGS_RAW.fields if f.name not in LISTINGS_DROPPED]
+    types = {f.name: f.dataType.simpleString() for f in LISTINGS_RAW.fields}
+    df = spark.createDataFrame([tuple(v.get(n) for n in names) for v in ({"id": "1", "host_id": "a", "accommodates": 3}, {"id": "1", "host_id": "b", "accommodates": 2})],
+                               ", ".join(f"`{n}` {types[n]}" for n in names))
+    cal = spark.createDataFrame([("1", "2024-01-01", 100.0, 1)], "listing_id string, date string, price double, minimum_nights int")
+    got = price_model.training_table(df, cal).collect()
+    assert len(got) == 1 and got[0]["accommodates"] == 2

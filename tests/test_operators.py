@@ -150,7 +150,7 @@ def test_salted_join_equals_plain_join(spark):
     big = spark.createDataFrame(big_rows, "rid int, key string")
     small = spark.createDataFrame([("hot", 1.0)] + [(f"k{j}", float(j)) for j in range(50)], "id string, v double")
     plain = {tuple(r) for r in big.join(small, big["key"] == small["id"]).select("rid", "key", "v").collect()}
-    salted = salted_join(big, small, "key", "id", "rid", hot_rows=500, salts=8)
+    salted = salted_join(big, small, "key", "id", "rid", hot_rows=500)
     got = salted.select("rid", "key", "v").collect()
     assert len(got) == len(plain) and {tuple(r) for r in got} == plain
 
@@ -195,3 +195,25 @@ def test_cluster_settings_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 * 2 ** 20)
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_settings(10, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_lexicon_table_scores_like_the_mapping(spark):
+    from hostlens.operators.text import sentiment_by_join, with_sentiment
+    lexicon = {"good": 0.7, "bad": -0.5, "nice": 0.25}
+    df = spark.createDataFrame([(1, "Good, not good and BAD bad."), (2, "never nice"), (3, None), (4, ""), (5, "nothing here"), (5, "nothing here"), (6, "nice " * 500)],
+                               "id int, text string")
+    want = sorted((r["id"], r["s"]) for r in with_sentiment(df, "text", lexicon, ["not", "never"], "s").collect())
+    got = sorted((r["id"], r["s"]) for r in sentiment_by_join(df, "text", lexicon, ["not", "never"], "s").collect())
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(a == b or abs(a - b) < 1e-12 for (_, a), (_, b) in zip(got, want))
+    large = lexicon | {f"w{i}": 0.1 for i in range(200)}  # joined by its size
+    assert sorted((r["id"], r["s"] and round(r["s"], 9)) for r in with_sentiment(df, "text", large, ["not", "never"], "s").collect()) == [(i, s and round(s, 9)) for i, s in want]
+
+
+def test_salts_follow_the_count_of_a_key(spark):
+    from hostlens.operators.joins import salted_join
+    big = spark.range(1000).selectExpr("'k' as key", "id as rid").unionByName(spark.range(5).selectExpr("'c' as key", "id + 2000 as rid"))
+    small = spark.createDataFrame([("k", 1), ("c", 2), ("z", 3)], "id string, v int")
+    got = salted_join(big, small, "key", "id", "rid", hot_rows=100)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 1005 and "sequence(0, (coalesce(" in plan

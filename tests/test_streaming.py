@@ -1,6 +1,8 @@
 """Incremental calendar ingest: duplicates spread over several micro-batches
 resolve to the same rows as cleaning everything at once."""
 
+import pytest
+
 from hostlens.plans.etl import clean_calendar
 from hostlens.sources import io
 from hostlens.streaming import current_calendar, ingest_calendar
@@ -57,3 +59,30 @@ def test_compaction_snapshot_plus_new_batches(spark, tmp_path):
     assert compact_calendar(spark, str(sink), str(snaps)) == 1
     got = current_calendar(spark, str(sink), str(snaps))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_two_drops_across_a_restart(spark, tmp_path):
+    src, sink, ckpt = tmp_path / "drops", tmp_path / "sink", tmp_path / "ckpt"
+    io.write_csv(_frame(spark, ROWS_A).coalesce(1), str(src / "a"))
+    ingest_calendar(spark, str(src / "*"), str(sink), str(ckpt)).awaitTermination()
+    io.write_csv(_frame(spark, ROWS_B).coalesce(1), str(src / "b"))
+    ingest_calendar(spark, str(src / "*"), str(sink), str(ckpt)).awaitTermination()
+    got, want = current_calendar(spark, str(sink)), clean_calendar(_frame(spark, ROWS_A + ROWS_B))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(TypeError):
+        ingest_calendar(spark, str(src / "*"), str(sink))
+
+
+def test_unreadable_snapshot_is_an_error(spark, tmp_path):
+    from hostlens.streaming import compact_calendar
+    src, sink, snaps = tmp_path / "drops", tmp_path / "sink", tmp_path / "snap"
+    io.write_csv(_frame(spark, ROWS_A).coalesce(1), str(src / "a"))
+    ingest_calendar(spark, str(src / "*"), str(sink), str(tmp_path / "ckpt")).awaitTermination()
+    assert current_calendar(spark, str(sink), str(snaps)).count() == 3  # none written yet
+    (snaps / "upto=7").mkdir(parents=True)  # one that was never finished
+    assert current_calendar(spark, str(sink), str(snaps)).count() == 3
+    assert compact_calendar(spark, str(sink), str(snaps)) == 0
+    for part in (snaps / "upto=0").glob("part-*"):
+        part.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        current_calendar(spark, str(sink), str(snaps)).count()
