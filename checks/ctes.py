@@ -6,9 +6,25 @@ Each entry is one CTE; :func:`with_ctes` prepends the CTEs a query needs
 
 from __future__ import annotations
 
-from hostlens.functions.text import ACCENT_CLASS, DEFAULT_MARKER_PATTERN
-from hostlens.sources import bindings as B
-from hostlens.sources.schemas import LISTINGS_DROPPED, LISTINGS_RAW
+from hostlens.sources.schemas import LISTINGS_RAW
+
+# fixed values, spelt out here so that a wrong constant in the library shows
+DEFAULT_MARKER_PATTERN = (r"\b(el|la|los|las|un|muy|es|y|por|el|porque|pero|der|die|das|ein|eine|und|weil|aber|von|"
+                          r"le|la|les|un|une|est|et|par|pour|mais)\b")
+ACCENT_CLASS = "[áéíóúñü¿¡äöüßàâæçèéêëîïôùûüÿœ]"
+HOSTS_MODULUS, REVIEW_LISTINGS = 400, 97
+PANEL_START, PANEL_END = "1996-01-01", "1999-12-31"
+LISTINGS_DROPPED = """
+scrape_id last_scraped source host_url host_since host_location host_about host_response_time
+host_response_rate host_acceptance_rate host_is_superhost host_thumbnail_url host_picture_url
+host_neighbourhood host_listings_count host_total_listings_count host_verifications
+host_has_profile_pic host_identity_verified neighbourhood neighbourhood_group_cleansed
+minimum_nights maximum_nights maximum_minimum_nights minimum_maximum_nights minimum_nights_avg_ntm
+maximum_nights_avg_ntm calendar_updated availability_30 availability_60 availability_90
+calendar_last_scraped number_of_reviews_ltm number_of_reviews_l30d first_review last_review license
+instant_bookable calculated_host_listings_count calculated_host_listings_count_entire_homes
+calculated_host_listings_count_private_rooms calculated_host_listings_count_shared_rooms
+""".split()
 
 _SQL_TYPE = {"StringType()": "VARCHAR", "IntegerType()": "INTEGER", "DateType()": "DATE",
              "FloatType()": "FLOAT", "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN"}
@@ -21,7 +37,7 @@ def _score(null_mod, mult, span, base):
 
 _W1 = "split_part(p_name, ' ', 1)"
 _W2 = "split_part(p_name, ' ', 2)"
-_H = B.HOSTS_MODULUS
+_H = HOSTS_MODULUS
 _LISTING_EXPR = {
     "id": "CAST(p_partkey AS VARCHAR)",
     "listing_url": "'listing/' || CAST(p_partkey AS VARCHAR)",
@@ -82,7 +98,7 @@ FROM (SELECT *, CAST(round(l_extendedprice * 2) AS BIGINT) AS c FROM lineitem)
 """
 
 REVIEWS_RAW_SQL = f"""
-SELECT CAST(doc_id % {B.REVIEW_LISTINGS} AS VARCHAR) AS listing_id,
+SELECT CAST(doc_id % {REVIEW_LISTINGS} AS VARCHAR) AS listing_id,
        CAST(doc_id AS VARCHAR) AS id,
        CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS DATE) AS date,
        CAST(doc_id % 50 AS INTEGER) AS reviewer_id,
@@ -158,7 +174,7 @@ SELECT l.id, l.host_id, l.neighbourhood_cleansed, l.property_type, l.room_type,
        CASE WHEN c.available THEN 0 ELSE 1 END AS label,
        CASE WHEN dayofweek(c.date) IN (5, 6) THEN 1 ELSE 0 END AS is_weekend
 FROM listings_c l JOIN calendar_c c ON l.id = c.listing_id
-WHERE c.date BETWEEN DATE '{B.PANEL_START}' AND DATE '{B.PANEL_END}'
+WHERE c.date BETWEEN DATE '{PANEL_START}' AND DATE '{PANEL_END}'
   AND l.id IS NOT NULL AND l.host_id IS NOT NULL AND l.neighbourhood_cleansed IS NOT NULL
   AND l.property_type IS NOT NULL AND l.room_type IS NOT NULL AND l.accommodates IS NOT NULL
   AND c.minimum_nights IS NOT NULL AND c.maximum_nights IS NOT NULL AND c.date IS NOT NULL

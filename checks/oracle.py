@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from .ctes import CTES, with_ctes
+from hostlens.sources.schemas import LISTINGS_RAW
+
+from .ctes import ACCENT_CLASS, CTES, DEFAULT_MARKER_PATTERN, LISTINGS_DROPPED, with_ctes
 
 PANEL_COLS = ("id, host_id, neighbourhood_cleansed, property_type, room_type, accommodates, "
               "minimum_nights, maximum_nights, date, available, price, label, is_weekend, "
@@ -47,8 +49,8 @@ oracle("segment_scan", _PANEL_OUT + " WHERE high_demand = 1 AND is_weekend = 0 A
 
 # ---- 2.2 projections ----------------------------------------------------------
 oracle("project_drop", "SELECT " + ", ".join(
-    f.name for f in __import__("hostlens.sources.schemas", fromlist=["x"]).LISTINGS_RAW.fields
-    if f.name not in __import__("hostlens.sources.schemas", fromlist=["x"]).LISTINGS_DROPPED)
+    f.name for f in LISTINGS_RAW.fields
+    if f.name not in LISTINGS_DROPPED)
     + " FROM listings_raw", "listings_raw")
 oracle("join_disambiguate", """
 SELECT l.id, l.room_type, c.date, c.price
@@ -92,11 +94,11 @@ _ASCII = "comments IS NOT NULL AND NOT regexp_matches(regexp_replace(comments, '
 oracle("filter_ascii", f"SELECT id, listing_id FROM reviews_raw WHERE {_ASCII}", "reviews_raw")
 oracle("filter_stopword_lang", f"""
 SELECT id, listing_id FROM reviews_raw
-WHERE {_ASCII} AND NOT regexp_matches(comments, '{__import__("hostlens.functions.text", fromlist=["x"]).DEFAULT_MARKER_PATTERN}')""",
+WHERE {_ASCII} AND NOT regexp_matches(comments, '{DEFAULT_MARKER_PATTERN}')""",
        "reviews_raw")
 oracle("filter_accents", f"""
 SELECT id, listing_id FROM reviews_raw
-WHERE comments IS NOT NULL AND NOT regexp_matches(comments, '{__import__("hostlens.functions.text", fromlist=["x"]).ACCENT_CLASS}')""",
+WHERE comments IS NOT NULL AND NOT regexp_matches(comments, '{ACCENT_CLASS}')""",
        "reviews_raw")
 oracle("english_filter", "SELECT id, listing_id, date FROM reviews_en", "reviews_en")
 oracle("bath_flags", """
@@ -149,13 +151,17 @@ FROM (SELECT id, pow(sin((radians(49.2827) - radians(CAST(latitude AS DOUBLE)))
       FROM listings_c)""", "listings_c")
 
 # ---- review analysis CTEs ------------------------------------------------------------
-from hostlens.sources import bindings as _B  # noqa: E402
+# fixed values: the fixture's lexicon, negators and stop words
+_LEXICON = {"ble": 0.8, "thing": 0.9, "ing": 0.6, "ly": 0.5, "tion": 0.4, "rewh": 0.7, "ed": -0.7, "ha": -0.9,
+            "he": -0.6, "than": -0.8, "then": -1.0, "orre": -0.9}
+_NEGATORS = ["it"]
+_STOP_WORDS = "a an and are as at be by for from in is it of on that the this to was with".split()
 
 from .ctes import register  # noqa: E402
 
-_LEX = "MAP {" + ", ".join(f"'{k}': {float(v)!r}::DOUBLE" for k, v in sorted(_B.FIXTURE_LEXICON.items())) + "}"
-_NEGS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_B.FIXTURE_NEGATORS))) + "]"
-_STOPS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_B.FIXTURE_STOP_WORDS))) + "]"
+_LEX = "MAP {" + ", ".join(f"'{k}': {float(v)!r}::DOUBLE" for k, v in sorted(_LEXICON.items())) + "}"
+_NEGS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_NEGATORS))) + "]"
+_STOPS = "[" + ", ".join(f"'{w}'" for w in sorted(set(_STOP_WORDS))) + "]"
 _TOKENS = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 
 register("comments", f"""

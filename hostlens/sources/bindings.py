@@ -2,7 +2,7 @@
 
 The jobs were written for raw listings / calendar / reviews CSV dumps.  The
 test tables play those roles through fixed projections (the oracle SQL in
-:mod:`hostlens.oracle` repeats them); everything is integer arithmetic or
+``checks/ctes.py`` repeats them); everything is integer arithmetic or
 plain text so that Spark and DuckDB build identical values.
 
 calendar <- lineitem   listings <- part   reviews <- documents
