@@ -23,7 +23,7 @@ def py_is_english(s):
     return not re.search(T.ACCENT_CLASS, s)
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.none(), texts), min_size=150, max_size=150))
 def test_english_filter_matches_python_twin(spark, batch):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(batch)], "i int, s string")
@@ -34,7 +34,7 @@ def test_english_filter_matches_python_twin(spark, batch):
         assert got[i] == py_is_english(s), s
 
 
-@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(texts, min_size=150, max_size=150))
 def test_strip_breaks_matches_python_twin(spark, batch):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(batch)], "i int, s string")
