@@ -9,8 +9,8 @@ make bands; documents that share a band's key are candidates.
 Copies are found first, by a digest of their words, and everything below is done on distinct texts. In a
 bucket no pairs are listed: every member is compared with the bucket's leader, exactly, by the words.
 Where this leaves a bucket in several classes, other leaders follow, and at last the members outside the
-bucket's largest class meet the members of other classes. So no candidate pair of different classes goes
-unchecked, however large a bucket is.
+bucket's largest class are compared with the bucket's other classes, in blocks of texts and without a row
+per pair. So no candidate pair of different classes goes unchecked, however large a bucket is.
 
 Nulls and odd cases: texts without words are a class each; a text of fewer than five words is one element;
 rows that share a doc_id are documents of their own; null ids have the class of their text; an empty
@@ -33,6 +33,8 @@ from hostlens.session import materialize
 
 #: A pair of similarity 0.8 shares no band with a probability of (1 - 0.8**7)**44 = 3e-5.
 ROWS, BANDS, SHINGLE, SIMILARITY = 7, 44, 5, 0.8
+#: Texts of one class that are compared with as many others at a time.
+TOGETHER = 64
 _C1, _C2, _NONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(2**64 - 1)
 
 
@@ -115,6 +117,13 @@ def weighted(h: np.ndarray, doc: np.ndarray, counted: bool) -> tuple[np.ndarray,
     return h[first], doc[first], np.diff(np.append(first, len(h))).astype(float)
 
 
+def distinct_count(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """Different elements of each document, told apart by 44 bits of their hashes."""
+    x = np.sort((doc.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))
+    new = np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]
+    return np.bincount((x[new] >> np.uint64(44)).astype(np.int64), minlength=n_docs)
+
+
 def _sign(rows: int, bands: int, size: int, counted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1 << 20):
@@ -124,10 +133,10 @@ def _sign(rows: int, bands: int, size: int, counted: bool):
             at = sorted(new.values())
             h, doc = shingles([words[i] for i in at], size)
             keys = band_keys(darts(*weighted(h, doc, counted), len(at), rows * bands), rows, bands)
-            lists: list = [None] * len(words)
-            for i, k in zip(at, keys, strict=True):
-                lists[i] = k
-            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "_row": b["_row"], "v": pa.array(digest, pa.int64()), "bands": pa.array(lists, pa.list_(pa.int64()))})
+            lists, n = [None] * len(words), [None] * len(words)
+            for i, k, m in zip(at, keys, distinct_count(h, doc, len(at)).tolist(), strict=True):
+                lists[i], n[i] = k, m
+            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "_row": b["_row"], "v": pa.array(digest, pa.int64()), "n": pa.array(n, pa.int64()), "bands": pa.array(lists, pa.list_(pa.int64()))})
 
     return run
 
@@ -180,6 +189,48 @@ def _labelled(members: DataFrame, of: DataFrame | None) -> DataFrame:
     return members.join(of, "v", "left").withColumn("label", F.coalesce("label", "v"))
 
 
+def _blocks(rows: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """label and lists of (v, text): the rows (v, label) of each label in blocks of about TOGETHER."""
+    per = rows.groupBy("label").agg(F.ceil(F.count("*") / TOGETHER).alias("n"))
+    rows = rows.join(per, "label").withColumn("block", F.pmod(F.xxhash64("v"), F.col("n")))
+    return rows.join(texts, "v").groupBy("label", "block").agg(F.collect_list(F.struct("v", "text")).alias(name)).drop("block")
+
+
+def _verify_blocks(size: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            out: dict[str, list[int]] = {"a": [], "b": []}
+            for left, right in zip(b["left"].to_pylist(), b["right"].to_pylist(), strict=True):
+                h, of = shingles([text_bytes(x["text"]).split() for x in right], size)
+                order = np.lexsort((h, of))
+                h, of = h[order], of[order]
+                once = np.concatenate([[True], (np.diff(of) != 0) | (h[1:] != h[:-1])])
+                h, of = h[once], of[once]
+                sizes = np.bincount(of, minlength=len(right))
+                for x in left:
+                    own = np.unique(shingles([text_bytes(x["text"]).split()], size)[0])
+                    at = np.minimum(np.searchsorted(own, h), len(own) - 1)
+                    both = np.bincount(of[own[at] == h], minlength=len(right))
+                    hit = np.flatnonzero(both >= similarity * (len(own) + sizes - both))
+                    if len(hit):  # one link is enough to join the class
+                        out["a"].append(x["v"])
+                        out["b"].append(right[hit[0]]["v"])
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return run
+
+
+def against_classes(met: DataFrame, members: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) between each v of ``met`` (v, label) and a member of that class, if any is similar enough.
+
+    Both sides meet in blocks of texts that are compared in numpy, so there is no row per pair.
+    """
+    met = materialize(met, "near-met")
+    members = members.join(met.select("label").distinct(), "label", "left_semi")
+    pairs = _blocks(met, texts, "left").join(_blocks(members, texts, "right"), "label")
+    return pairs.select("left", "right").mapInArrow(_verify_blocks(size, similarity), "a long, b long")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS,
             counted: bool = False, leaders: int = 3) -> DataFrame:
     """doc_id, class_id (the class's smallest doc_id), class_size, first and _row (a hash of the text) for every row.
@@ -188,10 +239,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     ``counted``: elements weigh as often as they occur in finding candidates; similarity is that of the sets either way.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_row"), "text")
-    signed = materialize(keyed.mapInArrow(_sign(rows, bands, size, counted), "doc_id long, _row long, v long, bands array<long>"), "near-signatures")
-    distinct = signed.where("bands IS NOT NULL").groupBy("v").agg(F.first("bands").alias("bands"))
-    members = distinct.select("v", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    signed = materialize(keyed.mapInArrow(_sign(rows, bands, size, counted), "doc_id long, _row long, v long, n long, bands array<long>"), "near-signatures")
+    distinct = signed.where("bands IS NOT NULL").groupBy("v").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    members = distinct.select("v", "n", F.explode("bands").alias("key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").drop("times")
     members = materialize(members.join(shared, "key"), "near-buckets")
     # the texts that any comparison can need
     ids = members.select("v").distinct()
@@ -203,19 +254,23 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
         pairs = pairs.select("a", "b").distinct().join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
         return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, similarity), "a long, b long")
 
+    # Sets whose sizes differ by more than the similarity can't be similar (a little room for hashes that agree).
+    near = similarity * 0.99
     edges, of = None, None
     for k in range(leaders + 1):
         now = _labelled(members, of)
-        undecided = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("v", F.lit(k)), "v", "label")).alias("lead")).where("low <> high")
+        undecided = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("v", F.lit(k)), "v", "label", "n")).alias("lead")).where("low <> high")
         if k < leaders:
-            pairs = now.join(undecided, "key").where("label <> lead.label").select(F.col("lead.v").alias("a"), F.col("v").alias("b"))
+            pairs = now.join(undecided, "key").where("label <> lead.label").where((F.col("n") >= near * F.col("lead.n")) & (F.col("lead.n") >= near * F.col("n"))).select(F.col("lead.v").alias("a"), F.col("v").alias("b"))
+            found = materialize(compared(pairs), "near-links")
         else:  # what no leader has brought together: all that is outside a bucket's largest class against other classes
             now = materialize(now.join(undecided.select("key"), "key", "left_semi"), "near-undecided")
-            sizes = now.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-            rest = now.join(sizes, "key").where("label <> main").select("key", F.col("v").alias("a"), F.col("label").alias("label_a"), "main")
-            other = now.select("key", F.col("v").alias("b"), F.col("label").alias("label_b"))
-            pairs = rest.join(other, "key").where("label_a <> label_b AND (label_b = main OR a < b)")
-        found = materialize(compared(pairs), "near-links")
+            sizes = materialize(now.groupBy("key", "label").agg(F.count("*").alias("count"), F.min("n").alias("least"), F.max("n").alias("most")), "near-undecided")
+            main = sizes.groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+            rest = now.join(main, "key").where("label <> main").select("key", "v", "n", F.col("label").alias("own"), "main")
+            fits = (F.col("most") >= near * F.col("n")) & (F.col("n") >= near * F.col("least"))
+            met = rest.join(sizes.drop("count"), "key").where("own <> label AND (label = main OR own < label)").where(fits)
+            found = materialize(against_classes(met.select("v", "label").distinct(), _labelled(ids, of), texts, size, similarity), "near-links")
         edges = found if edges is None else edges.unionAll(found)
         if not found.isEmpty():
             of = components(edges)
