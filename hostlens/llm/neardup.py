@@ -189,11 +189,11 @@ def _labelled(members: DataFrame, of: DataFrame | None) -> DataFrame:
     return members.join(of, "v", "left").withColumn("label", F.coalesce("label", "v"))
 
 
-def _blocks(rows: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """label and lists of (v, text): the rows (v, label) of each label in blocks of about TOGETHER."""
-    per = rows.groupBy("label").agg(F.ceil(F.count("*") / TOGETHER).alias("n"))
-    rows = rows.join(per, "label").withColumn("block", F.pmod(F.xxhash64("v"), F.col("n")))
-    return rows.join(texts, "v").groupBy("label", "block").agg(F.collect_list(F.struct("v", "text")).alias(name)).drop("block")
+def _blocks(rows: DataFrame, by: str, texts: DataFrame) -> DataFrame:
+    """``by``, block and a list of (v, label, text): the rows (by, v, label) in blocks of about TOGETHER."""
+    per = rows.groupBy(by).agg(F.ceil(F.count("*") / TOGETHER).alias("n"))
+    rows = rows.join(per, by).withColumn("block", F.pmod(F.xxhash64("v"), F.col("n"))).select(by, "block", "v", "label")
+    return rows.join(texts, "v").groupBy(by, "block").agg(F.collect_list(F.struct("v", "label", "text")).alias("texts"))
 
 
 def _verify_blocks(size: int, similarity: float):
@@ -206,29 +206,33 @@ def _verify_blocks(size: int, similarity: float):
                 h, of = h[order], of[order]
                 once = np.concatenate([[True], (np.diff(of) != 0) | (h[1:] != h[:-1])])
                 h, of = h[once], of[once]
-                sizes = np.bincount(of, minlength=len(right))
+                sizes, label = np.bincount(of, minlength=len(right)), np.array([x["label"] for x in right])
                 for x in left:
                     own = np.unique(shingles([text_bytes(x["text"]).split()], size)[0])
                     at = np.minimum(np.searchsorted(own, h), len(own) - 1)
                     both = np.bincount(of[own[at] == h], minlength=len(right))
-                    hit = np.flatnonzero(both >= similarity * (len(own) + sizes - both))
-                    if len(hit):  # one link is enough to join the class
+                    hit = np.flatnonzero((both >= similarity * (len(own) + sizes - both)) & (label != x["label"]))
+                    for k in np.unique(label[hit], return_index=True)[1].tolist():  # one link is enough to join a class
                         out["a"].append(x["v"])
-                        out["b"].append(right[hit[0]]["v"])
+                        out["b"].append(right[hit[k]]["v"])
             yield pa.RecordBatch.from_pydict(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return run
 
 
-def against_classes(met: DataFrame, members: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (a, b) between each v of ``met`` (v, label) and a member of that class, if any is similar enough.
+def undecided_links(rest: DataFrame, members: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links of ``rest`` (key, v, label, main: what lies outside a bucket's largest class) to the bucket's other classes.
 
-    Both sides meet in blocks of texts that are compared in numpy, so there is no row per pair.
+    Each v meets the members of ``main`` (``members``: v, label), and the rest of a bucket meets itself, both in
+    blocks of texts that are compared in numpy: there is no row per pair.
     """
-    met = materialize(met, "near-met")
-    members = members.join(met.select("label").distinct(), "label", "left_semi")
-    pairs = _blocks(met, texts, "left").join(_blocks(members, texts, "right"), "label")
-    return pairs.select("left", "right").mapInArrow(_verify_blocks(size, similarity), "a long, b long")
+    met = materialize(rest.select("main", "v", "label").distinct(), "near-met")
+    main = members.join(met.select(F.col("main").alias("label")).distinct(), "label", "left_semi").select(F.col("label").alias("main"), "v", "label")
+    left, right = (_blocks(x, "main", texts) for x in (met, main))
+    against = left.withColumnRenamed("texts", "left").join(right.select("main", F.col("texts").alias("right")), "main")
+    own = materialize(_blocks(rest.select("key", "v", "label"), "key", texts), "near-rest")
+    among = own.select("key", "block", F.col("texts").alias("left")).join(own.toDF("key", "other", "right"), "key").where("block <= other")
+    return against.select("left", "right").unionAll(among.select("left", "right")).mapInArrow(_verify_blocks(size, similarity), "a long, b long")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS,
@@ -265,12 +269,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
             found = materialize(compared(pairs), "near-links")
         else:  # what no leader has brought together: all that is outside a bucket's largest class against other classes
             now = materialize(now.join(undecided.select("key"), "key", "left_semi"), "near-undecided")
-            sizes = materialize(now.groupBy("key", "label").agg(F.count("*").alias("count"), F.min("n").alias("least"), F.max("n").alias("most")), "near-undecided")
+            sizes = now.groupBy("key", "label").agg(F.count("*").alias("count"))
             main = sizes.groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-            rest = now.join(main, "key").where("label <> main").select("key", "v", "n", F.col("label").alias("own"), "main")
-            fits = (F.col("most") >= near * F.col("n")) & (F.col("n") >= near * F.col("least"))
-            met = rest.join(sizes.drop("count"), "key").where("own <> label AND (label = main OR own < label)").where(fits)
-            found = materialize(against_classes(met.select("v", "label").distinct(), _labelled(ids, of), texts, size, similarity), "near-links")
+            rest = materialize(now.join(main, "key").where("label <> main").select("key", "v", "label", "main"), "near-left")
+            found = materialize(undecided_links(rest, _labelled(ids, of), texts, size, similarity), "near-links")
         edges = found if edges is None else edges.unionAll(found)
         if not found.isEmpty():
             of = components(edges)
