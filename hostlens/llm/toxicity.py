@@ -8,6 +8,9 @@ log-likelihoods; a document is compared by the means over all its characters and
 words, each by length, and logistic regression on labelled rows that the counts haven't seen makes a
 probability of them.
 
+The model keeps every gram of the labelled rows. It is broadcast up to a bound; a larger one stays a stored
+table, and blocks of documents fetch the part of it that their words ask for. Both give the same features.
+
 Nulls and odd cases: a null or empty text has no evidence either way; rows that share a doc_id are scored
 one by one; without labels of both kinds every score is the share of label 1 (0 if there are none); an
 empty table gives an empty result.
@@ -22,13 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostlens.llm.common import chunks
+from hostlens.llm.common import CHUNK_BYTES, chunks
 from hostlens.llm.labelled import held_out, training_labels
 from hostlens.session import materialize
 
@@ -36,6 +40,8 @@ ORDER, BITS, DISCOUNT, START, END = 5, 12, 0.75, "\x01", "\x02"
 EDGES = string.punctuation + "…“”„«»‘’¿¡–—"
 #: Distinct words that a task holds before it passes its counts on, and that a scoring worker remembers.
 HELD, REMEMBERED = 200_000, 500_000
+#: Bytes of text of a block of documents that fetches its part of a large model.
+BLOCK_BYTES = 16 << 20
 FEATURES = ("overall", "peak", "peak_mean", "peak_long", "log_words")
 
 
@@ -112,8 +118,8 @@ def shared_backoff(counts: DataFrame) -> DataFrame:
     return p.select(F.col("k").alias("tail"), F.col("p").alias("shared"))
 
 
-def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """key, llr of the labelled rows' five characters, and h, llr for other endings of a known start.
+def evidence(counts: DataFrame) -> DataFrame:
+    """key, h (its start), llr of the labelled rows' five characters, and other: the llr of h's unseen endings.
 
     llr: log-probability of the last character in the toxic model less that in the ordinary one.
     """
@@ -129,8 +135,15 @@ def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = seen.join(per, "h").join(shared_backoff(counts), "tail")
     p = {c: own(c) + weight(c) * F.col("shared") for c in ("toxic", "ordinary")}
     other = F.log(weight("toxic") / weight("ordinary"))
-    return (both.select("key", F.log(p["toxic"] / p["ordinary"]).cast("float").alias("llr"), other.cast("float").alias("other"), (F.col("toxic") + F.col("ordinary")).alias("n")),
-            per.select("h", other.cast("float").alias("llr")))
+    return both.select("key", "h", F.log(p["toxic"] / p["ordinary"]).cast("float").alias("llr"), other.cast("float").alias("other"))
+
+
+def sorted_tables(grams: pa.Table) -> tuple[np.ndarray, ...]:
+    """key, llr, h and llr of h's unseen endings, sorted for WordEvidence."""
+    grams = grams.sort_by("key")
+    key, llr, other = (grams[c].to_numpy() for c in ("key", "llr", "other"))
+    starts, at = np.unique(key >> BITS, return_index=True)
+    return key, llr, starts, other[at]
 
 
 class WordEvidence:
@@ -182,40 +195,82 @@ class WordEvidence:
         self.known.update(zip(words, self.of_words([bare(w) for w in words]).tolist(), strict=True))
 
 
+FEATURE_ROWS = "doc_id long" + "".join(f", {n} double" for n in FEATURES)
+
+
+def _rated(model: WordEvidence, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in chunks(batches):
+        texts = b["text"].to_pylist()
+        model.learn(texts)
+        f = np.array([model.features(t) for t in texts], float).reshape(-1, len(FEATURES))
+        yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"]} | {n: f[:, i] for i, n in enumerate(FEATURES)})
+
+
 def _features(name: str, tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = WordEvidence.of(name, tables)
-        for b in chunks(batches):
-            texts = b["text"].to_pylist()
-            model.learn(texts)
-            f = np.array([model.features(t) for t in texts], float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"]} | {n: f[:, i] for i, n in enumerate(FEATURES)})
+        yield from _rated(WordEvidence.of(name, tables), batches)
+
+    return run
+
+
+def _blocks(limit: int):
+    """Numbers the rows' blocks of about ``limit`` bytes; the number is unique to a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = TaskContext.get().partitionId() << 33, 0
+        for b in chunks(batches, min(limit, CHUNK_BYTES)):
+            if size and size + b.nbytes > limit:
+                block, size = block + 1, 0
+            size += b.nbytes
+            yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "text": b["text"], "block": np.full(b.num_rows, block)})
 
     return run
 
 
-def model_tables(counts: DataFrame, entries: int) -> tuple[np.ndarray, ...]:
-    """The model's sorted tables; ``entries`` bounds them by leaving out what differs least from its start's value."""
-    grams, starts = evidence(counts)
-    grams = materialize(grams, "toxicity-model")
-    if (n := grams.count()) > entries:
-        weight = F.abs(F.col("llr") - F.col("other")) * F.log1p("n")
-        least = grams.agg(F.percentile_approx(weight, 1 - entries / n * 0.98, 10_000)).first()[0]
-        grams = grams.where(weight > least)
-    # a start without any of its endings in the table says little; so the table bounds the starts as well
-    starts = starts.join(grams.select(F.shiftright("key", BITS).alias("h")).distinct(), "h", "left_semi")
-    a, b = grams.select("key", "llr").toArrow().sort_by("key"), starts.toArrow().sort_by("h")
-    return tuple(t[c].to_numpy() for t, c in ((a, "key"), (a, "llr"), (b, "h"), (b, "llr")))
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The starts that the words of each block ask for."""
+    for b in chunks(batches):
+        words: dict[int, set[str]] = {}
+        for block, text in zip(b["block"].to_pylist(), b["text"].to_pylist(), strict=True):
+            words.setdefault(block, set()).update((text or "").split())
+        for block, of in words.items():
+            h = np.unique(five_grams([bare(w) for w in of])[0] >> BITS)
+            yield pa.RecordBatch.from_pydict({"block": np.full(len(h), block), "h": h})
+
+
+def _block_features(rows: pa.Table, grams: pa.Table) -> pa.Table:
+    return pa.Table.from_batches(_rated(WordEvidence(sorted_tables(grams)), rows.to_batches()))
+
+
+def features_by_blocks(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """FEATURES of every row from a model of any size: a block holds the endings of its own words' starts only.
+
+    A start is asked for once a block, however many documents hold it.
+    """
+    rows = materialize(docs.mapInArrow(_blocks(BLOCK_BYTES), "doc_id long, text string, block long"), "toxicity-blocks")
+    wanted = rows.select("block", "text").mapInArrow(_wanted, "block long, h long").distinct()
+    part = wanted.join(grams, "h").select("block", "key", "llr", "other")
+    return rows.groupBy("block").cogroup(part.groupBy("block")).applyInArrow(_block_features, FEATURE_ROWS)
+
+
+def model_tables(counts: DataFrame, entries: int) -> tuple[np.ndarray, ...] | DataFrame:
+    """The whole model: as sorted tables if it has no more than ``entries`` grams, as the stored table of evidence() otherwise."""
+    grams = materialize(evidence(counts), "toxicity-model")
+    return grams if grams.count() > entries else sorted_tables(grams.select("key", "llr", "other").toArrow())
 
 
 def score(docs: DataFrame, labels: DataFrame, name: str = "toxic", folds: int = 4, fold: int = 2, threshold: float = 0.3,
           most: int = 100_000, entries: int = 1 << 21) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row. ``most`` bounds the labelled rows, ``entries`` the model."""
+    """doc_id, held_out, score, predicted for every row. ``most`` bounds the labelled rows, ``entries`` a broadcast of the model."""
     spark = docs.sparkSession
     train = materialize(training_labels(labels, name, folds, fold, most), "toxicity-labels")
     counts = materialize(gram_counts(docs, train.where("part > 0")), "toxicity-counts")
-    tables = spark.sparkContext.broadcast(model_tables(counts, entries))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features(uuid.uuid4().hex, tables), "doc_id long" + "".join(f", {n} double" for n in FEATURES))
+    model = model_tables(counts, entries)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if isinstance(model, DataFrame):
+        rows = features_by_blocks(rows, model)
+    else:
+        rows = rows.mapInArrow(_features(uuid.uuid4().hex, spark.sparkContext.broadcast(model)), FEATURE_ROWS)
     rows = materialize(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows), "toxicity-features")
     fit = materialize(rows.select("doc_id", "x").join(train.where("part = 0"), "doc_id").select("x", "label"), "toxicity-fit")
     found = dict(fit.groupBy("label").count().collect())

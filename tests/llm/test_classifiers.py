@@ -126,3 +126,24 @@ def test_kneser_ney_by_brute_force(spark):
         s = "\x01" * 4 + w + "\x02"
         want = sum(math.log(p(1, s[i - 4 : i + 1]) / p(0, s[i - 4 : i + 1])) for i in range(4, len(s)))
         assert model.of_words([w])[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_a_model_above_the_broadcast_bound_keeps_every_gram(spark, monkeypatch):
+    """Scores are the same whether the model is broadcast or joined to blocks of documents."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(None, "alpha"), (-1, None), (-2, ""), (-3, " !! "), (-4, "\u4e00\u4e8c " * 9)], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 1 << 16, raising=False)
+    whole, joined = ({(r.doc_id, r.predicted, r.held_out): r.score for r in toxicity.score(docs, labels, "toxic", entries=n).collect()} for n in (1 << 21, 500))
+    assert whole.keys() == joined.keys() and len(whole) == docs.count()
+    assert max(abs(whole[k] - joined[k]) for k in whole) < 1e-6
+
+
+def test_every_gram_and_start_of_a_large_model_is_there(spark):
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklm" for c in "nopq"]
+    docs = spark.createDataFrame([(i, w, i % 2) for i, w in enumerate(words)], "doc_id long, text string, label int")
+    counts = toxicity.gram_counts(docs.select("doc_id", "text"), docs.select("doc_id", "label"))
+    model = toxicity.model_tables(counts, 10)
+    want = set(toxicity.five_grams(words)[0].tolist())
+    assert {r.key for r in model.select("key").collect()} == want
+    assert {r.h for r in model.select("h").collect()} == {k >> toxicity.BITS for k in want}
