@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostlens.llm.common import chunks, shuffle_parts, text_bytes
+from hostlens.llm.common import chunks, doc_key, shuffle_parts, text_bytes
 from hostlens.session import materialize
 
 #: Windows that a bin is meant to hold, and bytes of text that are hashed at a time.
@@ -159,7 +159,7 @@ def _send(window: int, mer: int, hot: np.ndarray, bins: int):
                     continue
                 new, old = of[fresh[of]], of[~fresh[of]]
                 at = np.concatenate([new, old])
-                numbers = b"".join(x.tobytes() for x in (np.diff(ids[s.doc[at]], prepend=0), rows[s.doc[at]].astype("<u4"), s.place[at].astype("<u4"), s.count[at].astype("<u4")))
+                numbers = b"".join(x.tobytes() for x in (np.diff(ids[s.doc[at]], prepend=0), rows[s.doc[at]], s.place[at].astype("<u4"), s.count[at].astype("<u4")))
                 text = b"\n".join([texts[i] for i in new.tolist()])
                 out["bin"].append(k)
                 out["packed"].append(struct.pack("<QQ", len(new), len(old)) + press.compress(numbers + text))
@@ -171,8 +171,9 @@ def _send(window: int, mer: int, hot: np.ndarray, bins: int):
 def _unpack(packed: bytes) -> tuple[np.ndarray, bytes, int]:
     n_new, n_old = struct.unpack_from("<QQ", packed)
     n, data = n_new + n_old, zstandard.ZstdDecompressor().decompress(packed[16:])
-    rest = np.frombuffer(data, "<u4", 3 * n, 8 * n).reshape(3, n).astype(np.int64)
-    return np.concatenate([np.cumsum(np.frombuffer(data, "<i8", n))[None], rest]), data[20 * n :], n_new
+    ids, rows = np.frombuffer(data, "<i8", 2 * n).reshape(2, n)
+    rest = np.frombuffer(data, "<u4", 2 * n, 16 * n).reshape(2, n).astype(np.int64)
+    return np.concatenate([np.cumsum(ids)[None], rows[None], rest]), data[24 * n :], n_new
 
 
 def repeats_of(numbers: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
@@ -280,8 +281,7 @@ def repeated_windows(docs: DataFrame, window: int = 20, mer: int = 4) -> DataFra
 
 def keyed(docs: DataFrame) -> DataFrame:
     """_id (null ids last) and _row, which tells rows that share an id apart."""
-    mark = F.xxhash64(F.col("doc_id").isNull(), "text").bitwiseAND(0xFFFFFFFF)
-    return docs.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_id"), mark.alias("_row"), "doc_id", "text")
+    return docs.select(*doc_key(), "doc_id", "text")
 
 
 def _finish(window: int, keep_text: bool):

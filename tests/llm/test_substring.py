@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hostlens.llm import queries, substring
 
@@ -99,3 +100,16 @@ def test_hash_collisions_are_found_out(monkeypatch):
         for s in range(len(words) - 3):
             want.append(seen.setdefault(tuple(words[s : s + 4]), (i, s)) != (i, s))
     assert substring.repeats_of(numbers, texts, 4).tolist() == want
+
+
+@pytest.mark.parametrize("doc_id", [5, None])
+def test_texts_of_one_id_whose_marks_share_32_bits(spark, doc_id):
+    text = "array_join(transform(sequence(1, 25 + id % 20), j -> concat(id, '-', j)), ' ')"
+    drawn = spark.range(250_000).selectExpr(f"xxhash64({str(doc_id is None).lower()}, {text}) & 4294967295 AS low", f"{text} AS text")
+    pair = drawn.groupBy("low").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").first().texts[:2]
+    rows = [(1, pair[0]), (doc_id, pair[0]), (doc_id, pair[1])]
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r.doc_id != 1, r.n_words, r.n_removed) for r in substring.remove_repeats(docs, 20).collect())
+        n, m = (len(x.split()) for x in pair)
+        assert got == sorted([(False, n, 0), (True, n, n), (True, m, 0)])  # only the text that document 1 has goes
