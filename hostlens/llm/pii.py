@@ -202,9 +202,7 @@ def train(rows: Iterable[str], steps: int = 150, ridge: float = 0.02, rate: floa
 def pieces(text: str) -> list[tuple[list[re.Match], int, int]]:
     """Tokens around anchors: REACH words on either side of one, and two more as context; the range to decode."""
     out, end = [], -1
-    anchors = [m.start() for m in ANCHOR.finditer(text)]
-    if any(x in text for x in ("dot", "Dot", "DOT", "at]", "at)", "at}", "at>", "AT]", "AT)")):
-        anchors = sorted([*anchors, *(m.start() for m in SPELT.finditer(text))])
+    anchors = sorted(m.start() for x in (ANCHOR, SPELT) for m in x.finditer(text))
     if not anchors:
         return out
     tokens = list(TOKEN.finditer(text))

@@ -164,3 +164,9 @@ def test_stages_on_odd_rows_and_clashing_columns(spark):
     once = corpus_pipeline.distinct_documents(spark, docs, SF)
     assert once.where("doc_id = 1").count() == 1 and once.where("doc_id IS NULL").count() == 1
     assert corpus_pipeline.packed_documents(spark, docs, SF).select(F.countDistinct("doc_id")).first()[0] == 61
+
+
+@pytest.mark.parametrize("text", [f"write to info {mark} site.org today" for mark in ("(At)", "[At]", "<AT>", "{AT}", "{aT}", "(at)")] + ["write to info at site dOt org today"])
+def test_spelt_out_addresses_in_any_case(field, text):
+    assert pii.pieces(text)
+    assert [kind for _, kind, _ in pii.added_spans([text], [[]], field)[0]] == [kind for _, kind, _ in pii.added_spans([text.lower()], [[]], field)[0]]
