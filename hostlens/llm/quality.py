@@ -6,8 +6,9 @@ equations of their labelled rows, and the small system is solved once. Isotonic
 rows that the ridge fit hasn't seen turns its values into probabilities.
 
 Nulls and odd cases: a null text counts as empty; rows that share a doc_id are scored one by one; without
-labels of both kinds every score is the share of label 1 (0.5 if there are none); an empty table gives an
-empty result.
+labels of both kinds every score is the share of label 1 (0.5 if there are none); with so few labels that
+the quarter for calibration is empty, that share holds apart from the last thousandth; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -132,16 +133,17 @@ def fit(stats: DataFrame, labels: DataFrame, name: str, folds: int, fold: int, f
     if len(counts) < 2:
         model.values = np.array([counts.get(1, 0) / sum(counts.values()) if counts else 0.5])
         return model
-    few = sum(counts.values()) < 2000  # too few to set rows apart
-    sums = train.where("part > 0" if not few else "true").repartition(8).mapInArrow(_normal_equations(model, "label"), "sums binary").collect()
+    sums = train.where("part > 0").repartition(8).mapInArrow(_normal_equations(model, "label"), "sums binary").collect()
     size = len(model.beta)
     total = sum(np.frombuffer(r.sums).reshape(size, size + 1) for r in sums)
     model.beta = np.linalg.solve(total[:, :-1] + ridge * np.diag([1e-6, *[1.0] * (size - 1)]), total[:, -1])
-    rest = train.where("part = 0") if not few else train
-    cells = (rest.mapInArrow(_apply(model, "raw"), "label int, part int, raw double").groupBy(F.round(F.col("raw").cast("double") * 500).alias("cell"))
+    cells = (train.where("part = 0").mapInArrow(_apply(model, "raw"), "label int, part int, raw double").groupBy(F.round(F.col("raw").cast("double") * 500).alias("cell"))
              .agg(F.avg("label").alias("y"), F.count("*").alias("n")).where("abs(cell) < 5000").orderBy("cell").toPandas())
     # a little of the overall share in every cell, so that no score claims certainty from a few rows
     base = counts[1] / sum(counts.values())
+    if not len(cells):  # a few labels, all of other parts
+        model.values = np.array([base])
+        return model
     knots, values = isotonic(cells["cell"].to_numpy(float) / 500, ((cells["y"] * cells["n"] + 0.1 * base) / (cells["n"] + 0.1)).to_numpy(float), cells["n"].to_numpy(float) + 0.1)
     model.knots, model.values = knots, values
     return model

@@ -147,3 +147,17 @@ def test_every_gram_and_start_of_a_large_model_is_there(spark):
     want = set(toxicity.five_grams(words)[0].tolist())
     assert {r.key for r in model.select("key").collect()} == want
     assert {r.h for r in model.select("h").collect()} == {k >> toxicity.BITS for k in want}
+
+
+def test_few_labels_are_calibrated_on_rows_the_fit_has_not_seen(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(["alpha", "beta", "gamma!", "7"], k=5 + i % 40))) for i in range(300)], "doc_id long, text string")
+    stats = docs.mapInArrow(quality._stats, "doc_id long" + "".join(f", {n} double" for n in quality.STATS))
+    labels = docs.select("doc_id", (F.col("doc_id") % 40 > 15).cast("int").alias("quality"))
+    apart = [r.doc_id for r in labelled.training_labels(labels, "quality", 5, 0, 200_000).where("part = 0").collect()]
+    turned = labels.withColumn("quality", F.when(F.col("doc_id").isin(apart), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.fit(stats, x, "quality", 5, 0, features=32) for x in (labels, turned))
+    assert len(apart) > 30 and np.allclose(a.beta, b.beta) and not np.array_equal(a.values, b.values)
+    none = labels.where(~F.col("doc_id").isin(apart))
+    share = [r.score for r in quality.score(docs, none, "quality", 5, 0, features=32).collect()]
+    assert max(share) - min(share) <= 0.001 and 0 < min(share) < max(share) < 1
