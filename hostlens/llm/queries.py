@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import hnsw, mixing, neardup, packing, pii, pii_examples, quality, substring, token_output, topk, toxicity
+from hostlens.llm import hnsw, mixing, neardup, packing, phrases, pii, pii_examples, quality, substring, token_output, topk, toxicity
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -63,6 +63,10 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", folds=4, fold=2, threshold=0.3)
 
 
+def op11_phrase_quicksort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), words=3, least=10, covered_percent=50, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_kmer_dedup": op1_super_kmer_dedup,
     "op2_dart_minhash": op2_dart_minhash,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_hnsw": op9_hnsw,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op11_phrase_quicksort": op11_phrase_quicksort,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -89,4 +94,32 @@ ORACLE_SQL: dict[str, str] = {
           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op11_phrase_quicksort": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        starts AS (SELECT lang, unnest(list_zip(w, w[2:], w[3:])) AS x FROM ws),
+        grams AS (SELECT lang, 1 AS k, x[1] AS phrase FROM starts
+                  UNION ALL SELECT lang, 2, x[1] || ' ' || x[2] FROM starts WHERE x[2] IS NOT NULL
+                  UNION ALL SELECT lang, 3, x[1] || ' ' || x[2] || ' ' || x[3] FROM starts WHERE x[3] IS NOT NULL),
+        f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+        cuts AS (SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS lp, array_to_string(w[c + 1:], ' ') AS rp
+                 FROM cand, (VALUES (1), (2)) AS places(c) WHERE c < k),
+        lefts AS MATERIALIZED (SELECT u.*, x.n AS l FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = u.lp AND x.k = u.c AND x.n >= 10),
+        both_parts AS MATERIALIZED (SELECT u.*, y.n AS r FROM lefts u JOIN f y ON y.lang = u.lang AND y.phrase = u.rp AND y.k = u.k - u.c AND y.n >= 10),
+        scored AS (
+          SELECT lang, k, phrase, a, l, r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score, c
+          FROM both_parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        inside AS (
+          SELECT lang, phrase, max(a) AS longest
+          FROM (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE k = 3
+                UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase) WHERE i.longest IS NULL OR 100 * i.longest < 50 * s.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n AS n, score
+        FROM kept JOIN totals t USING (lang) QUALIFY rank <= 2000""",
 }
