@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostlens.llm import hnsw, mixing, neardup, packing, phrases, pii, pii_examples, quality, substring, token_output, topk, toxicity
+from hostlens.llm import hnsw, langmix, lexical, mixing, neardup, packing, phrases, pii, pii_examples, quality, substring, token_output, topk, toxicity
 from hostlens.llm.common import table
 
 EVERY_20TH = "vec_id % 20 = 0"
@@ -67,6 +67,14 @@ def op11_phrase_quicksort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), words=3, least=10, covered_percent=50, top=2000)
 
 
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langmix.predict(table(spark, sf_dir, "documents"), folds=5, fold=0, penalty=1.0)
+
+
+def op13_blas_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_super_kmer_dedup": op1_super_kmer_dedup,
     "op2_dart_minhash": op2_dart_minhash,
@@ -79,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hnsw": op9_hnsw,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
     "op11_phrase_quicksort": op11_phrase_quicksort,
+    "op12_language_mixture": op12_language_mixture,
+    "op13_blas_search": op13_blas_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -122,4 +132,24 @@ ORACLE_SQL: dict[str, str] = {
         kept AS (SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase) WHERE i.longest IS NULL OR 100 * i.longest < 50 * s.a)
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n AS n, score
         FROM kept JOIN totals t USING (lang) QUALIFY rank <= 2000""",
+    "op13_blas_search": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS row, doc_id,
+                 regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+          FROM documents),
+        total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
+        tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM d) GROUP BY ALL),
+        df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+        m AS (SELECT row, doc_id, 100 - 90 + (90 * len(t) * docs) // terms AS m FROM d, total WHERE len(t) > 0),
+        i AS (
+          SELECT row_number() OVER () AS item, item_id,
+                 unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+          FROM benchmark),
+        s AS (
+          SELECT item, item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+          FROM i JOIN tf USING (term) JOIN df USING (term) JOIN m USING (row) GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }
