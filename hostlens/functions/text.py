@@ -82,7 +82,7 @@ def without_words(token_array, stop_words: Iterable[str]) -> Column:
     return F.filter(col_of(token_array), lambda t: ~F.array_contains(stops, t))
 
 
-# fixed values: English function words
+# English function words (own list)
 ENGLISH_STOP_WORDS = """
 a about above after again against all almost alone along already also although always am among an and
 another any anyone anything are around as at back be became because become been before behind being below
@@ -108,6 +108,16 @@ DEFAULT_LEXICON: dict[str, float] = {
 }
 DEFAULT_NEGATORS = ["never", "no", "not"]
 
+# Phrases and intensifiers (own values): a phrase counts as a whole, an intensifier multiplies what follows it.
+DEFAULT_PHRASES: dict[str, float] = {
+    "as described": 0.3, "far from clean": -0.6, "highly recommend": 0.9, "home away from home": 0.8, "not bad": 0.35,
+    "waste of money": -0.9, "worth every penny": 0.9, "would not recommend": -0.9, "would not stay": -0.8,
+}
+DEFAULT_INTENSIFIERS: dict[str, float] = {
+    "absolutely": 1.4, "barely": 0.5, "extremely": 1.5, "fairly": 0.9, "incredibly": 1.5, "quite": 1.1, "rather": 0.9,
+    "really": 1.3, "slightly": 0.5, "so": 1.2, "somewhat": 0.6, "super": 1.4, "too": 1.2, "very": 1.3,
+}
+
 
 def sentiment_from_tokens(token_array, lexicon: Mapping[str, float] = DEFAULT_LEXICON,
                           negators: Iterable[str] = DEFAULT_NEGATORS) -> Column:
@@ -137,6 +147,61 @@ def sentiment_from_tokens(token_array, lexicon: Mapping[str, float] = DEFAULT_LE
     return F.aggregate(toks, zero, step, finish)
 
 
+def longest_phrase(lexicon: Iterable[str]) -> int:
+    """Words of the longest entry of a lexicon."""
+    return max((len(w.split(" ")) for w in lexicon), default=1)
+
+
+def modifiers(negators: Iterable[str], intensifiers: Mapping[str, float], negation: float) -> dict[str, float]:
+    """What a word in front multiplies a polarity with."""
+    return {**{k: float(v) for k, v in intensifiers.items()}, **{w: float(negation) for w in negators}}
+
+
+def number_map(values: Mapping[str, float]) -> Column:
+    entries = [x for k in sorted(values) for x in (F.lit(k), F.lit(float(values[k])))]
+    return F.create_map(*entries) if entries else F.create_map().cast("map<string,double>")
+
+
+def clipped(polarity) -> Column:
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), polarity))
+
+
+def phrase_sentiment_from_tokens(token_array, lexicon: Mapping[str, float], mods: Mapping[str, float]) -> Column:
+    """Mean polarity of the lexicon's words and phrases (words with one space between them) in a token array.
+
+    From left to right, at each token the longest entry that begins there counts and its tokens are passed over.
+    The modifiers directly in front of it, as far as no other entry has taken them, multiply its polarity, which
+    is then cut to -1 .. 1. No entry gives 0.0.
+
+    One ``aggregate`` that looks at a token once the longest entry's number of tokens has been read, so the array
+    is referenced once (it is followed by as many nulls as that takes).
+    """
+    longest = longest_phrase(lexicon)
+    lex, factor = number_map(lexicon), number_map(mods)
+    nothing = F.lit(None).cast("string")
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(0).alias("skip"), F.lit(1.0).alias("mod"),
+                    F.array_repeat(nothing, longest - 1).alias("w"))
+
+    def step(acc, t):
+        seen = F.concat(acc["w"], F.array(t))
+        head = F.get(seen, F.lit(0))
+        entry = [F.when(head.isNotNull() & F.get(seen, F.lit(n - 1)).isNotNull(), lex[F.array_join(F.slice(seen, 1, n), " ")]) for n in range(longest, 0, -1)]
+        polarity, words = F.coalesce(*entry), F.lit(0)
+        for n, e in zip(range(1, longest + 1), reversed(entry), strict=True):
+            words = F.when(e.isNotNull(), F.lit(n)).otherwise(words)
+        hit = (acc["skip"] == 0) & polarity.isNotNull()
+        idle = (acc["skip"] > 0) | polarity.isNotNull()
+        return F.struct(
+            F.when(hit, acc["s"] + clipped(polarity * acc["mod"])).otherwise(acc["s"]).alias("s"),
+            F.when(hit, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
+            F.when(hit, words - 1).otherwise(F.greatest(acc["skip"] - 1, F.lit(0))).alias("skip"),
+            F.when(idle, F.lit(1.0)).otherwise(F.coalesce(acc["mod"] * factor[head], F.lit(1.0))).alias("mod"),
+            F.slice(seen, 2, longest - 1).alias("w") if longest > 1 else acc["w"].alias("w"))
+
+    padded = F.concat(col_of(token_array), F.array_repeat(nothing, longest - 1)) if longest > 1 else col_of(token_array)
+    return F.aggregate(padded, zero, step, lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)))
+
+
 def sentiment_category(score, upper: float = 0.2, lower: float = -0.2) -> Column:
     """'positive' above ``upper``, 'negative' below ``lower``, else 'neutral'."""
     s = col_of(score)

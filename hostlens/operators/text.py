@@ -65,6 +65,58 @@ def sentiment_by_join(df: DataFrame, text_col: str, lexicon: Mapping[str, float]
         name, F.when(F.col(text_col).isNotNull(), F.coalesce(name, F.lit(0.0)))).drop("__row")
 
 
+def with_phrase_sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float] | DataFrame | None = None,
+                          negators: Iterable[str] = T.DEFAULT_NEGATORS, intensifiers: Mapping[str, float] = T.DEFAULT_INTENSIFIERS,
+                          negation: float = -1.0, name: str = "sentiment_score", join: bool | None = None) -> DataFrame:
+    """Adds the polarity of ``text_col`` by a lexicon of words and phrases, with negators and intensifiers.
+
+    See :func:`hostlens.functions.text.phrase_sentiment_from_tokens` for how matches count. A small mapping
+    (default: the built-in words and phrases) is looked up inside the row; a large one, or a table
+    (phrase, polarity), is joined to the texts' word sequences. A null text has no score.
+    """
+    lexicon = {**T.DEFAULT_LEXICON, **T.DEFAULT_PHRASES} if lexicon is None else lexicon
+    mods = T.modifiers(negators, intensifiers, negation)
+    if isinstance(lexicon, DataFrame) or join or (join is None and len(lexicon) > MAP_WORDS):
+        return _phrase_sentiment_by_join(df, text_col, lexicon, mods, name)
+    score = T.phrase_sentiment_from_tokens(T.tokens(F.col(text_col)), lexicon, mods)
+    return df.withColumn(name, F.when(F.col(text_col).isNotNull(), score))
+
+
+def _phrase_sentiment_by_join(df: DataFrame, text_col: str, lexicon: Mapping[str, float] | DataFrame,
+                              mods: Mapping[str, float], name: str) -> DataFrame:
+    """Only word sequences that the lexicon holds leave the join; a row's are gathered and gone through from left to
+    right beside its tokens. The rows are stored first with a number each; the lexicon is broadcast behind a row
+    count, and joined by a shuffle beyond it."""
+    spark = df.sparkSession
+    if not isinstance(lexicon, DataFrame):
+        lexicon = spark.createDataFrame([(k, float(v)) for k, v in lexicon.items()], "phrase string, polarity double")
+    entries = materialize(lexicon.groupBy(F.lower(F.col("phrase")).alias("__phrase")).agg(F.avg("polarity").alias("__polarity")), "phrase-lexicon")
+    longest = entries.agg(F.max(F.size(F.split("__phrase", " ")))).first()[0] or 1
+    side, _ = bounded_broadcast(entries, materialized=True)
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__t", T.tokens(F.col(text_col))), "phrase-rows")
+    places = F.flatten(F.transform("__t", lambda t, i: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.size("__t") - i)),
+        lambda n: F.struct(i.alias("at"), (-n).alias("minus"), F.array_join(F.slice(F.col("__t"), i + 1, n), " ").alias("phrase")))))
+    each = rows.where(F.size("__t") > 0).select("__row", F.explode(places).alias("x")).select("__row", "x.at", "x.minus", F.col("x.phrase").alias("__phrase"))
+    met = each.join(side, "__phrase").groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("at", "minus", "__polarity"))).alias("__found"))
+    factor = T.number_map(mods)
+
+    def run(acc, word):
+        return F.coalesce(acc * factor[word], F.lit(1.0))
+
+    def step(acc, x):
+        before = F.slice(F.col("__t"), acc["end"] + 1, F.greatest(x["at"] - acc["end"], F.lit(0)))
+        polarity = T.clipped(x["__polarity"] * F.aggregate(before, F.lit(1.0), run))
+        hit = x["at"] >= acc["end"]
+        return F.struct(F.when(hit, acc["s"] + polarity).otherwise(acc["s"]).alias("s"), F.when(hit, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
+                        F.when(hit, x["at"] - x["minus"]).otherwise(acc["end"]).alias("end"))
+
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(0).alias("end"))
+    score = F.aggregate("__found", zero, step, lambda acc: acc["s"] / acc["n"])
+    scored = rows.join(met, "__row", "left").withColumn(name, F.when(F.col(text_col).isNotNull(), F.coalesce(score, F.lit(0.0))))
+    return scored.drop("__row", "__t", "__found")
+
+
 def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str | None = None,
                    k: int = 20, stop_words: Iterable[str] = (), spread: int = 64,
                    max_groups: int = 10_000, stage: bool = True) -> DataFrame:
