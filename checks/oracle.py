@@ -605,3 +605,40 @@ FROM (SELECT price, false AS thousands, TRY_CAST(regexp_replace(price, '[$]', ''
       UNION ALL
       SELECT price, true, TRY_CAST(regexp_replace(price, '[$,]', '', 'g') AS FLOAT) FROM calendar_raw)
 GROUP BY thousands""", "calendar_raw")
+
+# ---- the same results by other ways of storing and reading ----------------------------------
+ORACLE["csv_split_quoted"] = ORACLE["csv_scan_quoted"]
+ORACLE["csv_split_multiline"] = ORACLE["csv_scan_plain"]
+ORACLE["occupancy_appended"] = ORACLE["occupancy_bucketed"] = ORACLE["occupancy_panel"]
+ORACLE["index_keep_table"] = ORACLE["index_keep"]
+ORACLE["index_error_table"] = ORACLE["index_error"]
+ORACLE["sentiment_join"] = ORACLE["sentiment_score"]
+oracle("median_price", """
+SELECT l.neighbourhood_cleansed, c.available, round(quantile_cont(CAST(c.price AS DOUBLE), 0.5), 6) AS median_price
+FROM listings_c l JOIN calendar_c c ON l.id = c.listing_id WHERE c.price IS NOT NULL GROUP BY ALL""", "listings_c", "calendar_c")
+
+# ---- phrases and modifiers: modifiers lazily, then the longest entry, left to right ----------
+_PHRASES = _LEXICON | {"the and": 0.3, "the the": -0.4, "of the": 0.5, "it was": -0.6, "the and attion": 0.9,
+                       "anea eriner thanea": -0.7, "is the is": 0.2}
+_FACTORS = {"for": 1.5, "is": 0.5, "the": 1.1, "was": 1.2, "it": -1.0}
+
+
+def _marked(phrase: str) -> str:
+    return "".join(f"<{w}>" for w in phrase.split(" "))
+
+
+def _sql_map(values: dict, key=str) -> str:
+    return "MAP {" + ", ".join(f"'{key(k)}': {float(v)!r}::DOUBLE" for k, v in values.items()) + "}"
+
+
+_ENTRY = (f"((?:<(?:{'|'.join(_FACTORS)})>)*?)("
+          + "|".join(_marked(p) for p in sorted(_PHRASES, key=lambda p: (-p.count(" "), p))) + ")")
+oracle("sentiment_phrases", f"""
+SELECT id AS review_id, round(CASE WHEN len(hits) = 0 THEN 0.0 ELSE list_aggregate(hits, 'sum') / len(hits) END, 6) AS sentiment_score
+FROM (SELECT id, list_transform(regexp_extract_all(marked, '{_ENTRY}'), lambda m:
+               greatest(-1.0, least(1.0, {_sql_map(_PHRASES, _marked)}[regexp_extract(m, '{_ENTRY}', 2)]
+                 * coalesce(list_aggregate(list_transform(regexp_extract_all(regexp_extract(m, '{_ENTRY}', 1), '<([^>]*)>', 1),
+                                                          lambda w: {_sql_map(_FACTORS)}[w]), 'product'), 1.0)))) AS hits
+      FROM (SELECT id, array_to_string(list_transform({_TOKENS.format(c='comments')}, lambda t: '<' || t || '>'), '') AS marked
+            FROM reviews_c))""", "reviews_c")
+ORACLE["sentiment_phrases_join"] = ORACLE["sentiment_phrases"]

@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType
 
 from . import etl
 from . import occupancy as occ
+from . import occupancy_append as OA
 from . import occupancy_models as OM
 from . import price_model as PM
 from . import recommend as RC
@@ -26,14 +27,16 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import clean as C
 from ..operators import joins as J
+from ..operators import label_index as LI
 from ..operators import ml as ML
 from ..operators import pricing as PR
 from ..operators import sampling as S
+from ..operators import selection as SEL
 from ..operators import text as TX
 from ..operators import windows as W
 from ..session import materialize, scratch_path
 from ..sources import bindings as B
-from ..sources import io
+from ..sources import csv_split, io, layout
 from ..sources.schemas import CALENDAR_RAW, LISTINGS_RAW, REVIEWS_RAW
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +97,26 @@ def q_occupancy_panel_thousands(spark, sf):
                                        start=B.PANEL_START, end=B.PANEL_END, hot_cut=None))
 
 
+@query("occupancy_appended")
+def q_occupancy_appended(spark, sf):
+    """The panel of three drops of days, each continued from the listings' state behind the last one."""
+    listings, calendar, root = listings_clean(spark, sf), calendar_clean(spark, sf), scratch_path(spark, "panel-drops")
+    dates = F.col("date").between
+    for a, b in (("0001-01-01", "1996-12-31"), ("1997-01-01", "1998-03-31"), ("1998-04-01", "9999-12-31")):
+        OA.append(spark, root, listings, calendar.where(dates(F.lit(a).cast("date"), F.lit(b).cast("date"))), B.PANEL_START, B.PANEL_END)
+    return rounded(OA.read_panel(spark, root, hot_cut=None))
+
+
+@query("occupancy_bucketed")
+def q_occupancy_bucketed(spark, sf):
+    """The panel from listings and calendar stored in buckets of the listing id (no exchange on it)."""
+    root = scratch_path(spark, "bucketed")
+    layout.write_bucketed(listings_clean(spark, sf), f"{root}/listings", "id", 16)
+    layout.write_bucketed(calendar_clean(spark, sf), f"{root}/calendar", "listing_id", 16, ["date"])
+    listings, calendar = (layout.open_table(spark, f"{root}/{t}") for t in ("listings", "calendar"))
+    return rounded(occ.occupancy_panel(listings, calendar, start=B.PANEL_START, end=B.PANEL_END, hot_cut=None))
+
+
 @query("rejected_prices")
 def q_rejected_prices(spark, sf):
     """Calendar prices that do not parse, without and with the thousands option."""
@@ -117,6 +140,28 @@ def q_csv_scan_plain(spark, sf):
     return io.csv_roundtrip(B.reviews_raw(spark, sf), "reviews-csv", REVIEWS_RAW)
 
 
+def _one_csv_file(df, name):
+    """``df`` as a single CSV file (its folder), and a split size that gives it at least 12 splits."""
+    path = scratch_path(df.sparkSession, name)
+    io.write_csv(df.coalesce(1), path)
+    length = df.sparkSession.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    return path, max(1, length // 12)
+
+
+@query("csv_split_quoted")
+def q_csv_split_quoted(spark, sf):
+    """Listings in one CSV file, read in splits that cut through quoted fields."""
+    path, split = _one_csv_file(B.listings_raw(spark, sf), "listings-one-csv")
+    return csv_split.read_csv_split(spark, path, LISTINGS_RAW, split_bytes=split)
+
+
+@query("csv_split_multiline")
+def q_csv_split_multiline(spark, sf):
+    """Multi-line review texts in one CSV file, read in splits."""
+    path, split = _one_csv_file(B.reviews_raw(spark, sf), "reviews-one-csv")
+    return csv_split.read_csv_split(spark, path, REVIEWS_RAW, split_bytes=split)
+
+
 def _calendar_text_with_bad_fields(spark, sf):
     cal = B.calendar_raw(spark, sf)
     return cal.select(
@@ -479,6 +524,13 @@ def _regions_with_cut(spark, sf, cut):
     return rounded(regions.withColumn("hot_region", N.threshold_flag("avg_occupancy_rate", c)))
 
 
+@query("median_price")
+def q_median_price(spark, sf):
+    """Exact median calendar price of each neighbourhood and availability, by distributed selection."""
+    rows = J.join_listing_calendar(listings_clean(spark, sf), calendar_clean(spark, sf), ["id", "neighbourhood_cleansed"], ["listing_id", "available", "price"])
+    return rounded(SEL.exact_median(rows, "price", ["neighbourhood_cleansed", "available"], name="median_price"))
+
+
 @query("hot_region_median")
 def q_hot_region_median(spark, sf):
     return _regions_with_cut(spark, sf, None)
@@ -562,6 +614,32 @@ def q_sentiment_score(spark, sf):
     return rounded(comments(spark, sf).select("review_id", "id", "sentiment_score"))
 
 
+def _phrase_sentiment(spark, sf, join):
+    rows = TX.with_phrase_sentiment(reviews_clean(spark, sf), "comments", B.FIXTURE_LEXICON | B.FIXTURE_PHRASES, B.FIXTURE_NEGATORS,
+                                    B.FIXTURE_INTENSIFIERS, join=join)
+    return rounded(rows.select(F.col("id").alias("review_id"), "sentiment_score"))
+
+
+@query("sentiment_phrases")
+def q_sentiment_phrases(spark, sf):
+    """Polarity by words and phrases of up to three words, with negators and intensifiers, inside the row."""
+    return _phrase_sentiment(spark, sf, join=False)
+
+
+@query("sentiment_phrases_join")
+def q_sentiment_phrases_join(spark, sf):
+    """The same with the lexicon joined in as a table."""
+    return _phrase_sentiment(spark, sf, join=True)
+
+
+@query("sentiment_join")
+def q_sentiment_join(spark, sf):
+    """``sentiment_score`` with the lexicon joined in as a table."""
+    lexicon = spark.createDataFrame(list(B.FIXTURE_LEXICON.items()), "word string, polarity double")
+    rows = RV.comment_rows(listings_clean(spark, sf), reviews_clean(spark, sf), lexicon, B.FIXTURE_NEGATORS, keep_review_id=True)
+    return rounded(rows.select("review_id", "id", "sentiment_score"))
+
+
 @query("sentiment_category")
 def q_sentiment_category(spark, sf):
     return comments(spark, sf).select("review_id", "sentiment_category")
@@ -673,6 +751,15 @@ def q_index_keep(spark, sf):
     return model.transform(df).select("id", *[c + "_index" for c in PM.CATEGORICAL])
 
 
+@query("index_keep_table")
+def q_index_keep_table(spark, sf):
+    """``index_keep`` through label tables: no label passes the driver."""
+    df = materialize(training_table(spark, sf), "training-table")
+    train, _ = PM.split(df, 0.8, bucket=_id_bucket())
+    tables = {c: LI.label_table(train, c) for c in PM.CATEGORICAL}
+    return LI.index_by_table(df, PM.CATEGORICAL, tables=tables).select("id", *[c + "_index" for c in PM.CATEGORICAL])
+
+
 @query("one_hot")
 def q_one_hot(spark, sf):
     from pyspark.ml import Pipeline
@@ -755,6 +842,13 @@ def q_index_error(spark, sf):
     return _each_segment(spark, sf, index)
 
 
+@query("index_error_table")
+def q_index_error_table(spark, sf):
+    """``index_error`` through label tables."""
+    return _each_segment(spark, sf, lambda rows: LI.index_by_table(rows, OM.CATEGORICAL, "_indexed", handle_invalid="error")
+                         .select("id", "date", *[c + "_indexed" for c in OM.CATEGORICAL]))
+
+
 @query("occupancy_model")
 def q_occupancy_model(spark, sf):
     """Each segment's forest on its test rows."""

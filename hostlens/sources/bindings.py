@@ -141,6 +141,10 @@ FIXTURE_LEXICON = {
     "ed": -0.7, "ha": -0.9, "he": -0.6, "than": -0.8, "then": -1.0, "orre": -0.9,
 }
 FIXTURE_NEGATORS = ["it"]
+FIXTURE_PHRASES = {
+    "the and": 0.3, "the the": -0.4, "of the": 0.5, "it was": -0.6, "the and attion": 0.9, "anea eriner thanea": -0.7, "is the is": 0.2,
+}
+FIXTURE_INTENSIFIERS = {"for": 1.5, "is": 0.5, "the": 1.1, "was": 1.2}
 # Stop words for keyword statistics on the driver texts: the most frequent
 # function words plus two-letter fragments.
 FIXTURE_STOP_WORDS = [

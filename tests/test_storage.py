@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from hostlens.plans import catalog as CT
 from hostlens.plans import occupancy as occ
 from hostlens.plans import occupancy_append
-from hostlens.sources import bindings as B
 from hostlens.session import materialize
+from hostlens.sources import bindings as B
 from hostlens.sources import layout, versions
 
 SF = "/root/testdata/sf0.001"
@@ -87,7 +87,7 @@ def whole(tables, cut):
 
 
 def test_panel_of_drops_equals_the_panel_of_their_union(spark, tmp_path, tables):
-    cuts = ["1900-01-01", "1993-06-30", "1993-06-30", "1995-02-11", "2100-01-01"]  # the second drop is empty
+    cuts = ["1900-01-01", "1996-10-31", "1996-10-31", "1997-11-11", "2100-01-01"]  # the second drop is empty
     assert drops(spark, str(tmp_path), cuts, tables) == [0] * 4
     for cut in (None, 0.4):
         assert same_rows(whole(tables, cut), CT.rounded(occupancy_append.read_panel(spark, str(tmp_path), cut)))
@@ -98,7 +98,7 @@ def test_panel_of_drops_equals_the_panel_of_their_union(spark, tmp_path, tables)
 
 
 def test_a_drop_reads_no_old_day_and_repeats_after_a_failure(spark, tmp_path, monkeypatch, tables):
-    cuts = ["1900-01-01", "1994-06-30", "2100-01-01"]
+    cuts = ["1900-01-01", "1997-06-30", "2100-01-01"]
     root = str(tmp_path)
     drops(spark, root, cuts[:2], tables)
     read = []
