@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
@@ -37,15 +37,27 @@ def clean_calendar(raw: DataFrame, *, thousands: bool = False) -> DataFrame:
     return dedup(df, ["listing_id", "date"])
 
 
+def _price_counts(thousands: bool):
+    money = P.parse_money_thousands if thousands else P.parse_money
+    return [F.count("price").alias("prices"),
+            F.count(F.when(F.col("price").isNotNull() & money("price").isNull(), 1)).alias("rejected")]
+
+
 def rejected_prices(raw: DataFrame, *, thousands: bool = False) -> DataFrame:
     """One row: how many price texts there are and how many do not parse.
 
     Without ``thousands`` a price with a thousands comma does not parse, its
     night has no price and the panel drops it, so jobs report this number.
     """
-    money = P.parse_money_thousands if thousands else P.parse_money
-    return raw.agg(F.count("price").alias("prices"),
-                   F.count(F.when(F.col("price").isNotNull() & money("price").isNull(), 1)).alias("rejected"))
+    return raw.agg(*_price_counts(thousands))
+
+
+def observed_prices(raw: DataFrame, *, thousands: bool = False) -> tuple[DataFrame, Observation]:
+    """``raw``, and the numbers of :func:`rejected_prices`, which are counted while something
+    made of it is written (``get`` has them then): no pass of their own over the file. To be done
+    in a session of its own (see :mod:`hostlens.jobs`)."""
+    seen = Observation("prices")
+    return raw.observe(seen, *_price_counts(thousands)), seen
 
 
 def english_reviews(raw: DataFrame, marker_pattern: str = T.DEFAULT_MARKER_PATTERN,

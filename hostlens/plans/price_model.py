@@ -12,6 +12,7 @@ from ..operators import ml as ML
 from ..operators.clean import dedup
 from ..operators.sampling import key_split
 from ..session import materialize
+from ..sources import io
 
 # fixed values: the model's features and label
 NUMERIC = ["accommodates", "num_bedrooms", "num_beds", "num_bathrooms", "number_of_reviews",
@@ -78,19 +79,22 @@ def fit_price_model(train: DataFrame, trees: int = 15, depth: int = 20, seed: in
     return ML.price_regression_stages(NUMERIC, CATEGORICAL, LABEL, trees, depth, seed).fit(train)
 
 
+def stored_table(listings: DataFrame, calendar: DataFrame, seed: int = 42, bucket=None) -> DataFrame:
+    """The training table with its split, stored: fit, metrics and importances all read this one."""
+    return materialize(key_split(training_table(listings, calendar), 0.8, ["id"], seed, bucket=bucket), "price-train")
+
+
 def train_and_evaluate(listings: DataFrame, calendar: DataFrame, partitions: int | None = None,
-                       trees: int = 15, depth: int = 20, seed: int = 42, bucket=None):
+                       trees: int = 15, depth: int = 20, seed: int = 42, bucket=None, table: DataFrame | None = None):
     """Fit on the 80 % split and report (split, r2, rmse, n).
 
-    The listing-level table is spread over the cluster's default parallelism
-    (a small table otherwise lands in very few partitions and the forest
-    trains on a few cores) and persisted only around the fit + evaluation
-    block that reads it several times.
+    The listing-level table (``table``, or that of the listings and the calendar) is spread over the
+    cluster's default parallelism if it was stored in fewer partitions (the forest otherwise trains on a
+    few cores) and persisted only around the fit + evaluation block that reads it several times.
     """
     spark = listings.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    table = materialize(key_split(training_table(listings, calendar), 0.8, ["id"], seed, bucket=bucket), "price-train")
-    table = table.repartition(n).persist()
+    table = stored_table(listings, calendar, seed, bucket) if table is None else table
+    table = io.spread(table, partitions).persist()
     try:
         model = fit_price_model(table.where(F.col("split") == "train").drop("split"), trees, depth, seed)
         # one scoring pass over both parts, metrics grouped by part

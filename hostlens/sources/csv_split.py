@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import scratch_path
+from . import io
 
 SPLITS = "file long, block long, if_out boolean, if_in boolean, starts_in boolean"
 RECORDS = "file long, block long, place long, whole boolean, header boolean, value string"
@@ -159,15 +160,11 @@ def _assemble(quoting: Quoting, states: dict[tuple[int, int], tuple[bool, int]],
 
 
 def _own_session(spark: SparkSession, split_bytes: int | None, tasks: int | None) -> SparkSession:
-    """A session with this one's settings whose scans are always split alike, whatever executors come and go."""
-    own = spark.newSession()
-    for k, v in spark.conf.getAll.items():
-        if own.conf.isModifiable(k):
-            own.conf.set(k, v)
-    own.conf.set("spark.sql.files.minPartitionNum", str(tasks or spark.sparkContext.defaultParallelism))
+    """A session whose scans are always split alike, whatever executors come and go."""
+    pinned = {"spark.sql.files.minPartitionNum": str(tasks or spark.sparkContext.defaultParallelism)}
     if split_bytes:
-        own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    return own
+        pinned["spark.sql.files.maxPartitionBytes"] = str(split_bytes)
+    return io.own_session(spark, **pinned)
 
 
 def csv_records(spark: SparkSession, path: str, *, quote: str = '"', escape: str | None = '"', sep: str = ",",

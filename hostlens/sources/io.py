@@ -41,6 +41,21 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, *,
     return df
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whichever store that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def own_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session beside ``spark`` with its settings and ``settings``; tables and cluster are shared."""
+    own = spark.newSession()
+    for k, v in {**spark.conf.getAll, **settings}.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
     """CSV with header; quotes doubled so the reader above round-trips text."""
     (df.write.mode(mode).option("header", True).option("quote", '"')

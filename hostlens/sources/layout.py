@@ -13,9 +13,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from . import io
+
 LAYOUT = "key string, buckets int, sort array<string>, columns string"
 
 
@@ -38,12 +39,9 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, sort: Seque
 
 def open_table(spark: SparkSession, path: str) -> DataFrame:
     """The table at ``path``, with its buckets if it was written in any."""
-    try:
-        layout = spark.read.schema(LAYOUT).parquet(f"{path}/_layout").first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not io.exists(spark, f"{path}/_layout"):
         return spark.read.parquet(path)
+    layout = spark.read.schema(LAYOUT).parquet(f"{path}/_layout").first()
     name = "hostlens_" + hashlib.md5(path.encode()).hexdigest()
     if not spark.catalog.tableExists(name):
         order = ", ".join(f"`{c}`" for c in [layout["key"], *layout["sort"]])

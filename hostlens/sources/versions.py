@@ -14,21 +14,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import io
+
 MANIFEST = "version long, folder string, at timestamp"
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
     """version, folder, at: one row per published version; empty if there is none."""
-    try:
-        rows = spark.read.schema(MANIFEST).parquet(f"{root}/_manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not io.exists(spark, f"{root}/_manifest"):
         return spark.createDataFrame([], MANIFEST)
+    rows = spark.read.schema(MANIFEST).parquet(f"{root}/_manifest")
     return rows.groupBy("version").agg(F.max_by(F.struct("folder", "at"), "folder").alias("x")).select("version", "x.folder", "x.at")
 
 

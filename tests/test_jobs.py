@@ -65,3 +65,45 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.main(["review-analysis", str(etl_dir / "listings_parquet"), str(etl_dir / "reviews_parquet"), plain])
     words = {r["term"] for r in spark.read.parquet(os.path.join(plain, "keywords_by_category")).collect()}
     assert words and not words & {"the", "of", "and", "to", "in", "is", "that"}
+
+
+def test_versions_buckets_and_appended_panel(spark, tmp_path, capsys):
+    """The same panel from published, bucketed tables, in one go and by drops; one scan of the CSV a job."""
+    raw, etl_dir = tmp_path / "raw", tmp_path / "etl"
+    io.write_csv(B.listings_raw(spark, SF), str(raw / "listings"))
+    io.write_csv(B.calendar_raw(spark, SF), str(raw / "calendar"))
+    window = ["--start", B.PANEL_START, "--end", B.PANEL_END]
+    for name in ("listings", "calendar"):
+        jobs.main([f"{name}-etl", str(raw / name), str(etl_dir / f"{name}_parquet"), "--versions", "--buckets", "4"])
+    said = capsys.readouterr().out.splitlines()
+    want = CT.QUERIES["rejected_prices"](spark, SF).where("not thousands").first()
+    assert said[-1].startswith(f"{want['rejected']} of {want['prices']} prices do not parse")
+    per_listing = jobs.table(spark, str(etl_dir / "calendar_parquet")).groupBy("listing_id").count()
+    assert "Exchange" not in per_listing._jdf.queryExecution().executedPlan().toString()
+    jobs.main(["occupancy-etl", str(etl_dir), str(tmp_path / "panel"), "--versions", "--hot-cut", "median", *window])
+    jobs.main(["occupancy-append", str(etl_dir), str(tmp_path / "drops"), "--start", B.PANEL_START, "--end", "1998-02-03"])
+    jobs.main(["occupancy-append", str(etl_dir), str(tmp_path / "drops"), "--start", "1998-02-04", "--end", B.PANEL_END])
+    jobs.main(["occupancy-export", str(tmp_path / "drops"), str(tmp_path / "exported"), "--hot-cut", "median"])
+    expected = CT.rounded(CT.panel(spark, SF))
+    for got in (jobs.table(spark, str(tmp_path / "panel")), spark.read.parquet(str(tmp_path / "exported"))):
+        assert same_rows(CT.rounded(got.select(*expected.columns)), expected)
+
+
+def test_reject_counts_come_from_the_pass_that_cleans(spark, tmp_path):
+    from hostlens.plans import etl
+
+    io.write_csv(B.calendar_raw(spark, SF), str(tmp_path / "calendar"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    raw = io.read_csv_table(io.own_session(spark), str(tmp_path / "calendar"), jobs.CALENDAR_RAW, multiline=False)
+    raw = raw.mapInArrow(counted, raw.schema)
+    df, seen = etl.observed_prices(raw)
+    io.write_parquet(etl.clean_calendar(df), str(tmp_path / "out"))
+    n = B.calendar_raw(spark, SF).count()
+    assert reads.value == n
+    assert seen.get == etl.rejected_prices(raw).first().asDict()
