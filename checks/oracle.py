@@ -560,21 +560,24 @@ oracle("model_save_load", "SELECT segment, count(*) AS n, count(*) AS n_equal FR
 oracle("bernoulli_sample", "SELECT count(*) AS n_rows, true AS is_subset, true AS size_fits FROM calendar_c", "calendar_c")
 oracle("random_split", "SELECT listing_id, date, 1::BIGINT AS n_parts FROM calendar_c", "calendar_c")
 oracle("price_model", """
-SELECT split, count(*) AS n, true AS r2_defined, true AS rmse_defined, true AS beats_mean
+SELECT split, count(*) AS n, true AS r2_defined, true AS rmse_defined, true AS beats_mean, true AS error_fits
 FROM (SELECT 'train' AS split FROM feat_train UNION ALL SELECT 'test' FROM feat_test) GROUP BY split""",
        "feat_train", "feat_test")
 oracle("feature_importance", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _NUM + _CAT)
        + "]) AS feature, true AS in_range, 1.0::DOUBLE AS total FROM (SELECT count(*) FROM feat)", "feat")
 _DAY_BUCKET = ("((CAST(id AS BIGINT) * 2654435761 + "
                "CAST(date - DATE '1970-01-01' AS BIGINT) * 40503 + 17) % 10000)")
-oracle("occupancy_model", f"SELECT id, date, true AS is_label, segment FROM segs WHERE {_DAY_BUCKET} >= 7500", "segs")
-oracle("score_batch", "SELECT id, date, true AS is_label, segment FROM segs", "segs")
+_LEARNT = f"segment IN (SELECT segment FROM segs WHERE {_DAY_BUCKET} < 7500)"
+oracle("occupancy_model", f"""SELECT id, date, segment, true AS is_label, true AS beats_constant FROM segs
+WHERE {_DAY_BUCKET} >= 7500 AND {_LEARNT}""", "segs")
+oracle("score_batch", f"SELECT id, date, segment, true AS is_label, true AS beats_constant FROM segs WHERE {_LEARNT}", "segs")
 oracle("segment_models", f"""
-SELECT n.segment, CASE WHEN count(s.id) > 0 THEN 'fitted' ELSE 'no rows' END AS status, true AS accuracy_fits
+SELECT n.segment, CASE WHEN count(s.id) FILTER (s.b < 7500) > 0 THEN 'fitted' WHEN count(s.id) > 0 THEN 'no training rows' ELSE 'no rows' END AS status,
+       true AS accuracy_fits, true AS not_below_constant, true AS beats_constant
 FROM (SELECT d || '_' || w || '_' || h AS segment
       FROM (SELECT unnest(['highdemand', 'lowdemand']) AS d), (SELECT unnest(['weekend', 'weekday']) AS w),
            (SELECT unnest(['hotregion', 'nothotregion']) AS h)) n
-LEFT JOIN (SELECT * FROM segs WHERE {_DAY_BUCKET} < 7500) s ON n.segment = s.segment GROUP BY n.segment""", "segs")
+LEFT JOIN (SELECT *, {_DAY_BUCKET} AS b FROM segs) s ON n.segment = s.segment GROUP BY n.segment""", "segs")
 _ENDS = """
 SELECT segment, action,
        CASE WHEN high_demand = 1 THEN -new_price ELSE -new_price * k END AS r0,
@@ -585,6 +588,50 @@ ORACLE["reward_grid_model"] = _spark_like_round(with_ctes(f"""
 SELECT segment, action, round(avg(least(r0, r1)), 6) AS low, round(avg(greatest(r0, r1)), 6) AS high, true AS inside
 FROM ({_ENDS}) GROUP BY segment, action""", "rew"))
 
+# ---- forests of one tree with one split: the best split of all rows, in SQL --------------------
+
+
+def _best_split(train: str, features: list[str], label: str, by: str, gain: str) -> str:
+    """CTEs: ``best`` has the split of each ``by`` (feature, threshold) and its sides' sums; of equal gains the first
+    feature and the lowest threshold count."""
+    values = " UNION ALL ".join(f"SELECT {by} AS b, {i} AS f, CAST({c} AS DOUBLE) AS v, CAST({label} AS DOUBLE) AS y FROM {train}" for i, c in enumerate(features))
+    return f"""
+vals AS (SELECT b, f, v, count(*) AS n, sum(y) AS s FROM ({values}) GROUP BY ALL),
+upto AS (SELECT b, f, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY b, f) AS n, sum(s) OVER (PARTITION BY b, f) AS s,
+                (v + lead(v) OVER w) / 2 AS t FROM vals WINDOW w AS (PARTITION BY b, f ORDER BY v)),
+best AS (SELECT *, {gain} AS gain FROM upto WHERE t IS NOT NULL
+         QUALIFY row_number() OVER (PARTITION BY b ORDER BY round(gain, 9) DESC, f, t) = 1)"""
+
+
+def _split_value(features: list[str], row: str) -> str:
+    return "CASE f " + " ".join(f"WHEN {i} THEN CAST({row}.{c} AS DOUBLE)" for i, c in enumerate(features)) + " END"
+
+
+_STUMP = ["accommodates", "number_of_reviews", "amenities_count", "minimum_nights"]
+_base = with_ctes("SELECT 1", "feat_train", "feat")
+ORACLE["price_model_one_split"] = _base[: _base.rindex("SELECT 1")].rstrip().rstrip(",") + "," + _best_split(
+    "feat_train", _STUMP, "average_log_price", "1", "sl * sl / nl + (s - sl) * (s - sl) / (n - nl)") + f"""
+SELECT id, round(CASE WHEN {_split_value(_STUMP, 'feat')} <= t THEN sl / nl ELSE (s - sl) / (n - nl) END, 6) AS prediction FROM feat, best"""
+_STUMP_DAYS = ["accommodates", "minimum_nights", "maximum_nights"]
+register("seg_train", f"SELECT * FROM segs WHERE {_DAY_BUCKET} < 7500", ["segs"])
+_SIDES = _best_split("seg_train", _STUMP_DAYS, "label", "segment",
+                     "(sl * sl + (nl - sl) * (nl - sl)) / nl + ((s - sl) * (s - sl) + (n - nl - s + sl) * (n - nl - s + sl)) / (n - nl)") + f""",
+sides AS (SELECT *, sl / nl AS pl, (s - sl) / (n - nl) AS pr, s / n AS p FROM best),
+told AS (SELECT segs.id, segs.date, segs.segment,
+                CASE WHEN (pl > 0.5) = (pr > 0.5) THEN p WHEN {_split_value(_STUMP_DAYS, 'segs')} <= t THEN pl ELSE pr END AS p
+         FROM segs JOIN sides ON segs.segment = sides.b)"""
+_base = with_ctes("SELECT 1", "seg_train", "segs")
+ORACLE["occupancy_model_one_split"] = _base[: _base.rindex("SELECT 1")].rstrip().rstrip(",") + "," + _SIDES + """
+SELECT id, date, CAST(p > 0.5 AS INTEGER)::DOUBLE AS prediction, round(p, 6) AS p_rented, segment FROM told"""
+_base = with_ctes("SELECT 1", "seg_train", "segs", "rew")
+ORACLE["reward_grid_one_split"] = _spark_like_round(_base[: _base.rindex("SELECT 1")].rstrip().rstrip(",") + "," + _SIDES + """
+SELECT x.segment, action, round(avg(CASE WHEN told.p > 0.5 THEN r1 ELSE r0 END), 6) AS avg_reward
+FROM (SELECT segment, id, date, action,
+             CASE WHEN high_demand = 1 THEN -new_price ELSE -new_price * k END AS r0,
+             CASE WHEN high_demand = 1 THEN new_price - CAST(price AS DOUBLE) * label
+                  WHEN label = 0 THEN new_price * k ELSE -new_price * k END AS r1 FROM rew) x
+JOIN told ON x.id = told.id AND x.date = told.date AND x.segment = told.segment GROUP BY x.segment, action""")
+
 # ---- the panel without lost nights --------------------------------------------------------------
 _THOUSANDS = {n: (CTES[n][0].replace("'[$]'", "'[$,]'") if n == "calendar_c" else CTES[n][0], CTES[n][1])
               for n in ("calendar_c", "panel_days", "panel_occ", "regions", "panel")}

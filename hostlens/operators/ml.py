@@ -65,17 +65,29 @@ def price_regression_stages(numeric: Sequence[str], categorical: Sequence[str],
 
 def occupancy_classifier_stages(categorical: Sequence[str], numeric: Sequence[str], label: str = "label",
                                 max_bins: int = 60, handle_invalid: str = "keep", seed: int = 42,
-                                trees: int = 20, depth: int = 5) -> Pipeline:
-    """Index categoricals, assemble with numerics, random-forest classifier."""
+                                trees: int = 20, depth: int = 5, indexers: Sequence = ()) -> Pipeline:
+    """Index categoricals (with ``indexers``, if they are fitted already), assemble with numerics, random-forest
+    classifier."""
     idx = [c + "_indexed" for c in categorical]
     return Pipeline(stages=[
-        StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid=handle_invalid),
+        *(indexers or [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid=handle_invalid)]),
         VectorAssembler(inputCols=idx + list(numeric), outputCol="features"),
         RandomForestClassifier(featuresCol="features", labelCol=label, maxBins=max_bins, seed=seed,
                                numTrees=trees, maxDepth=depth, **FOREST_TRAINING),
     ])
 
 
+def one_split(features: Sequence[str], label: str, classes: bool, max_bins: int = 128) -> Pipeline:
+    """A forest of one tree with one split, grown on all rows and features: as long as no feature has more than
+    ``max_bins`` values, its split is the best there is, so its predictions can be told without Spark."""
+    forest = RandomForestClassifier if classes else RandomForestRegressor
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="features"),
+        forest(featuresCol="features", labelCol=label, numTrees=1, maxDepth=1, maxBins=max_bins, bootstrap=False,
+               featureSubsetStrategy="all", subsamplingRate=1.0, seed=1),
+    ])
+
+
 def regression_metrics(predictions: DataFrame, label: str, prediction: str = "prediction") -> dict:
     """R^2 and RMSE with Spark's evaluator."""
     ev = RegressionEvaluator(labelCol=label, predictionCol=prediction)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ml as ML
 from ..operators import pricing as PR
+from ..operators.label_index import bounded_indexers
 from ..operators.sampling import key_split
 from ..sources import io
 from . import recommend as RC
@@ -37,12 +38,13 @@ def split_rows(df: DataFrame, train_fraction: float = 0.75, seed: int = 42, buck
 def fit_segment(train: DataFrame, handle_invalid: str = "keep", seed: int = 42, max_bins: int = MAX_BINS):
     """The forest of one segment, also where all its rows have one label (it then predicts that label).
 
-    ``max_bins`` must reach the number of labels of every categorical column plus the bucket of unseen ones;
-    Spark names the column otherwise.  It is not raised by itself, because the splits of the numeric columns,
+    ``max_bins`` must reach the number of labels of every categorical column plus the bucket of unseen ones,
+    which is checked before any label comes to the driver.  It is not raised by itself, because the splits of the numeric columns,
     and so the model, depend on it.
     """
+    indexers = bounded_indexers(train, CATEGORICAL, max_bins, "_indexed", handle_invalid)
     return ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid, seed=seed,
-                                          max_bins=max_bins).fit(train)
+                                          max_bins=max_bins, indexers=indexers).fit(train)
 
 
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,
@@ -51,26 +53,31 @@ def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | N
     """Fit one pipeline per segment that has training rows.  The segment set is
     fixed (8), each fit is a distributed job, and up to ``concurrency`` fits
     (default: all 8) run at once so small segments do not leave the cluster
-    idle.  Returns ``({segment: model}, summary rows)``; the status is
-    ``fitted`` or ``no rows``."""
+    idle.  Returns ``({segment: model}, summary rows)``: status (``fitted``,
+    ``no rows``, or ``no training rows`` where all rows fell in the test
+    part), accuracy on the test part (NULL without one), accuracy on the
+    training part and the share of that part's more frequent label."""
     from concurrent.futures import ThreadPoolExecutor
 
     def fit_one(seg):
         name = segment_name(*seg)
-        train, test = split_rows(segment_rows(spark, panel_root, seg), train_fraction, seed, bucket)
+        rows = key_split(segment_rows(spark, panel_root, seg), train_fraction, ["id", "date"], seed, bucket=bucket)
+        train = rows.where("split = 'train'").drop("split")
         if train.isEmpty():
-            return name, None, ("no rows", None)
+            return name, None, ("no rows" if rows.isEmpty() else "no training rows", None, None, None)
         model = fit_segment(train, handle_invalid, seed, max_bins)
         if model_root:
             ML.save_model(model, f"{model_root}/model_{name}")
-        acc = None if test.isEmpty() else ML.accuracy(model.transform(test))
-        return name, model, ("fitted", acc)
+        hit = (F.col("prediction") == F.col("label")).cast("int")
+        of = {r["split"]: r for r in model.transform(rows).groupBy("split").agg(F.avg(hit).alias("hits"), F.avg("label").alias("ones")).collect()}
+        ones = of["train"]["ones"]
+        return name, model, ("fitted", of["test"]["hits"] if "test" in of else None, of["train"]["hits"], max(ones, 1 - ones))
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
         results = list(pool.map(fit_one, SEGMENTS))
     models = {name: m for name, m, _ in results if m is not None}
-    summary = [(name, status, acc) for name, _, (status, acc) in results]
-    return models, spark.createDataFrame(summary, "segment string, status string, accuracy double")
+    return models, spark.createDataFrame([(name, *found) for name, _, found in results],
+                                         "segment string, status string, accuracy double, train_accuracy double, train_majority double")
 
 
 def load_segment_models(spark: SparkSession, model_root: str) -> dict:
@@ -87,14 +94,15 @@ def _segment_filter(name: str):
 
 def model_predictor(models: dict):
     """``predict(df)``: each segment's rows scored by its own model at the
-    new price (segments without training rows have no model and predict 0).
+    new price.  Rows of segments without a model are left out: nothing is
+    known of them, so they have neither a reward nor a recommendation.
 
     Segments are selected on the three flag columns, so when ``df`` comes
     from the partitioned panel each branch reads only its own folder.
     """
     def predict(df: DataFrame) -> DataFrame:
         base = df.withColumn("__orig_price", F.col("price"))
-        out = base.where(~F.col("segment").isin(list(models))).withColumn("prediction", F.lit(0))
+        out = base.where(F.lit(False)).withColumn("prediction", F.lit(0))
         for name, model in models.items():
             part = base.where(_segment_filter(name)).withColumn("price", F.col("new_price").cast("float"))
             scored = model.transform(part).select(*base.columns, F.col("prediction").cast("int").alias("prediction"))
