@@ -2,8 +2,10 @@
 
 The index of a label is its place by count (largest first, ties by label), the numbers that ``StringIndexer`` gives.
 Counts are combined on the map side; the labels are dealt out by ranges of (count, label), each range is numbered
-where it lies, and the sizes of the ranges before it are added. The driver sees how many labels there are, which is
-enough to refuse a column that has more than a model can take.
+where it lies, and the sizes of the ranges before it are added. The driver sees how many labels there are.
+
+Where a model's bins bound the labels, ``bounded_indexers`` gives it ordinary fitted indexers, and refuses a column of
+more labels before they are brought together.
 """
 
 from __future__ import annotations
@@ -57,13 +59,15 @@ def index_by_table(df: DataFrame, columns: Sequence[str], suffix: str = "_index"
 def bounded_indexers(df: DataFrame, columns: Sequence[str], most: int, suffix: str = "_index",
                      handle_invalid: str = "keep") -> list[StringIndexerModel]:
     """Fitted ``StringIndexer`` models of columns that have no more than ``most`` values, the one for unseen labels
-    included. A column's labels come to the driver only after their number has been checked."""
-    models = []
-    for c in columns:
-        table = label_table(df, c)
-        n = table.count() + (handle_invalid == "keep")
-        if n > most:
-            raise ValueError(f"column {c} has {n} values, the one for unseen labels included; at most {most} are allowed")
-        labels = [r["label"] for r in table.orderBy("index").collect()]
-        models.append(StringIndexerModel.from_labels(labels, c, c + suffix, handle_invalid))
-    return models
+    included. One pass counts all columns, and no more than ``most + 1`` labels of a column ever reach the driver."""
+    room = most - (handle_invalid == "keep")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns])
+    counts = df.select(F.explode(cells).alias("x")).where("x.label is not null").groupBy("x.column", "x.label").agg(F.count(F.lit(1)).alias("n"))
+    first = F.row_number().over(Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("label").asc()))
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in counts.withColumn("place", first).where(F.col("place") <= room + 1).orderBy("column", "place").collect():
+        found[r["column"]].append(r["label"])
+    for c, labels in found.items():
+        if len(labels) > room:
+            raise ValueError(f"column {c} has more than {most} values (maxBins), the one for unseen labels included")
+    return [StringIndexerModel.from_labels(labels, c, c + suffix, handle_invalid) for c, labels in found.items()]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import materialize
 from .joins import bounded_broadcast
-from .topk import top_k_per_group
+from .vocabulary import frequent_terms
 
 
 def token_counts(df: DataFrame, id_col: str, text_col: str,
@@ -118,7 +118,7 @@ def _phrase_sentiment_by_join(df: DataFrame, text_col: str, lexicon: Mapping[str
 
 
 def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str | None = None,
-                   k: int = 20, stop_words: Iterable[str] = (), spread: int = 64,
+                   k: int = 20, stop_words: Iterable[str] = (), summary: int = 2000,
                    max_groups: int = 10_000, stage: bool = True) -> DataFrame:
     """Top-``k`` TF-IDF terms per group, weights summed over documents.
 
@@ -128,8 +128,10 @@ def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str |
     over the vocabulary; the score of a term is the sum over documents.
 
     Plan: documents are tokenized once (staged in the shared checkpoint
-    folder when ``stage``).  Term totals are combined map-side and the
-    vocabulary is an exact two-round top-k.  The vocabulary (<= k terms per
+    folder when ``stage``).  The vocabulary comes from summaries of
+    ``summary`` terms a group and an exact recount
+    (:func:`hostlens.operators.vocabulary.frequent_terms`), so that no
+    shuffle carries all terms.  The vocabulary (<= k terms per
     group) and then the idf table are attached to every document through a
     broadcast of one row per group, once a count shows at most
     ``max_groups`` groups; a document's term counts, weights and norm are
@@ -146,10 +148,7 @@ def tfidf_keywords(df: DataFrame, doc_col: str, text_col: str, group_col: str |
     if stage:
         docs = materialize(docs, "tfidf-docs")
 
-    totals = docs.select(g, F.explode("__toks").alias("term")).groupBy(g, "term").agg(
-        F.count(F.lit(1)).alias("__total"))
-    vocab = top_k_per_group(totals, [g], [F.col("__total").desc(), F.col("term").asc()], k,
-                            spread_on="term", spread=spread)
+    vocab = frequent_terms(docs, g, "__toks", k, size=summary)
     per_group = vocab.groupBy(g).agg(F.array_sort(F.collect_list("term")).alias("__vocab"))
     n_docs = docs.groupBy(g).agg(F.count(F.lit(1)).alias("__n"))
     groups, small = bounded_broadcast(n_docs.join(per_group, on=g, how="left"), max_groups)

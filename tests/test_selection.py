@@ -66,18 +66,20 @@ def test_unseen_labels_fail_or_are_kept(spark):
         LI.index_by_table(new, ["c"], handle_invalid="error", tables=tables).collect()
 
 
-def test_bounded_indexer_refuses_before_it_collects(spark, monkeypatch):
+def test_bounded_indexers_refuse_before_they_collect(spark, monkeypatch):
     df = labels(spark)
     n = df.select("c").where("c is not null").distinct().count()
-    models = LI.bounded_indexers(df, ["c", "d"], n + 1)
-    want = StringIndexer(inputCols=["c", "d"], outputCols=["c_index", "d_index"], handleInvalid="keep").fit(df)
-    assert [list(m.labels) for m in models] == [list(x) for x in want.labelsArray]
-    collected = []
-    frame = type(df)
-    monkeypatch.setattr(frame, "collect", lambda self: collected.append(self.columns))
-    with pytest.raises(ValueError, match="column c has"):
-        LI.bounded_indexers(df, ["c"], n)
-    assert not collected
+    for mode, most in (("keep", n + 1), ("error", n)):
+        models = LI.bounded_indexers(df, ["c", "d"], most, handle_invalid=mode)
+        want = StringIndexer(inputCols=["c", "d"], outputCols=["c_index", "d_index"], handleInvalid="skip").fit(df)
+        assert [list(m.labels) for m in models] == [list(x) for x in want.labelsArray]
+    rows, frame = [], type(df)
+    plain = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (rows.append(plain(self)), rows[-1])[1])
+    with pytest.raises(ValueError, match="column c has more than 20"):
+        LI.bounded_indexers(df, ["c"], 20)
+    assert [len(r) for r in rows] == [20]
+    assert [m.labels for m in LI.bounded_indexers(df.limit(0), ["c"], 5)] == [[]]
 
 
 def draw_docs(spark, seed, n, groups, vocab):
