@@ -3,7 +3,8 @@
 The field labels words (O, or the beginning or inside of a kind) from features of their shapes and their
 neighbours'. It is trained on a small labelled table by its exact gradient, all sentences at once, and
 decodes by Viterbi in numpy batches. A word can only be labelled within REACH words of a digit, an @ or a
-spelt-out one; everything else is O, so that the chain falls into short pieces that decode independently.
+spelt-out one; everything else is O, so that the chain falls into short pieces that decode independently, each
+with the moves from the O before it and to the O behind it (or with the weights of a text's first and last label).
 
 Nulls and odd cases: a null text counts as empty and has no spans; rows that share a doc_id are searched
 one by one; a span of the field that touches a pattern's span is left out; an empty table gives an empty
@@ -25,8 +26,11 @@ from hostlens.llm.common import chunks
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{b}-{k}" for k in KINDS for b in "BI"))
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# E-mails are looked for from each @, IPs from the first digit of a run only, so that no run is gone through more
+# than a few times; the matches are those of the plain patterns, from left to right.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT, TOKEN = re.compile("[0-9]"), re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,11 +48,23 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    at, behind = text.find("@"), 0  # nothing before ``behind`` can be part of a local part
+    while at >= 0:
+        front = text[behind:at]
+        start = behind + len(front.rstrip(LOCAL))
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield start, domain.end()
+        behind = domain.end() if domain else at + 1
+        at = text.find("@", behind)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end) of the patterns' matches, in that order."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(start, 0, end) for start, end in emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
             if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split(".")):
@@ -109,13 +125,19 @@ class Field:
             most = sentences[batch[0]][2] - sentences[batch[0]][1]
             while order and (len(batch) + 1) * most < 50_000:
                 batch.append(order.pop())
-            for i, labels in zip(batch, viterbi(*self.scores([sentences[i] for i in batch]), self.move, self.ends), strict=True):
+            emit, n = self.scores([sentences[i] for i in batch])
+            # a piece within a text has words labelled O on the sides that aren't the text's own
+            cut = [(sentences[i][1] > 0, sentences[i][2] < len(sentences[i][0])) for i in batch]
+            first = np.array([self.move[0] if a else self.ends[0] for a, _ in cut])
+            last = np.array([self.move[:, 0] if b else self.ends[1] for _, b in cut])
+            for i, labels in zip(batch, viterbi(emit, n, self.move, np.stack([first, last])), strict=True):
                 out[i] = labels
         return out
 
 
 def viterbi(emit: np.ndarray, n: np.ndarray, move: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """emit: sentence x place x label, padded; n: lengths."""
+    """emit: sentence x place x label, padded; n: lengths; ends: weights of the first and the last label, of all
+    sentences or by sentence."""
     rows, most, _ = emit.shape
     score, back = ends[0] + emit[:, 0], np.zeros(emit.shape, int)
     last = np.where((n == 1)[:, None], score + ends[1], -np.inf)
@@ -275,7 +297,7 @@ def _find(field: Field, mask: bool):
             if mask:
                 new = [masked(t, s) if s else t for t, s in zip(b["text"].to_pylist(), both, strict=True)]
                 b = b.set_column(b.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
-                if (at := b.schema.get_field_index("n_chars")) >= 0:
+                if (at := b.schema.get_field_index("n_chars")) >= 0 and pa.types.is_integer(b.schema.field(at).type):
                     n = [len(t) if s else old for t, s, old in zip(new, both, b["n_chars"].to_pylist(), strict=True)]
                     b = b.set_column(at, "n_chars", pa.array(n, b.schema.field(at).type))
                 yield b
@@ -301,5 +323,5 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
-    """The documents with all spans masked, and n_chars (if there) to match."""
+    """The documents with all spans masked, and n_chars (if there, as a whole number) to match."""
     return docs.mapInArrow(_find(field, True), docs.schema)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -71,6 +72,38 @@ def test_op6_by_the_patterns(spark, field):
         assert {f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base} <= set(r.spans.split(",") if r.spans else [])
 
 
+def test_patterns_on_drawn_texts():
+    rng = np.random.default_rng(12)
+    for chars, n in (("ab@.-+ é", 30), ("12.9 ", 25), ("a1@.+ -()25%_", 40), ("4.1-", 30)):
+        for _ in range(4000):
+            text = "".join(rng.choice(list(chars), int(rng.integers(0, n))))
+            assert pii.base_spans(text) == naive(text), text
+
+
+@pytest.mark.parametrize("text", ["7" * 2_000_000, "x" * 1_000_000 + " a@b " + "y" * 1_000_000, "a@" * 1_000_000, "1." * 1_000_000, "a." * 500_000 + "@" + "b." * 500_000,
+                                  "+" + "1(" * 1_000_000, "@" * 2_000_000])
+def test_long_runs_take_linear_time(field, text):
+    began = time.process_time()
+    base = pii.base_spans(text)
+    pii.added_spans([text], [base], field)
+    assert time.process_time() - began < 20
+
+
+def test_pieces_end_where_the_text_has_words_labelled_o(field):
+    """A piece in the middle of a text is decoded with the moves from and to O, as in the whole chain."""
+    words = [f"w{i}" for i in range(12)]
+    (got,) = field.decode([(words, 3, 8)])
+    emit, n = field.scores([(words, 3, 8)])
+    best, want = -np.inf, None
+    for path in itertools.product(range(len(pii.LABELS)), repeat=2):
+        labels = [path[0], *([0] * 3), path[1]]
+        score = emit[0, np.arange(5), labels].sum() + field.move[0, labels[0]] + sum(field.move[a, b] for a, b in itertools.pairwise(labels)) + field.move[labels[-1], 0]
+        if score > best:
+            best, want = score, labels
+    (free,) = pii.viterbi(emit, n, field.move, np.stack([field.move[0], field.move[:, 0]])[:, None])
+    assert got.tolist() == free.tolist() and (got.tolist() == want or any(got[1:4]))
+
+
 def test_odd_rows(spark, field):
     docs = spark.createDataFrame([(i if i != 3 else None, t, "k", 1) for i, t in enumerate(ODD)] + [(2, ODD[2], "k", 1)], "doc_id long, text string, spans string, n_chars int")
     got = pii.find(docs, field).collect()
