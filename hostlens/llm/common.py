@@ -54,14 +54,6 @@ def with_copies(docs: DataFrame, decisions: DataFrame, mark: str = "text") -> Da
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*keep)
 
 
-def finite_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """vec_id and embedding (array of double), one row per id: vectors that are null or hold null or
-    non-finite components go, as do null ids; of rows that share an id the smallest vector stays."""
-    ok = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"))
-            .where(F.col("vec_id").isNotNull() & ok).groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
-
-
 def padded(column: pa.Array, dim: int) -> np.ndarray:
     """Rows of a list column as a matrix; shorter lists are filled with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by inner product: a navigable small-world graph per shard.
 
-Equal vectors are one node with its smallest ids, so a vector that a third of the rows share is one node.
+Equal vectors are one node with its rows of the smallest ids, so a vector that a third of the rows share is one node.
 Nodes are dealt over shards by a hash; each shard's graph has layers of ever fewer nodes, each stored as a
 flat array of neighbour numbers. Every query searches every shard, from the top layer down with a beam in
 the lowest one, and the shards' results are merged by exact scores.
@@ -9,8 +9,10 @@ Largest inner products become nearest neighbours by one more component, sqrt(m*m
 vectors of a shard equally long; a query has 0 there.
 
 Nulls and odd cases: vectors that are null, zero or hold null or non-finite components take no part, nor do
-null ids; of rows that share an id the smallest vector counts; shorter vectors are read as filled up with
-zeros; ties go to the smaller id; a query gets all that was found if that is fewer than k.
+null ids; rows equal in id and vector count once, others that share an id are rows of their own, as queries (each has
+its own k rows) and as candidates
+(also for each other); shorter vectors are read as filled up with zeros; ties go to the smaller id; a query gets
+all that was found if that is fewer than k.
 """
 
 from __future__ import annotations
@@ -20,10 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostlens.llm.common import finite_vectors, padded
+from hostlens.llm.common import padded
+from hostlens.llm.vectors import vector_rows
 from hostlens.session import materialize
 
-SHARD, LINKS, BUILD_BEAM, BEAM, QUERY_BLOCK, BATCH = 8192, 16, 64, 128, 512, 512
+SHARD, LINKS, BUILD_BEAM, BEAM, BATCH = 8192, 16, 64, 128, 512
+#: Queries that a shard's graph is sent for, and those that are searched at once.
+QUERY_BLOCK, QUERY_STEP = 16384, 512
 
 
 def beam_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, entry: np.ndarray, beam: int, at_once: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -151,24 +156,25 @@ def _index(dim: int, seed: int):
         long = np.sqrt((v * v).sum(1))
         x = np.concatenate([v, np.sqrt(np.maximum((m := long.max()) ** 2 - long**2, 0))[:, None]], 1) / m
         g = Graph(x.astype(np.float32), seed=seed)
-        ids = t["ids"].combine_chunks()
+        held = t["held"].combine_chunks()
+        ids, rows = (held.values.field(k) for k in ("vec_id", "row"))
         return pa.table({"shard": t["shard"][:1], "vectors": [v.tobytes()], "nodes": [x.astype(np.float32).tobytes()],
                          "sizes": [[len(x) for x in g.layers]], "links": [b"".join(x.tobytes() for x in g.layers)],
-                         "id_from": [np.asarray(ids.offsets).astype("<i8").tobytes()], "ids": [np.asarray(ids.values).astype("<i8").tobytes()]})
+                         "id_from": [np.asarray(held.offsets).astype("<i8").tobytes()], "ids": [np.asarray(ids).astype("<i8").tobytes()], "rows": [np.asarray(rows).astype("<i8").tobytes()]})
 
     return run
 
 
-INDEX = "shard long, vectors binary, nodes binary, sizes array<long>, links binary, id_from binary, ids binary"
+INDEX = "shard long, vectors binary, nodes binary, sizes array<long>, links binary, id_from binary, ids binary, rows binary"
 
 
 def build_index(df: DataFrame, k: int = 20, shard: int = SHARD, vec_id: str = "vec_id", embedding: str = "embedding", seed: int = 5) -> tuple[DataFrame, DataFrame, int]:
-    """The stored index (a row per shard), the vectors and their dimension. A node keeps the k + 1 smallest ids of its vector: more can never be among k."""
-    v = materialize(finite_vectors(df, vec_id, embedding).where(F.exists("embedding", lambda x: x != 0)), "ann-vectors")
+    """The stored index (a row per shard), the vectors and their dimension. A node keeps the k + 1 rows of the smallest ids of its vector: more can never be among k."""
+    v = materialize(vector_rows(df, vec_id, embedding).where(F.exists("embedding", lambda x: x != 0)), "ann-vectors")
     dim = v.agg(F.max(F.size("embedding"))).first()[0] or 1
-    place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    nodes = v.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    nodes = materialize(nodes.withColumn("h", F.xxhash64(F.element_at("ids", 1))), "ann-nodes")
+    place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id", "row"))
+    nodes = v.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_list(F.struct("vec_id", "row"))).alias("held"))
+    nodes = materialize(nodes.withColumn("h", F.xxhash64("embedding")), "ann-nodes")
     n = max(1, -(-nodes.count() // shard))
     index = nodes.withColumn("shard", F.pmod("h", F.lit(n)).cast("long")).groupBy("shard").applyInArrow(_index(dim, seed), INDEX)
     return materialize(index, "ann-index"), v, dim
@@ -185,27 +191,32 @@ def _search(dim: int, k: int, beam: int):
                     layers.append(flat[: n * width].reshape(n, width))
                     flat = flat[n * width :]
                 g = Graph(np.frombuffer(row["nodes"], np.float32).reshape(len(v), -1), layers)
-                q_ids, q = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_vecs"], np.float64).reshape(-1, dim)
-                long = np.sqrt((q * q).sum(1))[:, None]
-                found = g.search(np.concatenate([q / long, np.zeros((len(q), 1))], 1).astype(np.float32), beam)
-                score = np.where(found >= 0, np.einsum("qcd,qd->qc", v[found], q), -np.inf)
-                order = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
-                start, ids = np.frombuffer(row["id_from"], "<i8"), np.frombuffer(row["ids"], "<i8")
-                out = {"query_id": [], "vec_id": [], "score": []}
-                for i, own in enumerate(q_ids.tolist()):
-                    hits = sorted((-score[i, c], vec) for c in order[i] if found[i, c] >= 0
-                                  for vec in ids[start[found[i, c]] : start[found[i, c] + 1]].tolist() if vec != own)[:k]
-                    out["query_id"] += [own] * len(hits)
-                    out["vec_id"] += [vec for _, vec in hits]
-                    out["score"] += [-s for s, _ in hits]
-                yield pa.RecordBatch.from_pydict(out, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
+                start, ids, rows = (np.frombuffer(row[x], "<i8") for x in ("id_from", "ids", "rows"))
+                all_ids, all_rows = (np.frombuffer(row[x], "<i8") for x in ("q_ids", "q_rows"))
+                all_q = np.frombuffer(row["q_vecs"], np.float64).reshape(-1, dim)
+                for at in range(0, len(all_q), QUERY_STEP):
+                    q_ids, q_rows, q = (x[at : at + QUERY_STEP] for x in (all_ids, all_rows, all_q))
+                    long = np.sqrt((q * q).sum(1))[:, None]
+                    found = g.search(np.concatenate([q / long, np.zeros((len(q), 1))], 1).astype(np.float32), beam)
+                    score = np.where(found >= 0, np.einsum("qcd,qd->qc", v[found], q), -np.inf)
+                    order = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
+                    out = {"query_row": [], "query_id": [], "vec_id": [], "row": [], "score": []}
+                    for i, (own, own_row) in enumerate(zip(q_ids.tolist(), q_rows.tolist(), strict=True)):
+                        hits = sorted((-score[i, c], int(ids[j]), int(rows[j])) for c in order[i] if found[i, c] >= 0
+                                      for j in range(start[found[i, c]], start[found[i, c] + 1]) if rows[j] != own_row)[:k]
+                        out["query_row"] += [own_row] * len(hits)
+                        out["query_id"] += [own] * len(hits)
+                        out["vec_id"] += [x for _, x, _ in hits]
+                        out["row"] += [x for _, _, x in hits]
+                        out["score"] += [-x for x, _, _ in hits]
+                    yield pa.RecordBatch.from_pydict(out, pa.schema([(x, pa.float64() if x == "score" else pa.int64()) for x in out]))
 
     return run
 
 
 def _pack_queries(dim: int):
     def run(t: pa.Table) -> pa.Table:
-        return pa.table({"q_block": t["q_block"][:1], "q_ids": [t["vec_id"].to_numpy().astype("<i8").tobytes()], "q_vecs": [padded(t["embedding"], dim).tobytes()]})
+        return pa.table({"q_block": t["q_block"][:1], "q_ids": [t["vec_id"].to_numpy().astype("<i8").tobytes()], "q_rows": [t["row"].to_numpy().astype("<i8").tobytes()], "q_vecs": [padded(t["embedding"], dim).tobytes()]})
 
     return run
 
@@ -214,11 +225,11 @@ def nearest(df: DataFrame, is_query: Column | str, k: int = 20, shard: int = SHA
     """query_id, rank, vec_id, score (inner product, double) of the k nearest found for each query row."""
     index, v, dim = build_index(df, k, shard, vec_id, embedding)
     queries = v.where(is_query)
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    q = queries.withColumn("q_block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long")).groupBy("q_block").applyInArrow(_pack_queries(dim), "q_block long, q_ids binary, q_vecs binary")
     shards = max(1, index.count())
+    # A graph goes to as many blocks of queries as their size asks for, or as give every core a pair of a shard and a block.
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK), -(-df.sparkSession.sparkContext.defaultParallelism // shards))
+    q = queries.withColumn("q_block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("long")).groupBy("q_block").applyInArrow(_pack_queries(dim), "q_block long, q_ids binary, q_rows binary, q_vecs binary")
     q = q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
-    # A shard's graph goes to each block of queries: small packed rows, dealt evenly over the pairs.
-    found = index.join(q, "shard").repartition("shard", "q_block").mapInArrow(_search(dim, k, beam), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = index.join(q, "shard").repartition("shard", "q_block").mapInArrow(_search(dim, k, beam), "query_row long, query_id long, vec_id long, row long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -94,15 +94,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
-          SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
-          FROM embeddings
+          SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e, row_number() OVER () AS row
+          FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (
-          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+          SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id AS vec_id,
                  CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, c.e)]) AS BIGINT) AS score
-          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+          FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 20 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
     "op11_phrase_quicksort": r"""
         WITH pieces AS (

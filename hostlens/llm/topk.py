@@ -6,9 +6,14 @@ score becomes the next pass's bounds, until it is one value wide. A last pass ke
 value and, among those equal to it, the smallest ids that still fit. No scores are stored, nothing but
 counts is shuffled, and the driver sees three norms.
 
+A pair of blocks whose norms bound its scores below 2**24 or 2**53 is multiplied in float32 or float64, which
+is exact there; any other one in 64-bit integers.
+
 Nulls and odd cases: vectors that are null or hold null or non-finite components take no part, nor do null
-ids; of rows that share an id the smallest vector counts; shorter vectors are read as filled up with zeros;
-a query gets all candidates if there are fewer than k; no query or no candidate gives an empty result.
+ids; rows equal in id and vector count once, others that share an id are rows of their own, as queries (each
+has its own k rows) and as candidates (also for each other); shorter vectors are read as filled up with zeros; a query gets all candidates if there are
+fewer than k; no query or no candidate gives an empty result; a table whose largest norms multiply to 2**62 or
+more is refused, as its scores may not fit a long.
 """
 
 from __future__ import annotations
@@ -18,71 +23,97 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostlens.llm.common import finite_vectors, padded
+from hostlens.llm.common import padded
+from hostlens.llm.vectors import vector_rows
 from hostlens.session import materialize
 
 BINS, QUERY_BLOCK, ROW_BLOCK = 1024, 1024, 2048
+#: Query blocks whose counts a task adds up before it sends them.
+HELD_BLOCKS = 8
 
 
 def _pack(dim: int):
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("vec_id")
+        t = t.sort_by([("vec_id", "ascending"), ("row", "ascending")])
         m = padded(t["ints"], dim).astype(np.float64)
-        return pa.table({"block": t["block"][:1], "ids": [t["vec_id"].to_numpy().astype("<i8").tobytes()], "vecs": [m.tobytes()]})
+        return pa.table({"block": t["block"][:1], "ids": [t["vec_id"].to_numpy().astype("<i8").tobytes()], "rows": [t["row"].to_numpy().astype("<i8").tobytes()],
+                         "vecs": [m.tobytes()]})
 
     return run
 
 
 def vector_blocks(vectors: DataFrame, rows: int, dim: int, count: int) -> DataFrame:
-    """block, ids, vecs: about ``rows`` vectors each as packed arrays."""
+    """block, ids, rows, vecs: about ``rows`` vectors each as packed arrays."""
     n = max(1, -(-count // rows))
-    return (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("long")).groupBy("block")
-            .applyInArrow(_pack(dim), "block long, ids binary, vecs binary"))
+    return (vectors.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n)).cast("long")).groupBy("block")
+            .applyInArrow(_pack(dim), "block long, ids binary, rows binary, vecs binary"))
+
+
+def inner_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers (as float64), as 64-bit integers."""
+    bound = np.sqrt((q * q).sum(1).max(initial=0)) * np.sqrt((c * c).sum(1).max(initial=0)) * 1.000001 + 1
+    if bound >= 2**53:
+        return q.astype(np.int64) @ c.astype(np.int64).T
+    kind = np.float32 if bound < 2**24 else np.float64
+    return (q.astype(kind) @ c.astype(kind).T).astype(np.int64)
 
 
-def _scores(row: dict, dim: int, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kind = np.float32 if small else np.float64
-    ids, qids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
-    c, q = (np.frombuffer(row[k], np.float64).reshape(-1, dim).astype(kind) for k in ("vecs", "q_vecs"))
-    return ids, qids, q @ c.T
+def _scores(row: dict, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ids, rows, q_rows = (np.frombuffer(row[k], "<i8") for k in ("ids", "rows", "q_rows"))
+    c, q = (np.frombuffer(row[k], np.float64).reshape(-1, dim) for k in ("vecs", "q_vecs"))
+    return ids, rows, q_rows, inner_products(q, c)
 
 
-def _count(dim: int, small: bool, width: int, k: int):
-    """Counts by bin from the top, as far down as this block alone makes k: the k-th value can't lie lower."""
+def _count(dim: int, width: int, k: int):
+    """Counts by bin from the top, as far down as this task alone makes k: the k-th value can't lie lower."""
+
+    def sent(q_block: int, q_rows: np.ndarray, got: np.ndarray) -> pa.RecordBatch:
+        down = got[:, ::-1].cumsum(1)[:, ::-1]
+        q, bin_ = np.nonzero((got > 0) & (down - got < k))
+        return pa.RecordBatch.from_pydict({"q_block": np.full(len(q), q_block), "query_row": q_rows[q], "bin": bin_, "n": got[q, bin_]})
 
     def run(batches):
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             for row in b.to_pylist():
-                ids, qids, s = _scores(row, dim, small)
+                _, rows, q_rows, s = _scores(row, dim)
                 lo, n = np.frombuffer(row["lo"], "<i8"), row["n_bins"]
-                at = np.floor_divide(s - lo[:, None], width).astype(np.int64)
-                use = (at >= 0) & (at < n) & (qids[:, None] != ids[None, :])
+                at = (s - lo[:, None]) // width
+                use = (at >= 0) & (at < n) & (q_rows[:, None] != rows[None, :])
                 q, _ = np.nonzero(use)
-                got = np.bincount(q * n + at[use], minlength=len(qids) * n).reshape(len(qids), n)
-                down = got[:, ::-1].cumsum(1)[:, ::-1]
-                q, bin_ = np.nonzero((got > 0) & (down - got < k))
-                yield pa.RecordBatch.from_pydict({"q_block": np.full(len(q), row["q_block"]), "query_id": qids[q], "bin": bin_, "n": got[q, bin_]})
+                got = np.bincount(q * n + at[use], minlength=len(q_rows) * n).reshape(len(q_rows), n)
+                if row["q_block"] in held:
+                    got = got + held.pop(row["q_block"])[1]
+                held[row["q_block"]] = (q_rows, got)
+                if len(held) > HELD_BLOCKS:
+                    first = next(iter(held))
+                    yield sent(first, *held.pop(first))
+        for q_block, (q_rows, got) in held.items():
+            yield sent(q_block, q_rows, got)
 
     return run
 
 
-def _take(dim: int, small: bool):
+FOUND = "query_row long, query_id long, vec_id long, row long, score long"
+
+
+def _take(dim: int):
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
-                ids, qids, s = _scores(row, dim, small)
-                lo, need = np.frombuffer(row["lo"], "<i8"), np.frombuffer(row["need"], "<i8")
-                other = qids[:, None] != ids[None, :]
+                ids, rows, q_rows, s = _scores(row, dim)
+                lo, need, q_ids = (np.frombuffer(row[x], "<i8") for x in ("lo", "need", "q_ids"))
+                other = q_rows[:, None] != rows[None, :]
                 tie = (s == lo[:, None]) & other
                 tie &= tie.cumsum(1) <= need[:, None]  # ids ascend within a block
                 q, c = np.nonzero(tie | ((s > lo[:, None]) & other))
-                yield pa.RecordBatch.from_pydict({"query_id": qids[q], "vec_id": ids[c], "score": s[q, c].astype(np.int64)})
+                yield pa.RecordBatch.from_pydict({"query_row": q_rows[q], "query_id": q_ids[q], "vec_id": ids[c], "row": rows[c], "score": s[q, c]})
 
     return run
 
 
 def _pack_state(t: pa.Table) -> pa.Table:
-    t = t.sort_by("query_id")
+    t = t.sort_by([("query_id", "ascending"), ("query_row", "ascending")])
     return pa.table({"q_block": t["q_block"][:1], **{k: [t[k].to_numpy().astype("<i8").tobytes()] for k in ("lo", "need")}})
 
 
@@ -94,43 +125,43 @@ def top_k(df: DataFrame, is_query: Column | str, k: int = 20, scale: float = 64.
     """
     ints = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x).cast("double"))
     norm = F.sqrt(F.aggregate("ints", F.lit(0.0), lambda a, x: a + x * x))
-    v = materialize(finite_vectors(df, vec_id, embedding).select("vec_id", ints.alias("ints")).withColumn("norm", norm), "topk-vectors")
+    v = materialize(vector_rows(df, vec_id, embedding).select("vec_id", "row", ints.alias("ints")).withColumn("norm", norm), "topk-vectors")
     queries = v.where(is_query)
     n, dim, most = v.agg(F.count("*"), F.max(F.size("ints")), F.max("norm")).first()
     n_q, most_q = queries.agg(F.count("*"), F.max("norm")).first()
     if not n or not n_q or not dim:
         dim, most, most_q = max(dim or 0, 1), most or 0.0, most_q or 0.0
-    bound = int(np.ceil(most * most_q)) + 1
-    if bound >= 2**53:
-        raise ValueError("scores of 2**53 and more can't be told apart exactly")
-    small = bound < 2**24
+    bound = int(np.ceil(most * most_q * 1.000001)) + 1 if most * most_q < 2**62 else 2**62
+    if bound >= 2**62:
+        raise ValueError("scores of 2**62 and more may not fit a long")
     blocks = materialize(vector_blocks(v, row_block, dim, n), "topk-rows")
-    q_blocks = vector_blocks(queries, query_block, dim, n_q).toDF("q_block", "q_ids", "q_vecs")
+    q_blocks = vector_blocks(queries, query_block, dim, n_q).toDF("q_block", "q_ids", "q_rows", "q_vecs")
     # Each query block meets each row block once: n_q / query_block copies of small packed rows.
     n_rows = max(1, -(-n // row_block))
     q_blocks = materialize(q_blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1)).cast("array<long>"))), "topk-queries")
     pairs = blocks.join(q_blocks, "block")
-    ids_of = queries.select(F.col("vec_id").alias("query_id"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n_q // query_block)))).cast("long").alias("q_block"))
+    block_of = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n_q // query_block)))).cast("long").alias("q_block")
+    state = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), block_of).withColumns({"lo": F.lit(-bound).cast("long"), "need": F.lit(k).cast("long")})
 
     width, spread = 1, 2 * bound + 1
     while width * BINS < spread:
         width *= BINS
-    state = ids_of.withColumns({"lo": F.lit(-bound).cast("long"), "need": F.lit(k).cast("long")})
     bins = -(-spread // width)
     while True:
         packed = state.groupBy("q_block").applyInArrow(_pack_state, "q_block long, lo binary, need binary").withColumn("n_bins", F.lit(bins))
-        counted = (pairs.join(packed, "q_block").mapInArrow(_count(dim, small, width, k), "q_block long, query_id long, bin long, n long")
-                   .groupBy("q_block", "query_id", "bin").agg(F.sum("n").alias("n")))
-        down = Window.partitionBy("q_block", "query_id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+        counted = (pairs.join(packed, "q_block").mapInArrow(_count(dim, width, k), "q_block long, query_row long, bin long, n long")
+                   .groupBy("q_block", "query_row", "bin").agg(F.sum("n").alias("n")))
+        down = Window.partitionBy("q_block", "query_row").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
         cut = counted.withColumn("down", F.sum("n").over(down)).withColumn("above", F.col("down") - F.col("n"))
         # The bin in which the count reaches what is needed; the lowest one if it never does.
-        cut = (cut.join(state.select("query_id", "lo", "need"), "query_id").where(F.col("above") < F.col("need"))
-               .groupBy("q_block", "query_id").agg(F.min_by(F.struct("lo", "need", "bin", "above"), "bin").alias("x")))
-        state = materialize(cut.select("query_id", "q_block", (F.col("x.lo") + F.col("x.bin") * width).alias("lo"), (F.col("x.need") - F.col("x.above")).alias("need")), "topk-state")
+        cut = (cut.join(state.select("query_row", "query_id", "lo", "need"), "query_row").where(F.col("above") < F.col("need"))
+               .groupBy("q_block", "query_row", "query_id").agg(F.min_by(F.struct("lo", "need", "bin", "above"), "bin").alias("x")))
+        state = materialize(cut.select("query_row", "query_id", "q_block", (F.col("x.lo") + F.col("x.bin") * width).alias("lo"),
+                                       (F.col("x.need") - F.col("x.above")).alias("need")), "topk-state")
         if width == 1:
             break
         bins, width = BINS, width // BINS
     packed = state.groupBy("q_block").applyInArrow(_pack_state, "q_block long, lo binary, need binary")
-    found = pairs.join(packed, "q_block").mapInArrow(_take(dim, small), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = pairs.join(packed, "q_block").mapInArrow(_take(dim), FOUND)
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Exact and approximate search against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hostlens.llm import hnsw, queries, topk
@@ -59,6 +60,40 @@ def test_top_k_large_scores_short_vectors_and_few_rows(spark):
         assert topk.top_k(few, "vec_id % 20 = 0").count() == 0
 
 
+def by_row(rows, k, of=lambda x: x):
+    """(query_id, rank, vec_id, score) of all query rows, each row a candidate of every other one."""
+    out = []
+    for i, (q_id, q) in enumerate(rows):
+        if q_id % 20 == 0:
+            s = sorted((-sum(of(a) * of(b) for a, b in zip(q, v, strict=True)), c_id) for j, (c_id, v) in enumerate(rows) if j != i)
+            out += [(q_id, r + 1, c_id, -x) for r, (x, c_id) in enumerate(s[:k])]
+    return sorted(out)
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    rows = [(i % 37, [float((i * 7) % 11 - 5), float(i % 5 - 2), float(i % 3)]) for i in range(150)] + [(3, [50.0, 0.0, 1.0]), (20, [50.0, 1.0, 0.0]), (20, [-50.0, 1.0, 0.0])]
+    rows = list(dict.fromkeys((i, tuple(v)) for i, v in rows))
+    df = spark.createDataFrame([(i, list(v), 1, "x") for i, v in rows] * 2, SCHEMA)  # and every row twice
+    got = sorted(tuple(r) for r in topk.top_k(df, "vec_id % 20 = 0", k=5, query_block=3, row_block=20).collect())
+    assert got == by_row(rows, 5, lambda x: int(64 * x))
+    near = sorted(tuple(r) for r in hnsw.nearest(df, "vec_id % 20 = 0", k=5, shard=60).collect())
+    want = by_row([r for r in rows if any(r[1])], 5)
+    # ties at the end of a list may go to another id, so scores are compared
+    assert [r[:2] for r in near] == [r[:2] for r in want]
+    assert sum(a[3] == b[3] for a, b in zip(near, want, strict=True)) >= 0.95 * len(want)
+    assert any(r[0] == 20 and r[2] == 20 for r in near)
+    assert any(r[0] == 20 and r[2] == 20 for r in got)
+
+
+def test_top_k_of_scores_beyond_53_bits(spark):
+    rows = [(0, [3e6, 1.0]), (20, [-3e6, 2.5]), (21, [3e6, 0.5]), (22, [2999999.984375, 4.0]), (40, [0.0, 1.0]), (41, [4e6, -7.0])]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, score int, ids string")
+    got = sorted(tuple(r) for r in topk.top_k(df, "vec_id % 20 = 0", k=4).collect())
+    assert got == by_row(rows, 4, lambda x: int(np.floor(64 * x))) and max(abs(r[3]) for r in got) > 2**55
+    with pytest.raises(ValueError, match="long"):
+        topk.top_k(df.unionAll(df.limit(1).withColumn("embedding", F.array(F.lit(1e12), F.lit(0.0)))), "vec_id % 20 = 0")
+
+
 def test_op9_recall_and_scores(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     v = {r.vec_id: np.array(r.embedding, np.float64) for r in df.collect()}
