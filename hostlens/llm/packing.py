@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hostlens.llm.common import chunks, shuffle_parts
 from hostlens.llm.tokens import TokenIds
+from hostlens.session import materialize
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -101,13 +102,13 @@ def _pieces(path: str, window: int, end_id: int, keep_ids: bool):
 
 def _pack(window: int, stride: int):
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
+        t = t.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("start", "ascending"), ("row", "ascending")])
         whole, length = t["whole"].to_numpy(), t["length"].to_numpy()
         where, offset = np.zeros(len(t), np.int64), np.zeros(len(t), np.int64)
         where[whole] = np.arange(whole.sum())
         where[~whole], offset[~whole] = best_fit_decreasing(length[~whole], window)
         where[~whole] += whole.sum()
-        out = t.drop_columns(["h", "whole", "bin"])
+        out = t.drop_columns(["h", "whole", "bin", "row"])
         return out.append_column("sequence_id", pa.array(t["bin"].to_numpy() * stride + where)).append_column("offset", pa.array(offset))
 
     return run
@@ -116,16 +117,19 @@ def _pack(window: int, stride: int):
 def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, keep_ids: bool = False, bin_pieces: int = 20_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ``ids``, little-endian uint32).
 
-    ``bin_pieces`` is about how many pieces a task packs together.
+    ``bin_pieces`` is about how many pieces a task packs together, whatever rows are equal: pieces are dealt over
+    bins by a number of their own, which is stored with them.
     """
     spark = docs.sparkSession
     cut = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
     ids = ", ids binary" if keep_ids else ""
     cut = cut.mapInArrow(_pieces(tokenizer, window, end_id, keep_ids), "doc_id long, h long, start long, length long, ids_crc32 long, doc_tokens long, whole boolean" + ids)
+    # stored once, so that a task that is run again deals the pieces as before
+    cut = materialize(cut.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     # A document has a piece per window at least, so its characters tell how many bins are needed.
     chars = docs.agg(F.sum(F.length("text")), F.count("*")).first()
     bins = max(1, int(((chars[0] or 0) / (2 * window) + chars[1]) / bin_pieces))
     bins = bins if bins < shuffle_parts(spark) else -(-bins // shuffle_parts(spark)) * shuffle_parts(spark)
-    cut = cut.withColumn("bin", F.pmod(F.xxhash64("h", F.floor(F.col("start") / (window * 1024))), F.lit(bins)).cast("long"))
+    cut = cut.withColumn("bin", F.pmod(F.xxhash64("h", "row"), F.lit(bins)).cast("long"))
     schema = PIECES.split(", sequence_id")[0] + ids + ", sequence_id long, offset long"
     return cut.groupBy("bin").applyInArrow(_pack(window, 1 << 32), schema)

@@ -2,7 +2,8 @@
 
 Both vocabularies cut a text into words before they merge, and no piece reaches across the start of a run
 of white space, so a text's ids are its words' ids one after the other. Texts with rarer kinds of white
-space, for which that may not hold, are encoded whole.
+space, for which that may not hold, are encoded whole, and so are texts that may quote a special token,
+which gets its one id as in the library's own call.
 """
 
 from __future__ import annotations
@@ -41,8 +42,11 @@ class TokenIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)), re.I) if special else None
+        # what all of them begin with, as far as it has no letters: most texts have none of it
+        self.mark = re.match(r"[^\w\s]*", os.path.commonprefix(special))[0]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces: dict[str, bytes] = {}
         by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -81,6 +85,9 @@ class TokenIds(dict):
             self[word] = ids
         return ids
 
+    def _may_quote(self, text: str) -> bool:
+        return self.special is not None and self.mark in text and self.special.search(text) is not None
+
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """The ids of each text as an array of ``kind``."""
         if len(self) > REMEMBERED:
@@ -89,7 +96,7 @@ class TokenIds(dict):
         for t in texts:
             if not t:
                 ids = b""
-            elif OTHER_SPACE.search(t):
+            elif self._may_quote(t) or OTHER_SPACE.search(t):
                 ids = self._whole(t)
             else:
                 ids = b"".join(map(self.__getitem__, spaced_words(t) if self.spaced else t.split()))

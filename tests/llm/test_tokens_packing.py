@@ -15,12 +15,12 @@ from hostlens.llm.tokens import TokenIds
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "The  the\n\n the\tThe", "x y　z  w  \n q", "don't DON'T 'S <|endoftext|> é é ΑΣ Σ", "word " * 30_000,
-       "a\x1cb \x85 c", "  lead", "trail  ", "\n\n\n", "99 1,000 9a9", "\U0001f600‍\U0001f600", "ﬁ Ⅷ İ"]
+       "a\x1cb \x85 c", "  lead", "trail  ", "\n\n\n", "99 1,000 9a9", "\U0001f600‍\U0001f600", "ﬁ Ⅷ İ",
+       "see <|endoftext|> here", "a<|startoftext|>b<|EndOfText|>", "<|endoftext|>", " <|endoftext|>\n\n<|pad|> <| x"]
 
 
 def by_library(name, texts, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4") for x in texts]
 
 
@@ -137,6 +137,22 @@ def test_best_fit_decreasing_by_brute_force(lengths):
         rooms[where[k]] -= lengths[k]
 
 
+def test_texts_may_quote_special_tokens():
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        added = [t.content for t in Tokenizer.from_file(public_tokenizers.path(name)).get_added_tokens_decoder().values()]
+        texts = [x + t + y for t in added for x in ("", "a", "see ", "\n") for y in ("", "b", " here", "\n\n", t)]
+        got = TokenIds.of(public_tokenizers.path(name), spaced).encode(texts)
+        assert [x.tolist() for x in got] == [x[:-1].tolist() for x in by_library(name, texts, 0)]
+
+
+def test_equal_rows_are_dealt_over_bins(spark):
+    """A third of all rows have no id and the same text."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("word "), F.col("id"))).otherwise("a b c").alias("text"))
+    got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), window=64, bin_pieces=100).withColumn("bin", F.shiftright("sequence_id", 32))
+    sizes = [r["count"] for r in got.groupBy("bin").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 200 and sum(sizes) == 3000
+
+
 def test_bins_are_bounded(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
     got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), window=64, bin_pieces=40)
