@@ -107,16 +107,29 @@ def _settle(last: bool, seed: int):
     return run
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``copy``: 0, 1, ... for the rows of equal ``h``. ``part`` is where a stored row came from; a task sees the rows of
+    one h and part, the numbers before a part are sums of counts."""
+    local = F.row_number().over(Window.partitionBy("part", "h").orderBy("part")) - 1
+    counts = rows.groupBy("h", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.withColumn("before", F.coalesce(before, F.lit(0))).where("before > 0").select(F.col("h").alias("_h"), F.col("part").alias("_part"), "before")
+    out = rows.withColumn("local", local).join(starts, (F.col("h") == F.col("_h")) & (F.col("part") == F.col("_part")), "left")
+    return out.withColumn("copy", F.col("local") + F.coalesce("before", F.lit(0))).drop("_h", "_part", "part", "local", "before")
+
+
 def balanced_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.0, most: float = 3.0,
                  seed: int = 7, block: int = BLOCK, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (= copies * size) and the ``carry`` columns.
 
     Every document gets floor or ceil of target / source_size copies, so none passes ``most`` times its size.
-    A hot source is dealt over as many blocks as it has documents for; blocks depend on ids and counts only,
-    so reruns agree on any cluster.
+    A hot source is dealt over as many blocks as it has documents for, rows that are equal included, which are
+    numbered for that; blocks depend on the rows and their counts only, so reruns agree on any cluster.
     """
     spark = docs.sparkSession
-    sizes = materialize(docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("doc_id", F.lit(seed)).alias("h"), *carry), "mix-sizes")
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("doc_id", "source", "text", F.lit(seed), *carry).alias("h"), *carry)
+    sizes = numbered(materialize(sizes.withColumn("part", F.spark_partition_id()), "mix-rows"))
+    sizes = materialize(sizes.withColumn("h", F.xxhash64("h", "copy")).drop("copy"), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, most), "mix-targets")
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

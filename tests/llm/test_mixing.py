@@ -5,6 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from hostlens.llm import mixing, queries
 
 SF = "/root/testdata/sf0.01"
@@ -84,3 +86,21 @@ def test_hot_source_over_many_blocks_and_odd_rows(spark):
     assert [r.target for r in got if r.source == "empty"] == [0.0]
     assert mixing.balanced_mix(df.limit(0)).count() == 0
     assert mixing.balanced_mix(df.where("source = 'empty'")).first().taken == 0
+
+
+def test_rows_without_an_id_are_dealt_over_blocks_and_reruns_agree(spark):
+    """A third of all rows is one row; however the table is partitioned, the same rows are taken as often."""
+    rows = [(None, "a b c", "hot")] * 2000 + [(i, "w " * (i % 50 + 1), "hot" if i % 2 else "cold") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = []
+    for parts in (1, 5):
+        out = mixing.balanced_mix(df.repartition(parts), block=128)
+        taken.append(sorted(map(str, out.groupBy("doc_id", "source", "size", "copies").count().collect())))
+    assert taken[0] == taken[1]
+    for parts in (1, 4):
+        marked = df.repartition(parts).select(F.xxhash64("doc_id", "text", "source").alias("h"), F.spark_partition_id().alias("part"))
+        got = mixing.numbered(spark.createDataFrame(marked.collect(), marked.schema))
+        per = got.groupBy("h").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("kinds"), F.max("copy").alias("last"))
+        assert got.count() == 6000 and per.where("n <> kinds or last <> n - 1").count() == 0
+        blocks = got.groupBy(F.pmod(F.xxhash64("h", "copy"), F.lit(32))).count().agg(F.max("count")).first()[0]
+        assert blocks < 2 * 6000 / 32
