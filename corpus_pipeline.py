@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostlens.llm import mixing, neardup, packing, pii, quality
-from hostlens.llm.common import table, with_copies
+from hostlens.llm.common import row_hash, table, with_copies
 from hostlens.llm.queries import pii_field, tokenizer_path
 from hostlens.session import materialize
 
@@ -33,7 +33,7 @@ def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, or up to three times."""
-    marked = docs.select("doc_id", "text", "source", F.xxhash64(*docs.columns).alias("_row"))
+    marked = docs.select("doc_id", "text", "source", row_hash(docs).alias("_row"))
     mix = mixing.balanced_mix(marked, weights=(5, 2, 1), most=3.0, carry=("_row",))
     return with_copies(docs, mix.groupBy("doc_id", "_row").agg(F.sum("copies").alias("copies"), F.count("*").alias("times")), mark="")
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: Words of a text: runs of anything but ASCII white space. ``bytes.split()`` cuts at the same characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,15 +43,27 @@ def doc_key(text: str = "text") -> list[Column]:
     return [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_id"), F.xxhash64(F.col("doc_id").isNull(), text).alias("_row")]
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; maps, which have no order, count by their sorted entries."""
+    def plain(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        return F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c
+
+    return F.xxhash64(*[plain(f) for f in docs.schema.fields])
+
+
 def with_copies(docs: DataFrame, decisions: DataFrame, mark: str = "text") -> DataFrame:
     """The rows of ``docs`` as often as decided: ``decisions`` has doc_id, _row (hash of the column ``mark``, or of all
-    columns if that is empty), copies, and times: how many rows that is said of, which then count as one."""
+    columns if that is empty), copies, and times: how many rows that is said of, which then count as one, the one of
+    the smallest hash."""
     total = decisions.where("copies > 0").select("doc_id", "_row", "copies", "times")
-    keep, mine = [f"`{c}`" for c in docs.columns], F.xxhash64(*([mark] if mark else docs.columns))
+    keep, mine = [f"`{c}`" for c in docs.columns], F.xxhash64(mark) if mark else row_hash(docs)
     side = total.toDF("__id", "__row", "__copies", "__times")
     rows = docs.withColumn("__mark", mine).join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__row")))
     if not total.where("times > 1").isEmpty():
-        rows = rows.where("__times = 1").unionAll(rows.where("__times > 1").dropDuplicates(["__id", "__row"]))
+        shared = rows.where("__times > 1").select("__id", "__row", "__copies", F.struct(*keep).alias("__whole"), row_hash(docs).alias("__hash"))
+        shared = shared.groupBy("__id", "__row").agg(F.min_by("__whole", "__hash").alias("__whole"), F.min("__copies").alias("__copies"))
+        rows = rows.where("__times = 1").select(*keep, "__copies").unionAll(shared.select("__whole.*", "__copies"))
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*keep)
 
 

@@ -127,9 +127,13 @@ def balanced_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: f
     numbered for that; blocks depend on the rows and their counts only, so reruns agree on any cluster.
     """
     spark = docs.sparkSession
-    sizes = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("doc_id", "source", "text", F.lit(seed), *carry).alias("h"), *carry)
-    sizes = numbered(materialize(sizes.withColumn("part", F.spark_partition_id()), "mix-rows"))
-    sizes = materialize(sizes.withColumn("h", F.xxhash64("h", "copy")).drop("copy"), "mix-sizes")
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("doc_id", "source", "text", F.lit(seed)).alias("row"), *carry)
+    sizes = materialize(sizes.withColumn("h", F.xxhash64("row", *carry)).withColumn("part", F.spark_partition_id()), "mix-rows")
+    # The carried columns decide only between rows that differ in nothing else.
+    torn = sizes.groupBy("row").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most").select(F.col("row").alias("_row2"))
+    sizes = numbered(sizes).join(torn, F.col("row") == F.col("_row2"), "left")
+    h = F.when(F.col("_row2").isNull(), F.xxhash64("row", "copy")).otherwise(F.xxhash64("row", "h", "copy"))
+    sizes = materialize(sizes.withColumn("h", h).drop("copy", "row", "_row2"), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, most), "mix-targets")
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -203,3 +203,18 @@ def test_stages_on_odd_rows_and_clashing_columns(spark):
 def test_spelt_out_addresses_in_any_case(field, text):
     assert pii.pieces(text)
     assert [kind for _, kind, _ in pii.added_spans([text], [[]], field)[0]] == [kind for _, kind, _ in pii.added_spans([text.lower()], [[]], field)[0]]
+
+
+def test_map_columns_and_one_choice_among_rows_of_one_id(spark):
+    """Rows of equal id and text: the same one stays however the table is partitioned; a map column is kept."""
+    rows = [(1, "same text here", s, {"b": 1, "a": i}, "many") for i, s in enumerate("pqrt")] + [(2, "other words", "p", None, "few"), (None, "x y z", "q", {}, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tags map<string,int>, n_chars string")
+    stays, mixes = set(), set()
+    for parts in (1, 3, 7):
+        df = docs.repartition(parts)
+        kept = corpus_pipeline.distinct_documents(spark, df, SF)
+        stays.add(str(sorted(map(str, kept.collect()))))
+        mixes.add(str(sorted(map(str, corpus_pipeline.mixed_documents(spark, kept, SF).collect()))))
+        assert kept.columns == docs.columns and kept.count() == 3
+        assert pii.mask(kept, queries.pii_field(spark)).count() == 3
+    assert len(stays) == 1 and len(mixes) == 1
