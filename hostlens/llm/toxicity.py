@@ -8,6 +8,8 @@ log-likelihoods; a document is compared by the means over all its characters and
 words, each by length, and logistic regression on labelled rows that the counts haven't seen makes a
 probability of them.
 
+A character from U+07C0 on is two symbols of the model, so that no two characters are taken for one.
+
 The model keeps every gram of the labelled rows. It is broadcast up to a bound; a larger one stays a stored
 table, and blocks of documents fetch the part of it that their words ask for. Both give the same features.
 
@@ -37,6 +39,8 @@ from hostlens.llm.labelled import held_out, training_labels
 from hostlens.session import materialize
 
 ORDER, BITS, DISCOUNT, START, END = 5, 12, 0.75, "\x01", "\x02"
+#: Code points below are one symbol. 1088 upper parts and 1024 lower ones of all others make 4096 symbols in all.
+PAIRED = 1984
 EDGES = string.punctuation + "…“”„«»‘’¿¡–—"
 #: Distinct words that a task holds before it passes its counts on, and that a scoring worker remembers.
 HELD, REMEMBERED = 200_000, 500_000
@@ -45,10 +49,21 @@ BLOCK_BYTES = 16 << 20
 FEATURES = ("overall", "peak", "peak_mean", "peak_long", "log_words")
 
 
+def symbols(points: np.ndarray) -> np.ndarray:
+    """Code points as numbers below 2**BITS, each text as one sequence of its own: a point from PAIRED on is two
+    symbols, its upper bits and its lower ten, of ranges of their own."""
+    pair = points >= PAIRED
+    if not pair.any():
+        return points
+    out = np.repeat(points, 1 + pair)
+    first = (np.cumsum(1 + pair) - 2)[pair]
+    out[first], out[first + 1] = PAIRED + (points[pair] >> 10), PAIRED + 1088 + (points[pair] & 1023)
+    return out
+
+
 def five_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Packed characters, the last one being predicted, and the number of the word each belongs to."""
-    text = np.frombuffer("".join(START * (ORDER - 1) + w + END for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    text = np.where(text < 2048, text, 2048 + text % 2048)
+    text = symbols(np.frombuffer("".join(START * (ORDER - 1) + w + END for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64))
     at = np.flatnonzero(text != 1)
     key = np.zeros(len(at), np.int64)
     for k in range(ORDER):

@@ -139,6 +139,18 @@ def test_a_model_above_the_broadcast_bound_keeps_every_gram(spark, monkeypatch):
     assert max(abs(whole[k] - joined[k]) for k in whole) < 1e-6
 
 
+def test_no_two_characters_are_taken_for_one():
+    points = np.array([*range(1, 5000), *range(0x4DF0, 0x5700), 0xFFFF, 0x10000, 0x1F600, 0x10FFFF])
+    coded = {tuple(toxicity.symbols(np.array([p])).tolist()) for p in points.tolist()}
+    assert len(coded) == len(points) and max(max(c) for c in coded) < 1 << toxicity.BITS
+    assert {len(c) for c in coded} == {1, 2} and not {c[0] for c in coded if len(c) == 2} & {c[-1] for c in coded}
+    whole = toxicity.symbols(points).tolist()
+    assert whole == [x for p in points.tolist() for x in toxicity.symbols(np.array([p])).tolist()]
+    a, b = (set(toxicity.five_grams([w])[0].tolist()) for w in ("一", "嘀"))
+    assert a.isdisjoint(b) and len(toxicity.five_grams(["一x", "y"])[0]) == 4 + 2
+    assert toxicity.five_grams(["一x", "y"])[1].tolist() == [0] * 4 + [1] * 2
+
+
 def test_every_gram_and_start_of_a_large_model_is_there(spark):
     words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklm" for c in "nopq"]
     docs = spark.createDataFrame([(i, w, i % 2) for i, w in enumerate(words)], "doc_id long, text string, label int")
