@@ -655,7 +655,7 @@ GROUP BY thousands""", "calendar_raw")
 
 # ---- the same results by other ways of storing and reading ----------------------------------
 ORACLE["csv_split_quoted"] = ORACLE["csv_scan_quoted"]
-ORACLE["csv_split_multiline"] = ORACLE["csv_scan_plain"]
+ORACLE["csv_split_multiline"] = ORACLE["csv_scan_spread"] = ORACLE["csv_scan_plain"]
 ORACLE["occupancy_appended"] = ORACLE["occupancy_bucketed"] = ORACLE["occupancy_panel"]
 ORACLE["index_keep_table"] = ORACLE["index_keep"]
 ORACLE["index_error_table"] = ORACLE["index_error"]

@@ -98,13 +98,30 @@ toward towards two under until up upon us very via was we well were what whateve
 while who whoever whole whom whose why will with within without would yet you your yours yourself yourselves
 """.split()
 
+
+
+def english_stop_words() -> list[str]:
+    """The list that a vectoriser's ``stop_words='english'`` names, where scikit-learn is installed; an own one otherwise."""
+    try:
+        from sklearn.feature_extraction.text import ENGLISH_STOP_WORDS as named
+    except ImportError:
+        return ENGLISH_STOP_WORDS
+    return sorted(named)
+
+
 # Generic default lexicon (own values, English review vocabulary).
 DEFAULT_LEXICON: dict[str, float] = {
-    "amazing": 0.6, "awful": -1.0, "bad": -0.7, "beautiful": 0.85,
-    "broken": -0.4, "clean": 0.37, "comfortable": 0.4, "dirty": -0.6,
-    "excellent": 1.0, "great": 0.8, "good": 0.7, "lovely": 0.5,
-    "nice": 0.6, "noisy": -0.4, "perfect": 1.0, "rude": -0.3,
-    "small": -0.25, "terrible": -1.0, "worst": -1.0,
+    "amazing": 0.6, "annoying": -0.6, "attentive": 0.4, "awesome": 0.9, "awful": -1.0, "bad": -0.7, "beautiful": 0.85, "best": 1.0,
+    "boring": -0.6, "bright": 0.5, "broken": -0.4, "charming": 0.7, "cheerful": 0.6, "clean": 0.37, "cold": -0.3, "comfortable": 0.4,
+    "comfy": 0.4, "convenient": 0.35, "cozy": 0.4, "cramped": -0.4, "dated": -0.2, "delicious": 0.9, "delightful": 0.9, "dirty": -0.6,
+    "disappointed": -0.7, "disappointing": -0.65, "disgusting": -1.0, "dusty": -0.4, "enjoyable": 0.5, "enjoyed": 0.5, "excellent": 1.0,
+    "fabulous": 0.8, "fantastic": 0.85, "filthy": -0.8, "fine": 0.35, "friendly": 0.45, "fresh": 0.3, "fun": 0.3, "gorgeous": 0.8,
+    "great": 0.8, "good": 0.7, "happy": 0.75, "hate": -0.8, "helpful": 0.45, "horrible": -1.0, "hospitable": 0.5, "ideal": 0.85,
+    "impeccable": 0.75, "incredible": 0.85, "kind": 0.55, "leaking": -0.4, "lousy": -0.6, "love": 0.55, "loved": 0.65, "lovely": 0.5,
+    "mediocre": -0.45, "modern": 0.25, "nice": 0.6, "noisy": -0.4, "outstanding": 0.75, "overpriced": -0.5, "peaceful": 0.45, "perfect": 1.0,
+    "pleasant": 0.7, "poor": -0.45, "quiet": 0.2, "relaxing": 0.45, "rude": -0.3, "rusty": -0.3, "safe": 0.45, "small": -0.25,
+    "smelly": -0.5, "spacious": 0.35, "spotless": 0.6, "stunning": 0.6, "superb": 0.95, "terrible": -1.0, "thoughtful": 0.4, "tidy": 0.35,
+    "ugly": -0.7, "uncomfortable": -0.5, "unpleasant": -0.65, "unsafe": -0.5, "warm": 0.45, "welcoming": 0.5, "wonderful": 1.0, "worst": -1.0,
 }
 DEFAULT_NEGATORS = ["never", "no", "not"]
 

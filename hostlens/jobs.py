@@ -106,7 +106,7 @@ def review_analysis_job(spark: SparkSession, listings_path: str, reviews_path: s
                         stop_words: str | None = None, lexicon: str | None = None) -> str:
     """``stop_words``: a text file of one word per line (default: the English list; an empty file means none).
     ``lexicon``: a Parquet table (word, polarity), joined in (default: the small built-in one)."""
-    stop_words = T.ENGLISH_STOP_WORDS if stop_words is None else [r.value.strip() for r in spark.read.text(stop_words).collect() if r.value.strip()]
+    stop_words = T.english_stop_words() if stop_words is None else [r.value.strip() for r in spark.read.text(stop_words).collect() if r.value.strip()]
     words = spark.read.parquet(lexicon) if lexicon else T.DEFAULT_LEXICON
     comments = reviews.comment_rows(table(spark, listings_path), table(spark, reviews_path), words,
                                     keep_review_id=True)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .selection import exact_median
+
 
 def count_per_key(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     """Non-NULL key occurrences per key."""
@@ -96,7 +98,8 @@ def pivot_counts(df: DataFrame, keys: Sequence[Column | str], pivot: str,
     return out.fillna(0, subset=list(values))
 
 
-def median_of(df: DataFrame, value: str) -> float | None:
-    """Exact median of a small (already aggregated) column, as a scalar."""
-    row = df.agg(F.median(value).alias("m")).first()
-    return None if row is None else row["m"]
+def median_of(df: DataFrame, value: str, small: int = 1_000_000) -> float | None:
+    """Exact median of a column, as a scalar: in one buffer up to ``small`` rows, by distributed selection beyond."""
+    if df.limit(small + 1).count() <= small:
+        return df.agg(F.median(value).alias("m")).first()["m"]
+    return exact_median(df, value, name="m").first()["m"]

@@ -89,8 +89,8 @@ def lookahead_value(grid: DataFrame, extra_keys: Sequence[str] = (), gamma: floa
     best_next = (grid.groupBy(*extra_keys, "segment").agg(F.max("avg_reward").alias("__next_best"))
                      .withColumnRenamed("segment", "next_segment"))
     g = grid.withColumn("next_segment", next_segment(F.col("segment"), F.col("action")))
-    # one row per (extra keys, segment): at most 8 segments per replicate by construction
-    out = g.join(F.broadcast(best_next), on=[*extra_keys, "next_segment"], how="left")
+    # without extra keys at most 8 rows; with them as many times 8 as there are replicates, for Spark to decide on
+    out = g.join(best_next if extra_keys else F.broadcast(best_next), on=[*extra_keys, "next_segment"], how="left")
     return out.withColumn("value", F.col("avg_reward") + F.lit(gamma) * F.coalesce(F.col("__next_best"), F.lit(0.0))) \
               .drop("__next_best")
 

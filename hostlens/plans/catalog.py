@@ -176,6 +176,12 @@ def _calendar_text_with_bad_fields(spark, sf):
     )
 
 
+@query("csv_scan_spread")
+def q_csv_scan_spread(spark, sf):
+    """Multi-line CSV read in one task a file and dealt out round robin to 24 partitions."""
+    return io.csv_roundtrip(B.reviews_raw(spark, sf), "reviews-csv", REVIEWS_RAW, partitions=24)
+
+
 @query("csv_permissive")
 def q_csv_permissive(spark, sf):
     """Fields that do not fit the declared type become NULL; rows stay."""

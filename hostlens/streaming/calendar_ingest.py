@@ -14,6 +14,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ..operators.clean import dedup
 from ..plans.etl import clean_calendar
@@ -69,10 +70,11 @@ def current_calendar(spark: SparkSession, sink_dir: str, snapshot_dir: str | Non
     With ``snapshot_dir``: the latest compacted snapshot plus only the
     batches written after it (older batch folders are no longer read).
     """
-    staged = spark.read.parquet(sink_dir)
     snap, upto = _latest_snapshot(spark, snapshot_dir)
-    if snap is not None:
-        staged = staged.where(F.col("batch_id") > upto)
+    if snap is None:
+        staged = spark.read.parquet(sink_dir)
+    else:  # the batches up to the snapshot may be gone, all of them even
+        staged = spark.read.schema(StructType(snap.schema.fields).add("batch_id", IntegerType())).parquet(sink_dir).where(F.col("batch_id") > upto)
     rows = staged.drop("batch_id")
     if snap is not None:
         rows = snap.unionByName(rows)

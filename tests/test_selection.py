@@ -41,6 +41,14 @@ def test_exact_median_of_infinite_values_hot_groups_and_nothing(spark):
     assert selection.exact_median(df.where("g = 'hot'").select(F.col("x").cast("int").alias("x")), "x").first()["median"] == 499.5
 
 
+def test_median_of_a_column_of_any_size(spark):
+    from hostlens.operators.aggregates import median_of
+
+    df = spark.range(1001).selectExpr("cast(id * id % 613 as double) x")
+    assert median_of(df, "x") == median_of(df, "x", small=10) == df.agg(F.median("x")).first()[0]
+    assert median_of(df.limit(0), "x") is None and median_of(df.limit(0), "x", small=-1) is None
+
+
 def labels(spark):
     rng = random.Random(3)
     values = [f"l{int(rng.paretovariate(0.6)) % 400}" for _ in range(3000)] + ["tie1", "tie2", "Tie3", "é", ""] * 4 + [None] * 7

@@ -57,8 +57,10 @@ def test_compaction_snapshot_plus_new_batches(spark, tmp_path):
     for got in (current_calendar(spark, str(sink), str(snaps)), current_calendar(spark, str(sink))):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert compact_calendar(spark, str(sink), str(snaps)) == 1
-    got = current_calendar(spark, str(sink), str(snaps))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    (tmp_path / "emptied").mkdir()  # a sink whose batches, all covered by the snapshot, have been removed
+    for folder in (sink, tmp_path / "emptied"):
+        got = current_calendar(spark, str(folder), str(snaps))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_two_drops_across_a_restart(spark, tmp_path):
