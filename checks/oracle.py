@@ -681,7 +681,7 @@ def _sql_map(values: dict, key=str) -> str:
 _ENTRY = (f"((?:<(?:{'|'.join(_FACTORS)})>)*?)("
           + "|".join(_marked(p) for p in sorted(_PHRASES, key=lambda p: (-p.count(" "), p))) + ")")
 oracle("sentiment_phrases", f"""
-SELECT id AS review_id, round(CASE WHEN len(hits) = 0 THEN 0.0 ELSE list_aggregate(hits, 'sum') / len(hits) END, 6) AS sentiment_score
+SELECT id AS review_id, round(CASE WHEN len(hits) = 0 THEN 0.0 ELSE list_aggregate(hits, 'sum') / len(hits) END, 6) + 0.0 AS sentiment_score
 FROM (SELECT id, list_transform(regexp_extract_all(marked, '{_ENTRY}'), lambda m:
                greatest(-1.0, least(1.0, {_sql_map(_PHRASES, _marked)}[regexp_extract(m, '{_ENTRY}', 2)]
                  * coalesce(list_aggregate(list_transform(regexp_extract_all(regexp_extract(m, '{_ENTRY}', 1), '<([^>]*)>', 1),
