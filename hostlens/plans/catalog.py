@@ -140,25 +140,29 @@ def q_csv_scan_plain(spark, sf):
     return io.csv_roundtrip(B.reviews_raw(spark, sf), "reviews-csv", REVIEWS_RAW)
 
 
-def _one_csv_file(df, name):
-    """``df`` as a single CSV file (its folder), and a split size that gives it at least 12 splits."""
+LARGEST_SPLIT = 32 << 20
+
+
+def _csv_in_splits(df, name):
+    """``df`` as CSV files (their folder) and a split size that cuts them into at least 12 splits, the largest one into
+    at least 4. The files are of the advisory partition size: a single one would have to pass through one task."""
     path = scratch_path(df.sparkSession, name)
-    io.write_csv(df.coalesce(1), path)
-    length = df.sparkSession.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    return path, max(1, length // 12)
+    io.write_csv(df.hint("rebalance"), path)
+    total, largest = df.sparkSession.read.format("binaryFile").load(path).agg(F.sum("length"), F.max("length")).first()
+    return path, max(1, min((total or 0) // 12, (largest or 0) // 4, LARGEST_SPLIT))
 
 
 @query("csv_split_quoted")
 def q_csv_split_quoted(spark, sf):
-    """Listings in one CSV file, read in splits that cut through quoted fields."""
-    path, split = _one_csv_file(B.listings_raw(spark, sf), "listings-one-csv")
+    """Listings in CSV files, read in splits that cut through quoted fields."""
+    path, split = _csv_in_splits(B.listings_raw(spark, sf), "listings-split-csv")
     return csv_split.read_csv_split(spark, path, LISTINGS_RAW, split_bytes=split)
 
 
 @query("csv_split_multiline")
 def q_csv_split_multiline(spark, sf):
-    """Multi-line review texts in one CSV file, read in splits."""
-    path, split = _one_csv_file(B.reviews_raw(spark, sf), "reviews-one-csv")
+    """Multi-line review texts in CSV files, read in splits."""
+    path, split = _csv_in_splits(B.reviews_raw(spark, sf), "reviews-split-csv")
     return csv_split.read_csv_split(spark, path, REVIEWS_RAW, split_bytes=split)
 
 
