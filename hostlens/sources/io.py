@@ -101,9 +101,13 @@ def parquet_roundtrip(df: DataFrame, name: str, *, compression: str = "lz4") ->
 
 
 def csv_roundtrip(df: DataFrame, name: str, schema: StructType | str, **read_options) -> DataFrame:
-    """Write ``df`` as CSV to shared scratch and read it back with ``schema``."""
+    """Write ``df`` as CSV to shared scratch and read it back with ``schema``.
+
+    A file of multi-line CSV is read by one task, so the rows are first dealt out to files of the advisory
+    partition size: however few partitions ``df`` has, no file grows with the table.
+    """
     path = scratch_path(df.sparkSession, name)
-    write_csv(df, path)
+    write_csv(df.hint("rebalance"), path)
     return read_csv_table(df.sparkSession, path, schema, **read_options)
 
 

@@ -49,7 +49,7 @@ def _same(a, b):
     assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("key", ["csv_split_multiline", "csv_split_quoted"])
+@pytest.mark.parametrize("key", ["csv_split_multiline", "csv_split_quoted", "csv_scan_plain", "csv_scan_quoted"])
 def test_csv_files_stay_small(spark, tables, written, key):
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(size)
