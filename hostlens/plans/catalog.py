@@ -985,15 +985,20 @@ def q_reward_grid_model(spark, sf):
 
 # ---- streaming ingest of the same cleaning -------------------------------------------------
 
+DROPS, ROWS_PER_FILE = 4, 500_000
+
+
 @query("calendar_stream_ingest")
 def q_calendar_stream_ingest(spark, sf):
     """Calendar CSV files streamed through the incremental cleaning (several
-    micro-batches), read back as the current table."""
+    micro-batches), read back as the current table. More rows make more files,
+    not larger ones."""
     from ..streaming import current_calendar, ingest_calendar
-    src = scratch_path(spark, "calendar-drops")
-    io.write_csv(B.calendar_raw(spark, sf).repartition(4), src)
+    src, raw = scratch_path(spark, "calendar-drops"), B.calendar_raw(spark, sf)
+    files = max(1, -(-raw.count() // (DROPS * ROWS_PER_FILE)))  # of each micro-batch
+    io.write_csv(raw.repartition(DROPS * files), src)
     sink = scratch_path(spark, "calendar-stream")
-    ingest_calendar(spark, src, sink, scratch_path(spark, "calendar-ckpt"), max_files_per_trigger=1).awaitTermination()
+    ingest_calendar(spark, src, sink, scratch_path(spark, "calendar-ckpt"), max_files_per_trigger=files).awaitTermination()
     return current_calendar(spark, sink)
 
 

@@ -62,3 +62,10 @@ def test_csv_files_stay_small(spark, tables, written, key):
         spark.conf.set(size, old)
     sizes = [p.stat().st_size for p in Path(written[0]).glob("part-*")]
     assert sum(sizes) > 2_000_000 and max(sizes) < sum(sizes) / 3
+
+
+def test_more_drops_files_not_larger_ones(spark, tables, written, monkeypatch):
+    monkeypatch.setattr(cat, "ROWS_PER_FILE", 150, raising=False)
+    _same(cat.QUERIES["calendar_stream_ingest"](spark, tables), clean_calendar(B.calendar_raw(spark, tables)))
+    rows = [len(p.read_text().splitlines()) - 1 for p in Path(written[0]).glob("part-*")]
+    assert sum(rows) == 2000 and max(rows) <= 160
