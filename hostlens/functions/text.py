@@ -183,6 +183,10 @@ def clipped(polarity) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), polarity))
 
 
+# Symbols of words in a marked text: private use characters, which no pattern and no token gives a meaning to.
+_SYMBOLS = [*range(0xE000, 0xF900), *range(0xF0000, 0xFFFFE), *range(0x100000, 0x10FFFE)]
+
+
 def phrase_sentiment_from_tokens(token_array, lexicon: Mapping[str, float], mods: Mapping[str, float]) -> Column:
     """Mean polarity of the lexicon's words and phrases (words with one space between them) in a token array.
 
@@ -190,33 +194,35 @@ def phrase_sentiment_from_tokens(token_array, lexicon: Mapping[str, float], mods
     The modifiers directly in front of it, as far as no other entry has taken them, multiply its polarity, which
     is then cut to -1 .. 1. No entry gives 0.0.
 
-    One ``aggregate`` that looks at a token once the longest entry's number of tokens has been read, so the array
-    is referenced once (it is followed by as many nulls as that takes).
+    Each token becomes one character: a symbol of its own for a word of an entry or a modifier, a space for any
+    other. One pattern then goes through the text: modifiers, as few as it takes, and behind them the longest
+    entry, or else what ends the run of modifiers. Every match begins where the last one ended, so a text takes
+    time in proportion to its length. Only the matches are looked at one by one, and the array is referenced once.
     """
-    longest = longest_phrase(lexicon)
-    lex, factor = number_map(lexicon), number_map(mods)
-    nothing = F.lit(None).cast("string")
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(0).alias("skip"), F.lit(1.0).alias("mod"),
-                    F.array_repeat(nothing, longest - 1).alias("w"))
-
-    def step(acc, t):
-        seen = F.concat(acc["w"], F.array(t))
-        head = F.get(seen, F.lit(0))
-        entry = [F.when(head.isNotNull() & F.get(seen, F.lit(n - 1)).isNotNull(), lex[F.array_join(F.slice(seen, 1, n), " ")]) for n in range(longest, 0, -1)]
-        polarity, words = F.coalesce(*entry), F.lit(0)
-        for n, e in zip(range(1, longest + 1), reversed(entry), strict=True):
-            words = F.when(e.isNotNull(), F.lit(n)).otherwise(words)
-        hit = (acc["skip"] == 0) & polarity.isNotNull()
-        idle = (acc["skip"] > 0) | polarity.isNotNull()
-        return F.struct(
-            F.when(hit, acc["s"] + clipped(polarity * acc["mod"])).otherwise(acc["s"]).alias("s"),
-            F.when(hit, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
-            F.when(hit, words - 1).otherwise(F.greatest(acc["skip"] - 1, F.lit(0))).alias("skip"),
-            F.when(idle, F.lit(1.0)).otherwise(F.coalesce(acc["mod"] * factor[head], F.lit(1.0))).alias("mod"),
-            F.slice(seen, 2, longest - 1).alias("w") if longest > 1 else acc["w"].alias("w"))
-
-    padded = F.concat(col_of(token_array), F.array_repeat(nothing, longest - 1)) if longest > 1 else col_of(token_array)
-    return F.aggregate(padded, zero, step, lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)))
+    if not lexicon:
+        return F.when(col_of(token_array).isNotNull(), F.lit(0.0))
+    words = sorted({w for entry in lexicon for w in entry.split(" ")} | set(mods))
+    symbol = {w: chr(c) for w, c in zip(words, _SYMBOLS, strict=False)}
+    if len(symbol) < len(words):
+        raise ValueError(f"a lexicon of more than {len(_SYMBOLS)} words is to be joined in as a table")
+    spelled = {"".join(symbol[w] for w in entry.split(" ")): float(v) for entry, v in lexicon.items()}
+    kinds = "".join(symbol[w] for w in sorted(mods))
+    before, other = (f"[{kinds}]*?", f"[^{kinds}]") if mods else ("", ".")
+    entries = "|".join(sorted(spelled, key=lambda e: (-len(e), e)))
+    names = F.create_map(*[F.lit(x) for w in words for x in (w, symbol[w])])
+    polarity, factor = number_map(spelled), number_map({symbol[w]: v for w, v in mods.items()})
+
+    marked = F.array_join(F.transform(col_of(token_array), lambda t: F.coalesce(names[t], F.lit(" "))), "")
+    # a space behind each match and a comma between modifiers and entry; matches without an entry are left out
+    matches = F.split(F.regexp_replace(marked, f"({before})(?:({entries})| +|{other}|$)", "$1,$2 "), " ")
+    found = F.filter(matches, lambda m: (m != "") & ~F.endswith(m, F.lit(",")))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+
+    def step(acc, m):
+        run = F.aggregate(F.regexp_extract_all(F.substring_index(m, ",", 1), F.lit("."), F.lit(0)), F.lit(1.0), lambda f, w: f * factor[w])
+        return F.struct((acc["s"] + clipped(polarity[F.substring_index(m, ",", -1)] * run)).alias("s"), (acc["n"] + 1).alias("n"))
+
+    return F.aggregate(found, zero, step, lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)))
 
 
 def sentiment_category(score, upper: float = 0.2, lower: float = -0.2) -> Column:

@@ -62,3 +62,26 @@ def test_lexicon_tables_other_negation_and_defaults(spark):
     big = {f"word{i}": 0.5 for i in range(TX.MAP_WORDS)} | {"not good": -0.2}
     assert TX.with_phrase_sentiment(df, "body", big).where("sentiment_score = -0.2").count() == 1
     assert TX.with_phrase_sentiment(df.limit(0), "body", big).count() == 0
+
+
+def test_long_runs_and_the_price_of_a_word(spark):
+    """One text of modifiers only, and phrases at a few times the price of taking the words out of the texts."""
+    import time
+
+    from pyspark.sql import functions as F
+    n = 100_000
+    df = spark.createDataFrame([(1, "very " * n), (2, "really " * n + "x"), (3, "not " * n + "clean"), (4, "good " * n), (5, "not " * (n + 1) + "clean")], "id int, body string")
+    lexicon = {k: v for k, v in LEXICON.items() if k != "very"}
+    got = {r["id"]: round(r["s"], 6) for r in TX.with_phrase_sentiment(df, "body", lexicon, NEGATORS, MODS, name="s", join=False).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 0.4, 4: 0.9, 5: -0.4}
+
+    rng = random.Random(8)
+    words = [*LEXICON, *MODS, *NEGATORS, *(f"word{i}" for i in range(40))]
+    many = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(400))) for i in range(3000)], "id int, body string").repartition(4).persist()
+    took = {}
+    for name, c in (("tokens", T.tokens("body")), ("score", T.phrase_sentiment_from_tokens(T.tokens("body"), LEXICON, T.modifiers(NEGATORS, MODS, -1.0)))) * 3:
+        began = time.monotonic()
+        many.select(F.col("id"), c.alias("c")).write.format("noop").mode("overwrite").save()
+        took[name] = min(took.get(name, 1e9), time.monotonic() - began)
+    many.unpersist()
+    assert took["score"] < 8 * took["tokens"] + 0.5, took
