@@ -20,6 +20,24 @@ from pyspark.sql import functions as F
 FOREST_TRAINING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
 
 
+# A forest keeps its training rows in memory, some hundred bytes each, and reads them all at every level.
+ROWS_PER_TASK = 200_000
+
+
+def spread_rows(df: DataFrame, most: int | None = None) -> DataFrame:
+    """``df`` as it is if no partition has more than ``most`` rows, else dealt out evenly to partitions of no more.
+
+    Stored rows of few distinct values take a few bytes each, so a scan puts millions of them into one partition.
+    One pass counts the rows; ``df`` should be stored.
+    """
+    most = most or ROWS_PER_TASK
+    sizes = df.groupBy(F.spark_partition_id().alias("part")).count()
+    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    if (largest or 0) <= most:
+        return df
+    return df.repartition(max(-(-rows // most), df.sparkSession.sparkContext.defaultParallelism))
+
+
 def as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Imputer keeps an integer input integer (mean 2.5 -> 2); cast first."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})

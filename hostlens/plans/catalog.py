@@ -802,7 +802,7 @@ def q_price_model_one_split(spark, sf):
     """The price forest with one tree and one split: its exact predictions for all listings."""
     df = materialize(ML.as_double(training_table(spark, sf), STUMP_PRICE), "training-table")
     train, _ = PM.split(df, 0.8, bucket=_id_bucket())
-    return rounded(ML.one_split(STUMP_PRICE, PM.LABEL, classes=False).fit(train).transform(df).select("id", "prediction"))
+    return rounded(ML.one_split(STUMP_PRICE, PM.LABEL, classes=False).fit(ML.spread_rows(train)).transform(df).select("id", "prediction"))
 
 
 @query("feature_importance")
@@ -909,7 +909,7 @@ def _one_split_models(spark, root):
     for seg in OM.SEGMENTS:
         train, _ = OM.split_rows(OM.segment_rows(spark, root, seg), 0.75, bucket=_day_bucket())
         if not train.isEmpty():
-            models[OM.segment_name(*seg)] = ML.one_split(STUMP_OCCUPANCY, "label", classes=True).fit(train)
+            models[OM.segment_name(*seg)] = ML.one_split(STUMP_OCCUPANCY, "label", classes=True).fit(ML.spread_rows(train))
     return models
 
 

@@ -44,7 +44,7 @@ def fit_segment(train: DataFrame, handle_invalid: str = "keep", seed: int = 42,
     """
     indexers = bounded_indexers(train, CATEGORICAL, max_bins, "_indexed", handle_invalid)
     return ML.occupancy_classifier_stages(CATEGORICAL, NUMERIC, handle_invalid=handle_invalid, seed=seed,
-                                          max_bins=max_bins, indexers=indexers).fit(train)
+                                          max_bins=max_bins, indexers=indexers).fit(ML.spread_rows(train))
 
 
 def fit_segment_models(spark: SparkSession, panel_root: str, model_root: str | None = None,

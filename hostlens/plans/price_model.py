@@ -75,7 +75,7 @@ def split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42,
 
 
 def fit_price_model(train: DataFrame, trees: int = 15, depth: int = 20, seed: int = 42):
-    train = ML.as_double(train, NUMERIC)
+    train = ML.spread_rows(ML.as_double(train, NUMERIC))
     return ML.price_regression_stages(NUMERIC, CATEGORICAL, LABEL, trees, depth, seed).fit(train)
 
 

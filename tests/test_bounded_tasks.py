@@ -69,3 +69,33 @@ def test_more_drops_files_not_larger_ones(spark, tables, written, monkeypatch):
     _same(cat.QUERIES["calendar_stream_ingest"](spark, tables), clean_calendar(B.calendar_raw(spark, tables)))
     rows = [len(p.read_text().splitlines()) - 1 for p in Path(written[0]).glob("part-*")]
     assert sum(rows) == 2000 and max(rows) <= 160
+
+
+class _Forest:
+    """Stands in for the pipeline and keeps the numbers of rows of the partitions it is fitted on."""
+
+    def fit(self, train):
+        self.sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def _training_rows(spark, n):
+    df = spark.range(n).withColumn("label", (F.col("id") % 2).cast("int"))
+    return df.withColumns({c: F.lit("x") for c in OM.CATEGORICAL + PM.CATEGORICAL} | {c: F.lit(1.0) for c in OM.NUMERIC + PM.NUMERIC}).coalesce(1)
+
+
+@pytest.mark.parametrize("fit,stages", [(OM.fit_segment, "occupancy_classifier_stages"), (PM.fit_price_model, "price_regression_stages")])
+def test_forests_train_on_partitions_of_bounded_rows(spark, monkeypatch, fit, stages):
+    forest = _Forest()
+    monkeypatch.setattr(ML, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(ML, stages, lambda *a, **k: forest)
+    fit(_training_rows(spark, 1200))
+    assert sum(forest.sizes) == 1200 and max(forest.sizes) <= 130
+    fit(_training_rows(spark, 90))
+    assert forest.sizes == [90]
+
+
+def test_spread_rows_keeps_every_row(spark):
+    df = spark.createDataFrame([(i % 3, None if i % 5 else "x") for i in range(500)], "a int, b string").coalesce(1)
+    got = ML.spread_rows(df, 60)
+    assert got.exceptAll(df).count() == 0 and got.count() == 500
+    assert ML.spread_rows(df, 500) is df and ML.spread_rows(df.limit(0), 5).count() == 0
