@@ -94,6 +94,44 @@ def test_top_k_of_scores_beyond_53_bits(spark):
         topk.top_k(df.unionAll(df.limit(1).withColumn("embedding", F.array(F.lit(1e12), F.lit(0.0)))), "vec_id % 20 = 0")
 
 
+def test_a_task_of_top_k_gets_one_cell_of_blocks(spark, monkeypatch):
+    v, met = drawn(400, 6, 5), []
+    df = frame(spark, v)
+    run = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **b: met.append(self) or run(self, *a, **b))
+    monkeypatch.setattr(topk, "HELD_BLOCKS", 2)
+    monkeypatch.setattr(topk, "CELL_BLOCKS", 3, raising=False)
+    got = got_of(topk.top_k(df, "vec_id % 20 = 0", k=7, query_block=4, row_block=20))
+    assert got == brute({i: np.floor(64 * x.astype(float)) for i, x in v.items()}, [i for i in v if i % 20 == 0], 7)
+    for sent in met:
+        size = sum(F.octet_length(c) for c in sent.columns if c.endswith("vecs"))
+        parts = sent.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()
+        # 5 blocks of queries by 20 of rows: 3 times each row and 7 times each query, not 20 times each query and 5 times each row; 2 bytes a component
+        assert max(r.n for r in parts) <= 2 + 3 and sum(r.bytes for r in parts) <= 2 * 6 * (3 * 400 + 7 * 20)
+    assert len(met) == 3
+
+
+def test_top_k_of_components_of_every_packed_type(spark):
+    for scale, dim in ((1, 3), (100, 5), (1e4, 2), (1e7, 3), (3e8, 1)):
+        rng = np.random.default_rng(dim)
+        v = {i: np.floor(scale * rng.normal(size=dim)) for i in range(70)}
+        df = spark.createDataFrame([(i, [float(c) / 64 for c in x], 1, "x") for i, x in v.items()], "vec_id long, embedding array<double>, score int, ids string")
+        got = sorted(tuple(r) for r in topk.top_k(df, "vec_id % 20 = 0", k=4, query_block=2, row_block=9).collect())
+        assert got == by_row([(i, [64 * (float(c) / 64) for c in x]) for i, x in v.items()], 4, int)
+
+
+def test_top_k_of_many_equal_vectors_holds_k_of_each_query():
+    x = np.ones((50, 2))
+    block = lambda at, **more: topk._Block({"block": at, "ids": np.arange(at, at + 50).astype("<i8").tobytes(), "rows": np.arange(at, at + 50).astype("<i8").tobytes(), "vecs": x.astype("<i1").tobytes()} | more, 2, "<i1")
+    whole = {k: np.full(50, n).astype("<i8").tobytes() for k, n in (("lo", 2), ("need", 3))}
+    best = topk._Best(block(0, **whole), 3)
+    for at in range(0, 5000, 50):
+        best.meet(block(at))
+        assert best.size <= 4 * 3 * 50
+    got = best.found().to_pydict()
+    assert len(got["row"]) == 150 and set(got["vec_id"]) == {0, 1, 2, 3}
+
+
 def test_op9_recall_and_scores(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     v = {r.vec_id: np.array(r.embedding, np.float64) for r in df.collect()}
