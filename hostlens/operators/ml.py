@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 # Training-speed settings (same trees): keep each row's node id cached between
 # levels instead of re-walking the trees (checkpointed to the shared
-# checkpoint folder every 10 levels), and let more nodes share one pass.
-FOREST_TRAINING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+# checkpoint folder every 10 levels). Each task of an executor holds the
+# statistics of the nodes that share a pass, beside the cached rows: a level
+# of more nodes takes several passes.
+FOREST_TRAINING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 64}
 
 
 # A forest keeps its training rows in memory, some hundred bytes each, and reads them all at every level.

@@ -99,3 +99,21 @@ def test_spread_rows_keeps_every_row(spark):
     got = ML.spread_rows(df, 60)
     assert got.exceptAll(df).count() == 0 and got.count() == 500
     assert ML.spread_rows(df, 500) is df and ML.spread_rows(df.limit(0), 5).count() == 0
+
+
+def test_statistics_of_a_forests_nodes_leave_room_for_its_rows(spark):
+    for forest in (ML.price_regression_stages(["a"], ["b"], "y"), ML.occupancy_classifier_stages(["a"], ["b"])):
+        assert forest.getStages()[-1].getMaxMemoryInMB() <= 64  # a task; an executor of 3000 MB has two and the rows
+
+
+def test_price_forest_in_several_passes_a_level_is_grown_whole(spark, monkeypatch):
+    rows = spark.range(600).withColumn(PM.LABEL, sum((F.col("id") * (i + 3)) % 31 for i in range(3)).cast("double"))
+    rows = rows.withColumns({c: ((F.col("id") * (i + 3)) % 31).cast("double") for i, c in enumerate(PM.NUMERIC)} | {c: F.concat(F.lit("x"), (F.col("id") % (i + 2)).cast("string")) for i, c in enumerate(PM.CATEGORICAL)})
+    trees = {}
+    for mb in (64, 0):
+        monkeypatch.setitem(ML.FOREST_TRAINING, "maxMemoryInMB", mb)  # 0: each node has a pass of its own
+        model = PM.fit_price_model(rows, trees=2, depth=5)
+        trees[mb] = model.stages[-1]
+        assert ML.regression_metrics(model.transform(ML.as_double(rows, PM.NUMERIC)), PM.LABEL)["r2"] > 0.3
+    assert [t.depth for t in trees[0].trees] == [t.depth for t in trees[64].trees] == [5, 5]
+    assert trees[0].totalNumNodes > 0.7 * trees[64].totalNumNodes
